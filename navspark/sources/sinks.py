@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navspark.functions.exprs import parse_arg_date
-from navspark.schemas import NAV_COLUMNS
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -33,12 +32,13 @@ def write_nav(nav: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def read_nav_table(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
-    """Read a table written by :func:`write_nav`. Date bounds prune ``year``
-    partitions and are pushed into the parquet scan."""
+    """Read a table written by :func:`write_nav` (all its columns but the
+    ``year`` partition column). Date bounds prune ``year`` partitions and are
+    pushed into the parquet scan."""
     df = spark.read.parquet(path)
     s, e = parse_arg_date(start), parse_arg_date(end)
     if s is not None:
         df = df.where((F.col("year") >= s.year) & (F.col("date") >= F.lit(s)))
     if e is not None:
         df = df.where((F.col("year") <= e.year) & (F.col("date") <= F.lit(e)))
-    return df.select(*NAV_COLUMNS)
+    return df.drop("year")

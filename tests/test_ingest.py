@@ -1,0 +1,144 @@
+"""Landed JSON sources, the popular-schemes dimension, parquet sinks and the
+streaming ingest."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from navspark import (
+    nav_multi,
+    popular_schemes,
+    popular_schemes_mapping,
+    read_nav,
+    read_schemes,
+    scheme_payload,
+    search_schemes,
+    write_nav,
+)
+from navspark.sources.sinks import read_nav_table
+from navspark.streaming import start_nav_ingest
+from tests.conftest import d
+
+
+def land(root, code, body, name="payload.json"):
+    p = os.path.join(root, f"scheme_code={code}")
+    os.makedirs(p, exist_ok=True)
+    with open(os.path.join(p, name), "w") as f:
+        f.write(body if isinstance(body, str) else json.dumps(body))
+
+
+@pytest.fixture()
+def landed(tmp_path):
+    root = str(tmp_path / "payloads")
+    land(root, "000123", {"meta": {"fund_house": "X"}, "data": [
+        {"date": "01-01-2024", "nav": "10.5"}, {"date": "bad", "nav": "N.A."}]})
+    land(root, "7", {"status": "x"})
+    land(root, "8", {"data": []})
+    land(root, "9", {"data": [
+        {"date": "02-01-2024", "nav": " 12.5 "}, {"date": "03-01-2024", "nav": "1e3"},
+        {"date": "31-02-2024", "nav": "1,234.5"}, {"date": "04-01-2024", "nav": "NaN"},
+        {"date": "05-01-2025", "nav": "7"}]})
+    return root
+
+
+def test_payload_cases(spark, landed):
+    rows = sorted(
+        ((r["scheme_code"], str(r["date"]), r["nav"]) for r in read_nav(spark, landed, codes=["000123", "7", "8"]).collect()),
+        key=str,
+    )
+    assert rows == [("000123", "2024-01-01", 10.5), ("000123", "None", None)]
+
+
+def test_text_parsing(spark, landed):
+    got = {r["date"]: r["nav"] for r in read_nav(spark, landed, codes=["9"]).collect()}
+    assert got[d("2024-01-02")] == 12.5
+    assert got[d("2024-01-03")] == 1000.0
+    assert got[None] is None  # 31-02 and '1,234.5' -> NULL, row kept
+    import math
+
+    assert math.isnan(got[d("2024-01-04")])
+
+
+def test_date_bounds(spark, landed):
+    nav = read_nav(spark, landed, start="02-01-2024", end="04-01-2024")
+    assert sorted(r["date"] for r in nav.collect()) == [d("2024-01-02"), d("2024-01-03"), d("2024-01-04")]
+    with pytest.raises(ValueError):
+        read_nav(spark, landed, start="2024-01-01")
+
+
+def test_code_filter_prunes_partitions(spark, landed):
+    plan = read_nav(spark, landed, codes=["9"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "scheme_code" in plan
+
+
+def test_scheme_payload(spark, landed):
+    rows = scheme_payload(spark, landed, "000123").collect()
+    assert len(rows) == 1 and rows[0]["scheme_code"] == "000123"
+    assert json.loads(rows[0]["payload"])["meta"]["fund_house"] == "X"
+
+
+def test_nav_multi(spark, landed):
+    df = nav_multi(spark, landed, {"9": "Nine Fund", "000123": "Zero Fund", "404": "Missing"}, end="31-12-2024")
+    assert "fetch_timestamp" in df.columns
+    rows = df.collect()
+    assert {r["scheme_name"] for r in rows} == {"Nine Fund", "Zero Fund"}
+    assert all(r["date"] is not None for r in rows)  # a bound drops NULL dates
+    assert len({r["fetch_timestamp"] for r in rows}) == 1
+
+
+def test_catalogue(spark, tmp_path):
+    p = tmp_path / "schemes.json"
+    p.write_text(json.dumps([
+        {"schemeCode": 120503, "schemeName": "Axis Bluechip Fund", "schemeType": "Equity Large Cap", "x": 1},
+        {"schemeCode": "119551", "schemeName": "Axis Midcap Fund"},
+        {"schemeCode": "1", "schemeName": "It's a 'quoted' fund", "schemeType": "Debt"},
+    ]))
+    cat = read_schemes(spark, str(p))
+    assert cat.columns == ["schemeCode", "schemeName", "schemeType"]
+    rows = {r["schemeCode"]: r for r in cat.collect()}
+    assert rows["120503"]["schemeType"] == "Equity Large Cap"
+    assert rows["119551"]["schemeType"] is None
+    assert [r["schemeCode"] for r in search_schemes(cat, "axis", "equity").collect()] == ["120503"]
+    assert search_schemes(cat, "AXIS").count() == 2
+    # Quotes in the keyword are literal text, not SQL.
+    assert search_schemes(cat, "a' or '1'='1").count() == 0
+    assert search_schemes(cat, "'quoted'").count() == 1
+
+
+def test_popular_schemes(spark):
+    m = popular_schemes_mapping()
+    assert len(m) == 11
+    assert m["118989"] == "Parag Parikh Long Term Equity Fund"
+    assert m["120716"] == "HDFC Index Fund Nifty 50 Plan"
+    df = popular_schemes(spark)
+    assert df.count() == 11 and df.select("scheme_code").distinct().count() == 11
+
+
+def test_write_nav_round_trip(spark, landed, tmp_path):
+    nav = read_nav(spark, landed)
+    out = str(tmp_path / "nav")
+    write_nav(nav, out)
+    back = read_nav_table(spark, out)
+    key = lambda r: (r["scheme_code"], str(r["date"]), str(r["nav"]))
+    assert sorted(map(key, back.collect())) == sorted(map(key, nav.collect()))
+    bounded = read_nav_table(spark, out, start="01-01-2025")
+    plan = bounded._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "PushedFilters" in plan and "GreaterThanOrEqual(date" in plan
+    assert [r["nav"] for r in bounded.collect()] == [7.0]
+
+
+def test_streaming_ingest(spark, landed, tmp_path):
+    out, ckpt = str(tmp_path / "stream_out"), str(tmp_path / "ckpt")
+    q = start_nav_ingest(spark, landed, out, ckpt)
+    q.awaitTermination(120)
+    first = spark.read.parquet(out).count()
+    assert first == read_nav(spark, landed).count()
+    # A new document is picked up once; old ones are not re-ingested.
+    land(landed, "10", {"data": [{"date": "06-01-2024", "nav": "3.5"}]})
+    q = start_nav_ingest(spark, landed, out, ckpt)
+    q.awaitTermination(120)
+    back = spark.read.parquet(out)
+    assert back.count() == first + 1
+    assert back.where(F.col("scheme_code") == "10").count() == 1
