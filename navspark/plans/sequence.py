@@ -20,6 +20,8 @@ How blocks and halos are found, without ever ordering the hot rows themselves:
 2. Running row offset of each day within its key: a window over ``days``,
    whose size per key is bounded by the calendar (one row per distinct date),
    not by the data volume.
+   The per-day table is materialised once (checkpoint to the session's
+   ``spark.checkpoint.dir``), so the input is not re-scanned for each use.
 3. Block of a day = offset // block_rows (days are never split). A day is a
    halo day of block ``t`` if its rows intersect the ``halo`` rows before
    ``t``'s first row; since ``block_rows > halo`` only the next one or two
@@ -38,9 +40,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from navspark.plans.materialize import materialize
+
 # Keys with more rows than this are split into blocks.
 HOT_ROWS = 2_000_000
 # Target rows per block of a hot key (each block is one window partition).
@@ -52,27 +56,28 @@ MAX_BROADCAST_DAYS = 4_000_000
 Compute = Callable[[DataFrame, list[str]], DataFrame]
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    conds = [left[c].eqNullSafe(right[c]) for c in cols]
-    return reduce(lambda a, b: a & b, conds)
-
-
-def _split_by_keys(valid: DataFrame, hot: DataFrame, keys: Sequence[str], n_hot: int):
+def _split_by_keys(tagged: DataFrame, hot: DataFrame, keys: Sequence[str], n_hot: int):
+    """(rows of cold keys, rows of hot keys) by a join with the hot-key list,
+    broadcast when its counted size allows."""
     h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
     if n_hot <= MAX_BROADCAST_KEYS:
         h = F.broadcast(h)
-    on = reduce(lambda a, b: a & b, [valid[k].eqNullSafe(h[f"_h_{k}"]) for k in keys])
-    return valid.join(h, on, "left_anti"), valid.join(h, on, "left_semi")
+    on = reduce(lambda a, b: a & b, [tagged[k].eqNullSafe(h[f"_h_{k}"]) for k in keys])
+    return tagged.join(h, on, "left_anti"), tagged.join(h, on, "left_semi")
 
 
 def block_targets(rows: DataFrame, keys: Sequence[str], halo: int, block_rows: int) -> DataFrame:
-    """Per (key, date): ``_t`` = a block the day's rows go to and ``_halo`` =
-    whether they go there only as look-back context. One row per target."""
+    """Per (key, date) of the dated ``rows``: ``_t`` = a block the day's rows go
+    to and ``_halo`` = whether they go there only as look-back context. One
+    row per target. The per-day table is materialised once (it is read three
+    times), so the input is scanned once for it."""
     b = max(int(block_rows), int(halo) + 1)
-    days = rows.groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("_c"))
+    days = rows.where(F.col("date").isNotNull()).groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.withColumn("_p", F.coalesce(F.sum("_c").over(w), F.lit(0))).withColumn(
-        "_blk", F.floor(F.col("_p") / F.lit(b))
+    days = materialize(
+        days.withColumn("_p", F.coalesce(F.sum("_c").over(w), F.lit(0))).withColumn(
+            "_blk", F.floor(F.col("_p") / F.lit(b))
+        )
     )
     own = days.select(*keys, "date", F.col("_blk").alias("_t"), F.lit(False).alias("_halo"))
     if halo <= 0:
@@ -105,9 +110,10 @@ def block_targets(rows: DataFrame, keys: Sequence[str], halo: int, block_rows: i
 
 
 def blocked(rows: DataFrame, keys: Sequence[str], halo: int, compute: Compute, block_rows: int) -> DataFrame:
-    """Window ``rows`` (all of them hot) block by block with halos."""
+    """Window ``rows`` (tagged with ``_nd``/``_sp``) block by block with halos.
+    Undated rows match no block and keep groups of their own."""
     targets = block_targets(rows, keys, halo, block_rows)
-    n_targets = targets.count()  # bounded: one row per (hot key, date, target)
+    n_targets = targets.count()  # bounded: one row per (hot key, date, target); cheap after materialize
     t = targets.select(*[F.col(k).alias(f"_d_{k}") for k in keys], F.col("date").alias("_d_date"), "_t", "_halo")
     if n_targets <= MAX_BROADCAST_DAYS:
         t = F.broadcast(t)
@@ -115,9 +121,9 @@ def blocked(rows: DataFrame, keys: Sequence[str], halo: int, compute: Compute, b
         lambda a, c: a & c,
         [rows[k].eqNullSafe(t[f"_d_{k}"]) for k in keys] + [rows["date"] == t["_d_date"]],
     )
-    tagged = rows.join(t, on, "inner").drop(*[f"_d_{k}" for k in keys], "_d_date")
-    out = compute(tagged, [*keys, "_t"])
-    return out.where(~F.col("_halo")).drop("_t", "_halo")
+    tagged = rows.join(t, on, "left").drop(*[f"_d_{k}" for k in keys], "_d_date")
+    out = compute(tagged, [*keys, "_t", "_nd", "_sp"])
+    return out.where(~F.coalesce(F.col("_halo"), F.lit(False))).drop("_t", "_halo")
 
 
 def sequence_window(
@@ -140,27 +146,31 @@ def sequence_window(
     NULL in the added columns.
     """
     keys = list(keys)
-    valid = df.where(F.col("date").isNotNull())
-    undated = df.where(F.col("date").isNull())
+    if split not in ("auto", "never", "always"):
+        raise ValueError(f"split must be auto, never or always, not {split!r}")
+    undated = F.col("date").isNull()
+    # Undated rows ride along in the same window pass (no second scan of the
+    # input) but in groups of their own: (key, undated, nav) - they never feed
+    # a dated row's window, and their own outputs are nulled below.
+    tagged = df.withColumn("_nd", undated).withColumn("_sp", F.when(undated, F.col("nav")))
+    parts = [*keys, "_nd", "_sp"]
 
     if split == "never":
-        res = compute(valid, keys)
+        res = compute(tagged, parts)
     elif split == "always":
-        res = blocked(valid, keys, halo, compute, block_rows)
-    elif split == "auto":
-        counts = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        res = blocked(tagged, keys, halo, compute, block_rows)
+    else:
+        dated = df.where(F.col("date").isNotNull())
+        counts = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         hot = counts.where(F.col("_n") > F.lit(int(hot_rows))).select(*keys)
         n_hot = hot.count()  # bounded: at most total_rows / hot_rows keys
         if n_hot == 0:
-            res = compute(valid, keys)
+            res = compute(tagged, parts)
         else:
-            cold, hot_rows_df = _split_by_keys(valid, hot, keys, n_hot)
-            res = compute(cold, keys).unionByName(
-                blocked(hot_rows_df, keys, halo, compute, block_rows)
-            )
-    else:
-        raise ValueError(f"split must be auto, never or always, not {split!r}")
+            cold, hot_df = _split_by_keys(tagged, hot, keys, n_hot)
+            res = compute(cold, parts).unionByName(blocked(hot_df, keys, halo, compute, block_rows))
 
-    added = [f for f in res.schema.fields if f.name not in df.columns]
-    filler = undated.select(*df.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
-    return res.select(*df.columns, *[f.name for f in added]).unionByName(filler)
+    added = [c for c in res.columns if c not in tagged.columns and c != "_t"]
+    return res.select(
+        *df.columns, *[F.when(~F.col("_nd"), F.col(c)).alias(c) for c in added]
+    )

@@ -13,11 +13,13 @@ from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.driver.memory": "8g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
