@@ -5,14 +5,18 @@ A plain ``Window.partitionBy(key).orderBy(date, nav)`` sends each key's
 whole history to one task. That is right for ordinary schemes, but a key that
 holds a large share of all rows would serialise the job on one task. Here:
 
-* **cold keys** (at most ``hot_rows`` rows) take the plain window: one shuffle
-  by key, one sort, one window;
+* **cold keys** (at most ``hot_rows`` rows) are windowed whole, as in the
+  plain plan;
 * **hot keys** are cut into *blocks* of about ``block_rows`` rows along their
   (date, nav) order, and every block also receives the ``halo`` rows that
   precede it, so the window of each block sees exactly the rows the
   full-history window would see. Blocks are windowed in parallel and the halo
   copies are dropped afterwards. The result is identical to the plain plan.
 
+Cold and hot rows go through the same single window pass (partitioned by key
+and block; a cold row has no block), so the input is read once for it. When no
+key is hot - the usual case - the plan is exactly the plain window.
+
 How blocks and halos are found, without ever ordering the hot rows themselves:
 
 1. ``days``: rows per (key, date) - a partial aggregation, so a hot key costs
@@ -56,16 +60,6 @@ MAX_BROADCAST_DAYS = 4_000_000
 Compute = Callable[[DataFrame, list[str]], DataFrame]
 
 
-def _split_by_keys(tagged: DataFrame, hot: DataFrame, keys: Sequence[str], n_hot: int):
-    """(rows of cold keys, rows of hot keys) by a join with the hot-key list,
-    broadcast when its counted size allows."""
-    h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-    if n_hot <= MAX_BROADCAST_KEYS:
-        h = F.broadcast(h)
-    on = reduce(lambda a, b: a & b, [tagged[k].eqNullSafe(h[f"_h_{k}"]) for k in keys])
-    return tagged.join(h, on, "left_anti"), tagged.join(h, on, "left_semi")
-
-
 def block_targets(rows: DataFrame, keys: Sequence[str], halo: int, block_rows: int) -> DataFrame:
     """Per (key, date) of the dated ``rows``: ``_t`` = a block the day's rows go
     to and ``_halo`` = whether they go there only as look-back context. One
@@ -109,20 +103,37 @@ def block_targets(rows: DataFrame, keys: Sequence[str], halo: int, block_rows: i
     return own.unionByName(need)
 
 
-def blocked(rows: DataFrame, keys: Sequence[str], halo: int, compute: Compute, block_rows: int) -> DataFrame:
-    """Window ``rows`` (tagged with ``_nd``/``_sp``) block by block with halos.
-    Undated rows match no block and keep groups of their own."""
-    targets = block_targets(rows, keys, halo, block_rows)
+def blocked(
+    tagged: DataFrame,
+    keys: Sequence[str],
+    halo: int,
+    compute: Compute,
+    block_rows: int,
+    hot: DataFrame | None = None,
+    n_hot: int = 0,
+) -> DataFrame:
+    """Window all of ``tagged`` (rows with ``_nd``/``_sp``) in ONE pass: rows of
+    the ``hot`` keys (all keys when ``hot`` is None) are cut into blocks with
+    halo copies; every other row - cold keys and undated rows - matches no
+    block and is windowed in its key's own group, exactly as the plain plan."""
+    src = tagged
+    if hot is not None:
+        h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+        if n_hot <= MAX_BROADCAST_KEYS:
+            h = F.broadcast(h)
+        on = reduce(lambda a, c: a & c, [tagged[k].eqNullSafe(h[f"_h_{k}"]) for k in keys])
+        src = tagged.join(h, on, "left_semi")
+    targets = block_targets(src, keys, halo, block_rows)
     n_targets = targets.count()  # bounded: one row per (hot key, date, target); cheap after materialize
     t = targets.select(*[F.col(k).alias(f"_d_{k}") for k in keys], F.col("date").alias("_d_date"), "_t", "_halo")
     if n_targets <= MAX_BROADCAST_DAYS:
         t = F.broadcast(t)
     on = reduce(
         lambda a, c: a & c,
-        [rows[k].eqNullSafe(t[f"_d_{k}"]) for k in keys] + [rows["date"] == t["_d_date"]],
+        [tagged[k].eqNullSafe(t[f"_d_{k}"]) for k in keys] + [tagged["date"] == t["_d_date"]],
     )
-    tagged = rows.join(t, on, "left").drop(*[f"_d_{k}" for k in keys], "_d_date")
-    out = compute(tagged, [*keys, "_t", "_nd", "_sp"])
+    rows = tagged.join(t, on, "left").drop(*[f"_d_{k}" for k in keys], "_d_date")
+    out = compute(rows, [*keys, "_t", "_nd", "_sp"])
     return out.where(~F.coalesce(F.col("_halo"), F.lit(False))).drop("_t", "_halo")
 
 
@@ -162,13 +173,13 @@ def sequence_window(
     else:
         dated = df.where(F.col("date").isNotNull())
         counts = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        hot = counts.where(F.col("_n") > F.lit(int(hot_rows))).select(*keys)
+        # Materialised: it is counted here and joined below (one input pass).
+        hot = materialize(counts.where(F.col("_n") > F.lit(int(hot_rows))).select(*keys))
         n_hot = hot.count()  # bounded: at most total_rows / hot_rows keys
         if n_hot == 0:
             res = compute(tagged, parts)
         else:
-            cold, hot_df = _split_by_keys(tagged, hot, keys, n_hot)
-            res = compute(cold, parts).unionByName(blocked(hot_df, keys, halo, compute, block_rows))
+            res = blocked(tagged, keys, halo, compute, block_rows, hot, n_hot)
 
     added = [c for c in res.columns if c not in tagged.columns and c != "_t"]
     return res.select(
