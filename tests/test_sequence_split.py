@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from navspark import returns, rolling_metrics
@@ -50,7 +50,8 @@ cases = st.tuples(
 )
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck),
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
 @given(cases)
 def test_split_equals_plain(spark, case):
     seed, n, k, days, dup, nul, block = case
