@@ -10,17 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from navspark.functions.exprs import change_pct
 from navspark.plans.sequence import BLOCK_ROWS, HOT_ROWS, sequence_window
 
 
-def _order():
-    return (F.col("date").asc(), F.col("nav").asc_nulls_first())
-
-
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
@@ -41,8 +37,7 @@ def returns(
     if any(p < 1 for p in periods):
         raise ValueError("return periods must be >= 1")
 
-    def compute(df: DataFrame, parts: list[str]) -> DataFrame:
-        w = Window.partitionBy(*parts).orderBy(*_order())
+    def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
         return df.select(
             "*",
             *[change_pct("nav", F.lag("nav", p).over(w)).alias(f"return_{p}d") for p in periods],
@@ -70,8 +65,8 @@ def rolling_metrics(
     if n < 1:
         raise ValueError("window_days must be >= 1")
 
-    def compute(df: DataFrame, parts: list[str]) -> DataFrame:
-        w = Window.partitionBy(*parts).orderBy(*_order()).rowsBetween(-(n - 1), Window.currentRow)
+    def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
+        w = w.rowsBetween(-(n - 1), Window.currentRow)
         return df.select(
             "*",
             F.avg("nav").over(w).alias("rolling_avg_nav"),

@@ -1,42 +1,49 @@
 """Skew-safe plan for per-scheme sequence windows (k-row lags, trailing-row
 frames).
 
-A plain ``Window.partitionBy(key).orderBy(date, nav)`` sends each key's
-whole history to one task. That is right for ordinary schemes, but a key that
-holds a large share of all rows would serialise the job on one task. Here:
-
-* **cold keys** (at most ``hot_rows`` rows) are windowed whole, as in the
-  plain plan;
-* **hot keys** are cut into *blocks* of about ``block_rows`` rows along their
-  (date, nav) order, and every block also receives the ``halo`` rows that
-  precede it, so the window of each block sees exactly the rows the
-  full-history window would see. Blocks are windowed in parallel and the halo
-  copies are dropped afterwards. The result is identical to the plain plan.
-
-Cold and hot rows go through the same single window pass (partitioned by key
-and block; a cold row has no block), so the input is read once for it. When no
-key is hot - the usual case - the plan is exactly the plain window.
-
-How blocks and halos are found, without ever ordering the hot rows themselves:
-
-1. ``days``: rows per (key, date) - a partial aggregation, so a hot key costs
-   one row per task and date.
-2. Running row offset of each day within its key: a window over ``days``,
-   whose size per key is bounded by the calendar (one row per distinct date),
-   not by the data volume.
-   The per-day table is materialised once (checkpoint to the session's
-   ``spark.checkpoint.dir``), so the input is not re-scanned for each use.
-3. Block of a day = offset // block_rows (days are never split). A day is a
-   halo day of block ``t`` if its rows intersect the ``halo`` rows before
-   ``t``'s first row; since ``block_rows > halo`` only the next one or two
-   blocks can qualify.
-4. Rows are tagged with their own block and halo blocks by an equi-join on
-   (key, date) with the small per-day table (broadcast only after its size is
-   counted), then windowed by (key, block).
-
-Residual limit: one (key, date) is the unit of splitting, so a single day of a
-single scheme still lands in one task. Under the NAV model (one price per
-scheme per day) a day holds one row per listing of the scheme.
+A sequence is a key's rows in the order (date, NAV with NULLs first, row
+hash): ties on a date are broken by the NAV, and rows equal in both by
+``xxhash64`` of the whole row, so the order does not depend on how the input
+is partitioned. With one NAV per scheme and day the order is the dates.
+
+A plain ``Window.partitionBy(key).orderBy(...)`` sends each key's whole
+history to one task. That is right for ordinary keys, so keys with at most
+``hot_rows`` rows (all keys, in the usual case) take exactly that plan. A key
+holding a large share of all rows is split instead; since the calendar is
+short, such a key may also hold very many rows per day (a third of 100 TB is
+about 10^8 rows per day of a 30-year history), so the split goes below days:
+
+1. **Copies collapse into runs.** Rows identical in every column are grouped
+   (a partial aggregation: a group of copies costs one row per task) into a
+   run with multiplicity ``m``. A window that looks back at most ``halo`` rows
+   gives every copy after the first ``halo + 1`` of a run the same result as
+   copy ``halo``, so each run is expanded to at most ``halo + 1`` *head* rows
+   and the last head carries the weight of the remaining copies.
+2. **Units.** Head rows are counted per (key, date). A day with more than
+   ``u = block_rows / 4`` heads is cut at approximate NAV quantiles (one
+   ``percentile_approx`` aggregate per heavy day, up to ``MAX_SPLITS``
+   points) into buckets: values strictly between two points, or equal to one.
+   A one-valued bucket that still holds more than ``u`` heads is cut into
+   equal ranges of the row hash. Each unit is therefore a contiguous stretch
+   of the sequence. The unit table (heads per unit) is small: about total
+   heads / ``u``, plus one row per day.
+3. **Blocks and halos.** A running count over the unit table gives each unit
+   its offset in the sequence; ``offset // block_rows`` is its block. A unit is
+   also sent to the next one or two blocks when its rows fall inside the
+   ``halo`` rows before a block's first row, so every block sees exactly the
+   look-back the whole-history window would see.
+4. **One window pass** over (key, block); halo copies are dropped.
+5. **Expansion.** The carried copies are regenerated. When the unit table
+   shows that some block would emit more than ``4 * block_rows`` rows, the
+   copies are cut into chunks of ``CHUNK_ROWS`` and the chunks are spread over
+   tasks by a shuffle before they are generated; otherwise they are generated
+   in place.
+
+The result equals the plain plan's (property tests compare them). Small
+intermediate tables are checkpointed into the session's
+``spark.checkpoint.dir`` and broadcast only after their row count is checked;
+the runs table is persisted (memory and disk) for the three passes that read
+it. Grouping a run needs groupable columns (no map columns).
 """
 
 from __future__ import annotations
@@ -44,97 +51,246 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from navspark.plans.materialize import materialize
 
-# Keys with more rows than this are split into blocks.
+# Keys with more rows than this are split.
 HOT_ROWS = 2_000_000
-# Target rows per block of a hot key (each block is one window partition).
+# Target head rows per block of a split key (each block is one window partition).
 BLOCK_ROWS = 500_000
-# Broadcast the hot-key list / per-day block table only up to these row counts.
+# Copies are regenerated in pieces of at most this many rows.
+CHUNK_ROWS = 1_000_000
+# Broadcast the hot-key list / per-unit tables only up to these row counts.
 MAX_BROADCAST_KEYS = 1_000_000
-MAX_BROADCAST_DAYS = 4_000_000
+MAX_BROADCAST_UNITS = 4_000_000
+# A heavy day is cut at up to this many NAV quantiles (the per-row cost of
+# finding a row's bucket grows with it).
+MAX_SPLITS = 256
+QUANTILE_ACCURACY = 10_000
+
+# compute(frame, window) adds columns using ``window`` (partitioned and
+# ordered by the plan; row frames may be narrowed but must end at the current
+# row and reach back at most ``halo`` rows).
+Compute = Callable[[DataFrame, WindowSpec], DataFrame]
+
+_HALF = 9.223372036854775808e18  # 2**63
+
+
+def row_hash(cols: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in cols])
+
+
+def _sequence_order(*extra: str) -> list[Column]:
+    return [F.col("date").asc(), F.col("nav").asc_nulls_first(), F.col("_rh").asc(), *[F.col(c).asc() for c in extra]]
+
+
+def _on(left: DataFrame, right: DataFrame, pairs) -> Column:
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+
+
+def _maybe_broadcast(df: DataFrame, n: int, limit: int) -> DataFrame:
+    return F.broadcast(df) if n <= limit else df
+
 
-Compute = Callable[[DataFrame, list[str]], DataFrame]
+def _unit_index(m: Column) -> Column:
+    """Index of the equal hash range (out of ``m``) holding ``_rh``;
+    non-decreasing in ``_rh``, so a range is a contiguous stretch of a day."""
+    frac = (F.col("_rh").cast("double") + F.lit(_HALF)) / F.lit(2 * _HALF)
+    return F.least(F.floor(frac * m), m - F.lit(1))
 
 
-def block_targets(rows: DataFrame, keys: Sequence[str], halo: int, block_rows: int) -> DataFrame:
-    """Per (key, date) of the dated ``rows``: ``_t`` = a block the day's rows go
-    to and ``_halo`` = whether they go there only as look-back context. One
-    row per target. The per-day table is materialised once (it is read three
-    times), so the input is scanned once for it."""
+def unit_targets(units: DataFrame, keys: Sequence[str], halo: int, block_rows: int) -> DataFrame:
+    """From ``units`` (keys, date, _r, _c = heads in the unit) to one row per
+    (unit, block it goes to): ``_t`` and ``_halo`` (look-back copy only)."""
     b = max(int(block_rows), int(halo) + 1)
-    days = rows.where(F.col("date").isNotNull()).groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
-    days = materialize(
-        days.withColumn("_p", F.coalesce(F.sum("_c").over(w), F.lit(0))).withColumn(
+    w = Window.partitionBy(*keys).orderBy("date", "_r").rowsBetween(Window.unboundedPreceding, -1)
+    units = materialize(
+        units.withColumn("_p", F.coalesce(F.sum("_c").over(w), F.lit(0))).withColumn(
             "_blk", F.floor(F.col("_p") / F.lit(b))
         )
     )
-    own = days.select(*keys, "date", F.col("_blk").alias("_t"), F.lit(False).alias("_halo"))
+    own = units.select(*keys, "date", "_r", F.col("_blk").alias("_t"), F.lit(False).alias("_halo"))
     if halo <= 0:
         return own
-    blocks = days.groupBy(*keys, "_blk").agg(F.min("_p").alias("_bs"))
+    blocks = units.groupBy(*keys, "_blk").agg(F.min("_p").alias("_bs"))
     end = F.col("_p") + F.col("_c")
-    cand = days.select(
-        *keys,
-        "date",
-        "_p",
-        "_c",
-        "_blk",
+    # A unit [p, p+c) is look-back for block t iff t starts inside (p, p+c+halo);
+    # with block_rows > halo only the blocks holding rows p+c and p+c+halo-1 can.
+    cand = units.select(
+        *keys, "date", "_r", "_p", "_c", "_blk",
         F.explode(
-            F.array_distinct(
-                F.array(F.floor(end / F.lit(b)), F.floor((end + F.lit(halo - 1)) / F.lit(b)))
-            )
+            F.array_distinct(F.array(F.floor(end / F.lit(b)), F.floor((end + F.lit(halo - 1)) / F.lit(b))))
         ).alias("_t"),
     ).where(F.col("_t") != F.col("_blk"))
     bl = blocks.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.col("_blk").alias("_bt"), "_bs")
-    on = reduce(
-        lambda a, c: a & c,
-        [cand[k].eqNullSafe(bl[f"_b_{k}"]) for k in keys] + [cand["_t"] == bl["_bt"]],
-    )
+    on = _on(cand, bl, [(k, f"_b_{k}") for k in keys]) & (cand["_t"] == bl["_bt"])
     need = (
         cand.join(bl, on, "inner")
-        .where((F.col("_bs") > F.col("_p")) & (F.col("_bs") < F.col("_p") + F.col("_c") + F.lit(halo)))
-        .select(*keys, "date", "_t", F.lit(True).alias("_halo"))
+        .where((F.col("_bs") > F.col("_p")) & (F.col("_bs") < end + F.lit(halo)))
+        .select(*keys, "date", "_r", "_t", F.lit(True).alias("_halo"))
     )
     return own.unionByName(need)
 
 
-def blocked(
-    tagged: DataFrame,
-    keys: Sequence[str],
-    halo: int,
-    compute: Compute,
-    block_rows: int,
-    hot: DataFrame | None = None,
-    n_hot: int = 0,
+def _expand(df: DataFrame, cols: Sequence[str], spread: bool) -> DataFrame:
+    """Regenerate ``_w`` copies of each row. With ``spread`` the copies are cut
+    into chunks that a shuffle spreads over tasks before they are generated."""
+    if spread:
+        df = (
+            df.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_w") / F.lit(CHUNK_ROWS)) - 1)))
+            .withColumn("_w", F.least(F.lit(CHUNK_ROWS), F.col("_w") - F.col("_k") * F.lit(CHUNK_ROWS)))
+            .repartition("_rh", "_k")
+        )
+    return df.withColumn("_e", F.explode(F.array_repeat(F.lit(True), F.col("_w").cast("int")))).select(*cols)
+
+
+def tag(df: DataFrame) -> DataFrame:
+    """``df`` with the helper columns the plans use: ``_nd`` (undated), ``_sp``
+    (undated rows' NAV, their plain-window group) and ``_rh`` (row hash)."""
+    undated = F.col("date").isNull()
+    return df.withColumns({"_nd": undated, "_sp": F.when(undated, F.col("nav")), "_rh": row_hash(df.columns)})
+
+
+def _bucket(splits: Column) -> Column:
+    """Position of ``nav`` among a day's sorted distinct split points: 0 for
+    NULL, ``2i + 1`` strictly between points i-1 and i, ``2i + 2`` equal to
+    point i. Non-decreasing in NAV (NULLs first); even buckets hold one value."""
+    nav = F.col("nav")
+    below = F.size(F.filter(splits, lambda x: x < nav))
+    equal = F.array_contains(splits, nav).cast("long")
+    return (
+        F.when(splits.isNull(), F.lit(0))
+        .when(nav.isNull(), F.lit(0))
+        .otherwise(F.lit(1) + F.lit(2) * below + equal)
+        .cast("long")
+    )
+
+
+def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo: int, block_rows: int):
+    """Steps 1-3 for ``rows`` (tagged by :func:`tag`): returns ``(runs, heads,
+    units, targets)``; ``heads`` carry their unit ``_r``, ``units`` their head
+    count ``_c`` and emitted-row count ``_sw``, ``targets`` the blocks of each
+    unit."""
+    b = max(int(block_rows), int(halo) + 1)
+    u = max(1, b // 4)
+    runs = (
+        rows.groupBy(*cols, "_nd", "_rh").agg(F.count(F.lit(1)).alias("_m")).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    t1 = F.least(F.col("_m"), F.lit(int(halo) + 1))
+    heads = (
+        runs.where(~F.col("_nd"))
+        .withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), t1 - F.lit(1))))
+        .withColumn("_w", F.when(F.col("_j") == t1 - 1, F.col("_m") - t1 + 1).otherwise(F.lit(1).cast("long")))
+    )
+    # Heavy days: more than one unit's worth of heads (at most heads / u rows).
+    heavy = materialize(
+        heads.groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("_cd")).where(F.col("_cd") > F.lit(u))
+    )
+    n_heavy, max_cd = heavy.agg(F.count(F.lit(1)), F.max("_cd")).first()
+    if not n_heavy:
+        heads = heads.withColumn("_r", F.lit(0).cast("long"))
+    else:
+        # NAV split points per heavy day from an approximate-quantile
+        # aggregate (partial per task, so a hot day costs one buffer per task).
+        k = int(min(MAX_SPLITS, max(2, -(-int(max_cd) // u))))
+        hv = heavy.select(*[F.col(k_).alias(f"_d_{k_}") for k_ in keys], F.col("date").alias("_d_date"))
+        hv = _maybe_broadcast(hv, n_heavy, MAX_BROADCAST_UNITS)
+        on = _on(heads, hv, [(k_, f"_d_{k_}") for k_ in keys]) & (heads["date"] == hv["_d_date"])
+        splits = materialize(
+            heads.join(hv, on, "left_semi")
+            .where(F.col("nav").isNotNull())
+            .groupBy(*keys, "date")
+            .agg(
+                F.array_sort(
+                    F.array_distinct(F.percentile_approx("nav", [i / k for i in range(1, k)], QUANTILE_ACCURACY))
+                ).alias("_s")
+            )
+        )
+        sj = splits.select(*[F.col(k_).alias(f"_d_{k_}") for k_ in keys], F.col("date").alias("_d_date"), "_s")
+        sj = _maybe_broadcast(sj, n_heavy, MAX_BROADCAST_UNITS // k)
+        on = _on(heads, sj, [(k_, f"_d_{k_}") for k_ in keys]) & (heads["date"] == sj["_d_date"])
+        heads = (
+            heads.join(sj, on, "left")
+            .withColumn("_q", _bucket(F.col("_s")))
+            .drop(*[f"_d_{k_}" for k_ in keys], "_d_date", "_s")
+        )
+        # A one-valued bucket (even) over one unit's worth is cut into equal
+        # ranges of the row hash; at most heads / u such buckets.
+        big = materialize(
+            heads.where(F.col("_q") % 2 == 0)
+            .groupBy(*keys, "date", "_q")
+            .agg(F.count(F.lit(1)).alias("_cq"))
+            .where(F.col("_cq") > F.lit(u))
+            .select(*keys, "date", "_q", F.ceil(F.col("_cq") / F.lit(u)).alias("_mq"))
+        )
+        n_big = big.count()
+        if n_big:
+            bj = big.select(
+                *[F.col(k_).alias(f"_d_{k_}") for k_ in keys], F.col("date").alias("_d_date"),
+                F.col("_q").alias("_d_q"), "_mq",
+            )
+            bj = _maybe_broadcast(bj, n_big, MAX_BROADCAST_UNITS)
+            on = (
+                _on(heads, bj, [(k_, f"_d_{k_}") for k_ in keys])
+                & (heads["date"] == bj["_d_date"])
+                & (heads["_q"] == bj["_d_q"])
+            )
+            heads = (
+                heads.join(bj, on, "left")
+                .withColumn("_r2", F.when(F.col("_mq").isNull(), F.lit(0)).otherwise(_unit_index(F.col("_mq"))))
+                .drop(*[f"_d_{k_}" for k_ in keys], "_d_date", "_d_q", "_mq")
+            )
+        else:
+            heads = heads.withColumn("_r2", F.lit(0))
+        heads = heads.withColumn("_r", F.col("_q") * F.lit(1 << 32) + F.col("_r2").cast("long")).drop("_q", "_r2")
+    units = materialize(
+        heads.groupBy(*keys, "date", "_r").agg(F.count(F.lit(1)).alias("_c"), F.sum("_w").alias("_sw"))
+    )
+    targets = materialize(unit_targets(units.select(*keys, "date", "_r", "_c"), keys, halo, b))
+    return runs, heads, units, targets
+
+
+def _join_units(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe join on (keys, date, _r); ``right``'s copies of them dropped."""
+    r = right.select(
+        *[F.col(k).alias(f"_u_{k}") for k in keys],
+        F.col("date").alias("_u_date"),
+        F.col("_r").alias("_u_r"),
+        *[c for c in right.columns if c not in (*keys, "date", "_r")],
+    )
+    on = _on(left, r, [(k, f"_u_{k}") for k in keys]) & (left["date"] == r["_u_date"]) & (left["_r"] == r["_u_r"])
+    return left.join(r, on, how).drop(*[f"_u_{k}" for k in keys], "_u_date", "_u_r")
+
+
+def split_window(
+    rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo: int, compute: Compute, block_rows: int
 ) -> DataFrame:
-    """Window all of ``tagged`` (rows with ``_nd``/``_sp``) in ONE pass: rows of
-    the ``hot`` keys (all keys when ``hot`` is None) are cut into blocks with
-    halo copies; every other row - cold keys and undated rows - matches no
-    block and is windowed in its key's own group, exactly as the plain plan."""
-    src = tagged
-    if hot is not None:
-        h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
-        if n_hot <= MAX_BROADCAST_KEYS:
-            h = F.broadcast(h)
-        on = reduce(lambda a, c: a & c, [tagged[k].eqNullSafe(h[f"_h_{k}"]) for k in keys])
-        src = tagged.join(h, on, "left_semi")
-    targets = block_targets(src, keys, halo, block_rows)
-    n_targets = targets.count()  # bounded: one row per (hot key, date, target); cheap after materialize
-    t = targets.select(*[F.col(k).alias(f"_d_{k}") for k in keys], F.col("date").alias("_d_date"), "_t", "_halo")
-    if n_targets <= MAX_BROADCAST_DAYS:
-        t = F.broadcast(t)
-    on = reduce(
-        lambda a, c: a & c,
-        [tagged[k].eqNullSafe(t[f"_d_{k}"]) for k in keys] + [tagged["date"] == t["_d_date"]],
+    """The split plan for ``rows`` (all rows of the keys to split, with
+    ``_nd``/``_rh`` helper columns): returns ``cols`` + added columns, added
+    columns NULL for undated rows."""
+    b = max(int(block_rows), int(halo) + 1)
+    runs, heads, units, targets = plan_units(rows, cols, keys, halo, b)
+    tj = _maybe_broadcast(targets, targets.count(), MAX_BROADCAST_UNITS)
+    tagged = _join_units(heads, tj, keys)
+
+    w = Window.partitionBy(*keys, "_t").orderBy(*_sequence_order("_j"))
+    out = compute(tagged, w).where(~F.col("_halo"))
+    added = [f for f in out.schema.fields if f.name not in tagged.columns]
+
+    # Largest number of rows one block emits once copies are regenerated.
+    own = targets.where(~F.col("_halo")).drop("_halo")
+    widest = _join_units(units, own, keys).groupBy(*keys, "_t").agg(F.sum("_sw").alias("_o")).agg(
+        F.max("_o")
+    ).first()[0] or 0
+    res_cols = [*cols, *[f.name for f in added]]
+    dated = _expand(out.select(*res_cols, "_w", "_rh"), res_cols, spread=widest > 4 * b)
+    undated = runs.where(F.col("_nd")).select(
+        *cols, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added], F.col("_m").alias("_w"), "_rh"
     )
-    rows = tagged.join(t, on, "left").drop(*[f"_d_{k}" for k in keys], "_d_date")
-    out = compute(rows, [*keys, "_t", "_nd", "_sp"])
-    return out.where(~F.coalesce(F.col("_halo"), F.lit(False))).drop("_t", "_halo")
+    return dated.unionByName(_expand(undated, res_cols, spread=True))
 
 
 def sequence_window(
@@ -146,42 +302,39 @@ def sequence_window(
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Apply ``compute(frame, partition_cols)`` - which must add columns using
-    windows partitioned by ``partition_cols`` and ordered by (date, nav), and
-    look back at most ``halo`` rows - to every row of ``df``.
-
-    ``split``: ``"auto"`` (count rows per key with one small aggregation and
-    split only hot keys), ``"never"`` (plain window) or ``"always"`` (every
-    key blocked; for tests and for data known to be skewed).
-    Rows with a NULL date are not part of any sequence: they are kept, with
-    NULL in the added columns.
+    """Apply ``compute`` to every row of ``df``, each key's rows forming one
+    sequence. ``split``: ``"auto"`` (one small aggregation counts rows per key;
+    only keys over ``hot_rows`` are split), ``"never"`` (plain window) or
+    ``"always"`` (every key split; for tests and data known to be skewed).
+    Rows with a NULL date are in no sequence: they are kept, with NULL in the
+    added columns.
     """
     keys = list(keys)
     if split not in ("auto", "never", "always"):
         raise ValueError(f"split must be auto, never or always, not {split!r}")
-    undated = F.col("date").isNull()
-    # Undated rows ride along in the same window pass (no second scan of the
-    # input) but in groups of their own: (key, undated, nav) - they never feed
-    # a dated row's window, and their own outputs are nulled below.
-    tagged = df.withColumn("_nd", undated).withColumn("_sp", F.when(undated, F.col("nav")))
-    parts = [*keys, "_nd", "_sp"]
+    cols = list(df.columns)
+    # Undated rows ride along in the plain window pass (no second scan) in
+    # groups of their own, (key, undated, nav); their outputs are nulled.
+    tagged = tag(df)
+
+    def plain(x: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys, "_nd", "_sp").orderBy(*_sequence_order())
+        res = compute(x, w)
+        added = [c for c in res.columns if c not in x.columns]
+        return res.select(*cols, *[F.when(~F.col("_nd"), F.col(c)).alias(c) for c in added])
 
     if split == "never":
-        res = compute(tagged, parts)
-    elif split == "always":
-        res = blocked(tagged, keys, halo, compute, block_rows)
-    else:
-        dated = df.where(F.col("date").isNotNull())
-        counts = dated.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        # Materialised: it is counted here and joined below (one input pass).
-        hot = materialize(counts.where(F.col("_n") > F.lit(int(hot_rows))).select(*keys))
-        n_hot = hot.count()  # bounded: at most total_rows / hot_rows keys
-        if n_hot == 0:
-            res = compute(tagged, parts)
-        else:
-            res = blocked(tagged, keys, halo, compute, block_rows, hot, n_hot)
+        return plain(tagged)
+    if split == "always":
+        return split_window(tagged, cols, keys, halo, compute, block_rows)
 
-    added = [c for c in res.columns if c not in tagged.columns and c != "_t"]
-    return res.select(
-        *df.columns, *[F.when(~F.col("_nd"), F.col(c)).alias(c) for c in added]
-    )
+    counts = df.where(F.col("date").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # Materialised: it is counted here and joined below.
+    hot = materialize(counts.where(F.col("_n") > F.lit(int(hot_rows))).select(*keys))
+    n_hot = hot.count()  # bounded: at most total_rows / hot_rows keys
+    if n_hot == 0:
+        return plain(tagged)
+    h = _maybe_broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]), n_hot, MAX_BROADCAST_KEYS)
+    on = _on(tagged, h, [(k, f"_h_{k}") for k in keys])
+    cold = plain(tagged.join(h, on, "left_anti"))
+    return cold.unionByName(split_window(tagged.join(h, on, "left_semi"), cols, keys, halo, compute, block_rows))

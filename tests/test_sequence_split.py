@@ -8,7 +8,9 @@ from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from navspark import returns, rolling_metrics
-from navspark.plans.sequence import block_targets
+from pyspark.sql import functions as F
+
+from navspark.plans.sequence import plan_units, tag
 from navspark.schemas import NAV_SCHEMA
 
 BASE = dt.date(2020, 1, 1)
@@ -68,17 +70,46 @@ def test_split_equals_plain(spark, case):
         ) == plain_r
 
 
+def _block_sizes(df, keys, halo, block_rows):
+    """Rows each window block receives (own rows and halo copies), and the
+    unit table."""
+    _, heads, units, targets = plan_units(tag(df), df.columns, keys, halo, block_rows)
+    t = targets.withColumnsRenamed({**{k: f"_t_{k}" for k in keys}, "date": "_tdate", "_r": "_tr"})
+    on = [heads[k].eqNullSafe(t[f"_t_{k}"]) for k in keys] + [heads["date"] == t["_tdate"], heads["_r"] == t["_tr"]]
+    j = heads.join(t, on)
+    return [r["count"] for r in j.groupBy("_t").count().collect()], units
+
+
 def test_blocks_are_bounded(spark):
-    # One hot key with 3000 rows over 300 days: blocks hold about block_rows
-    # rows plus at most the halo, never the whole key.
+    # One hot key: 3000 rows over 300 days, then three heavy days of 1000
+    # distinct NAVs each, then a day of 900 rows sharing one NAV (distinct
+    # codes, so not copies). Every block holds about block_rows rows plus the
+    # halo, never a whole day.
     rows = [(BASE + dt.timedelta(days=i // 10), float(i), "hot", "H") for i in range(3000)]
+    for d in range(3):
+        rows += [(BASE + dt.timedelta(days=400 + d), float(1000 - i), "hot", "H") for i in range(1000)]
+    rows += [(BASE + dt.timedelta(days=500), 7.0, f"c{i}", "H") for i in range(900)]
+    df = spark.createDataFrame(rows, NAV_SCHEMA)
+    sizes, units = _block_sizes(df, ["scheme_name"], halo=25, block_rows=200)
+    assert sum(sizes) >= len(rows)
+    assert len(sizes) >= len(rows) // 200 - 1
+    assert max(sizes) <= 2 * 200 + 25
+    # the heavy days and the one-valued day are cut into several units
+    per_day = {r["date"]: r["count"] for r in units.groupBy("date").count().collect()}
+    assert all(per_day[BASE + dt.timedelta(days=400 + d)] >= 10 for d in range(3))
+    assert per_day[BASE + dt.timedelta(days=500)] >= 900 // 50
+
+
+def test_copies_collapse(spark):
+    # 5000 copies of one row on one day: a run of halo + 1 heads, not 5000.
+    rows = [(BASE, 5.0, "c", "H")] * 5000 + [(BASE + dt.timedelta(days=1), 6.0, "c", "H")]
     df = spark.createDataFrame(rows, NAV_SCHEMA)
-    t = block_targets(df, ["scheme_name"], halo=25, block_rows=200)
-    sizes = (
-        df.join(t, ["scheme_name", "date"]).groupBy("_t").count().collect()
-    )
-    assert len(sizes) >= 3000 // 200 - 1
-    assert max(r["count"] for r in sizes) <= 200 + 10 + 25 + 10
+    runs, heads, units, targets = plan_units(tag(df), df.columns, ["scheme_name"], 3, 10)
+    assert heads.count() == 4 + 1
+    out = returns(df, [1, 2], split="always", block_rows=10).collect()
+    assert len(out) == 5001
+    last = [r for r in out if r["date"] == BASE + dt.timedelta(days=1)][0]
+    assert last["return_1d"] == 20.0 and last["return_2d"] == 20.0
 
 
 @pytest.mark.parametrize("split", ["never", "always"])
