@@ -52,7 +52,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from navspark.plans.materialize import materialize
@@ -71,10 +71,11 @@ MAX_BROADCAST_UNITS = 4_000_000
 MAX_SPLITS = 256
 QUANTILE_ACCURACY = 10_000
 
-# compute(frame, window) adds columns using ``window`` (partitioned and
-# ordered by the plan; row frames may be narrowed but must end at the current
-# row and reach back at most ``halo`` rows).
-Compute = Callable[[DataFrame, WindowSpec], DataFrame]
+# compute(frame, parts, order) adds columns using windows partitioned by
+# ``parts`` (or finer) and ordered by ``order`` (sort expressions, the
+# sequence order); row frames must end at the current row and reach back at
+# most ``halo`` rows.
+Compute = Callable[[DataFrame, list[str], list[Column]], DataFrame]
 
 _HALF = 9.223372036854775808e18  # 2**63
 
@@ -276,8 +277,7 @@ def split_window(
     tj = _maybe_broadcast(targets, targets.count(), MAX_BROADCAST_UNITS)
     tagged = _join_units(heads, tj, keys)
 
-    w = Window.partitionBy(*keys, "_t").orderBy(*_sequence_order("_j"))
-    out = compute(tagged, w).where(~F.col("_halo"))
+    out = compute(tagged, [*keys, "_t"], _sequence_order("_j")).where(~F.col("_halo"))
     added = [f for f in out.schema.fields if f.name not in tagged.columns]
 
     # Largest number of rows one block emits once copies are regenerated.
@@ -318,8 +318,7 @@ def sequence_window(
     tagged = tag(df)
 
     def plain(x: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*keys, "_nd", "_sp").orderBy(*_sequence_order())
-        res = compute(x, w)
+        res = compute(x, [*keys, "_nd", "_sp"], _sequence_order())
         added = [c for c in res.columns if c not in x.columns]
         return res.select(*cols, *[F.when(~F.col("_nd"), F.col(c)).alias(c) for c in added])
 

@@ -70,6 +70,17 @@ def test_split_equals_plain(spark, case):
         ) == plain_r
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck),
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(cases, st.integers(1, 12))
+def test_rolling_blocks_equal_frame(spark, case, w):
+    seed, n, k, days, dup, nul, block = case
+    df = spark.createDataFrame(make_rows(seed, n, k, days, dup, nul), NAV_SCHEMA)
+    frame = canon(rolling_metrics(df, w, split="never", method="frame"))
+    assert canon(rolling_metrics(df, w, split="never", method="blocks")) == frame
+    assert canon(rolling_metrics(df, w, split="always", block_rows=block, method="blocks")) == frame
+
+
 def _block_sizes(df, keys, halo, block_rows):
     """Rows each window block receives (own rows and halo copies), and the
     unit table."""
