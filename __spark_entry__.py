@@ -44,7 +44,8 @@ RANGE = ("01-01-1997", "30-06-1998")
 MULTI_MAPPING = {"2": "Brand Two Fund", "17": "Brand Seventeen Fund", "999": "Not Landed Fund"}
 MULTI_RANGE = ("01-01-1996", "31-12-2000")
 PAYLOAD_CODE = "7"
-ROLL_LONG, ROLL_SHORT = 252, 32
+ROLL_LONG, ROLL_SHORT, ROLL_TINY = 252, 32, 7
+SHORT_PERIODS = (1, 3)
 
 
 def _round(df: DataFrame, cols) -> DataFrame:
@@ -94,8 +95,23 @@ def q_returns_by_code(spark, sf):
     )
 
 
-def _rolling(spark, sf, n, **kw):
-    return _round(rolling_metrics(nav_by_brand(spark, sf), n, **kw), ["rolling_avg_nav", "rolling_volatility"])
+def q_returns_by_name(spark, sf):
+    # Name-keyed over the part table: several codes share a name and a date,
+    # so the NAV decides the order within a day.
+    return _round(returns(nav_by_part(spark, sf)), ["return_1d", "return_7d", "return_30d"])
+
+
+def q_returns_by_name_split(spark, sf):
+    # The same order through the hot-key plan with one-head units: every day
+    # holding two or more rows of a name is cut at NAV quantiles.
+    return _round(
+        returns(nav_by_part(spark, sf), SHORT_PERIODS, split="always", block_rows=4),
+        [f"return_{p}d" for p in SHORT_PERIODS],
+    )
+
+
+def _rolling(spark, sf, n, nav=nav_by_brand, **kw):
+    return _round(rolling_metrics(nav(spark, sf), n, **kw), ["rolling_avg_nav", "rolling_volatility"])
 
 
 def q_rolling_metrics(spark, sf):
@@ -110,6 +126,19 @@ def q_rolling_metrics_split(spark, sf):
     return _rolling(spark, sf, ROLL_SHORT, split="always", block_rows=40)
 
 
+def q_rolling_metrics_long_split(spark, sf):
+    # Long frame (prefix/suffix blocks) inside the hot-key plan.
+    return _rolling(spark, sf, ROLL_LONG, split="always", block_rows=400)
+
+
+def q_rolling_metrics_by_name(spark, sf):
+    return _rolling(spark, sf, ROLL_LONG, nav_by_part)
+
+
+def q_rolling_metrics_by_name_split(spark, sf):
+    return _rolling(spark, sf, ROLL_TINY, nav_by_part, split="always", block_rows=8, method="blocks")
+
+
 def q_latest_nav(spark, sf):
     return latest_nav(nav_by_brand(spark, sf))
 
@@ -256,17 +285,17 @@ def _ret(p: str, key: str) -> str:
     return f"{_r(f'(nav - {lag}) / nullif({lag}, 0) * 100')} AS return_{p}d"
 
 
-def _returns_sql(nav_cte: str, key: str) -> str:
+def _returns_sql(nav_cte: str, key: str, periods=(1, 7, 30)) -> str:
     return f"""
 WITH {nav_cte}
-SELECT date, nav, scheme_code, scheme_name, {_ret('1', key)}, {_ret('7', key)}, {_ret('30', key)}
+SELECT date, nav, scheme_code, scheme_name, {', '.join(_ret(str(p), key) for p in periods)}
 FROM nav"""
 
 
-def _rolling_sql(n: int) -> str:
+def _rolling_sql(n: int, nav_cte: str = NAV_BRAND) -> str:
     w = f"OVER (PARTITION BY scheme_name ORDER BY date, nav NULLS FIRST ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
     return f"""
-WITH {NAV_BRAND}
+WITH {nav_cte}
 SELECT date, nav, scheme_code, scheme_name,
        {_r(f'avg(nav) {w}')} AS rolling_avg_nav,
        min(nav) {w} AS rolling_min_nav,
@@ -323,9 +352,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "returns": q_returns,
         "returns_split": q_returns_split,
         "returns_by_code": q_returns_by_code,
+        "returns_by_name": q_returns_by_name,
+        "returns_by_name_split": q_returns_by_name_split,
         "rolling_metrics": q_rolling_metrics,
         "rolling_metrics_32": q_rolling_metrics_32,
         "rolling_metrics_split": q_rolling_metrics_split,
+        "rolling_metrics_long_split": q_rolling_metrics_long_split,
+        "rolling_metrics_by_name": q_rolling_metrics_by_name,
+        "rolling_metrics_by_name_split": q_rolling_metrics_by_name_split,
         "latest_nav": q_latest_nav,
         "latest_nav_by_part": q_latest_nav_by_part,
         "monthly_nav": q_monthly_nav,
@@ -352,9 +386,14 @@ def oracle_sql() -> dict[str, str]:
         "returns": _returns_sql(NAV_BRAND, "scheme_name"),
         "returns_split": _returns_sql(NAV_BRAND, "scheme_name"),
         "returns_by_code": _returns_sql(NAV_PART, "scheme_code"),
+        "returns_by_name": _returns_sql(NAV_PART, "scheme_name"),
+        "returns_by_name_split": _returns_sql(NAV_PART, "scheme_name", SHORT_PERIODS),
         "rolling_metrics": _rolling_sql(ROLL_LONG),
         "rolling_metrics_32": _rolling_sql(ROLL_SHORT),
         "rolling_metrics_split": _rolling_sql(ROLL_SHORT),
+        "rolling_metrics_long_split": _rolling_sql(ROLL_LONG),
+        "rolling_metrics_by_name": _rolling_sql(ROLL_LONG, NAV_PART),
+        "rolling_metrics_by_name_split": _rolling_sql(ROLL_TINY, NAV_PART),
         "latest_nav": _latest_sql(NAV_BRAND),
         "latest_nav_by_part": _latest_sql(NAV_PART),
         "monthly_nav": _monthly_sql(NAV_BRAND),
