@@ -267,11 +267,17 @@ def _join_units(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def split_window(
-    rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo: int, compute: Compute, block_rows: int
+    rows: DataFrame,
+    cols: Sequence[str],
+    keys: Sequence[str],
+    halo: int,
+    compute: Compute,
+    block_rows: int,
+    undated: bool = True,
 ) -> DataFrame:
-    """The split plan for ``rows`` (all rows of the keys to split, with
-    ``_nd``/``_rh`` helper columns): returns ``cols`` + added columns, added
-    columns NULL for undated rows."""
+    """The split plan for ``rows`` (all rows of the keys to split, tagged by
+    :func:`tag`): returns ``cols`` + added columns, added columns NULL for
+    undated rows (which are left out when ``undated`` is False)."""
     b = max(int(block_rows), int(halo) + 1)
     runs, heads, units, targets = plan_units(rows, cols, keys, halo, b)
     tj = _maybe_broadcast(targets, targets.count(), MAX_BROADCAST_UNITS)
@@ -287,10 +293,19 @@ def split_window(
     ).first()[0] or 0
     res_cols = [*cols, *[f.name for f in added]]
     dated = _expand(out.select(*res_cols, "_w", "_rh"), res_cols, spread=widest > 4 * b)
-    undated = runs.where(F.col("_nd")).select(
-        *cols, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added], F.col("_m").alias("_w"), "_rh"
-    )
-    return dated.unionByName(_expand(undated, res_cols, spread=True))
+    if not undated:
+        return dated
+    return dated.unionByName(_undated_rows(runs.where(F.col("_nd")), cols, added))
+
+
+def _undated_rows(runs: DataFrame, cols: Sequence[str], added) -> DataFrame:
+    """Undated rows (in no sequence) with NULL added columns, from ``runs``
+    (``cols``, ``_rh`` and multiplicity ``_m``): copies are regenerated in
+    chunks spread by a shuffle, so a large group of undated copies is not
+    one task's work."""
+    res_cols = [*cols, *[f.name for f in added]]
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in added]
+    return _expand(runs.select(*cols, *nulls, F.col("_m").alias("_w"), "_rh"), res_cols, spread=True)
 
 
 def sequence_window(
@@ -313,11 +328,11 @@ def sequence_window(
     if split not in ("auto", "never", "always"):
         raise ValueError(f"split must be auto, never or always, not {split!r}")
     cols = list(df.columns)
-    # Undated rows ride along in the plain window pass (no second scan) in
-    # groups of their own, (key, undated, nav); their outputs are nulled.
     tagged = tag(df)
 
     def plain(x: DataFrame) -> DataFrame:
+        # Undated rows in ``x`` sit in window groups of their own, (key,
+        # undated, nav), and get NULL outputs.
         res = compute(x, [*keys, "_nd", "_sp"], _sequence_order())
         added = [c for c in res.columns if c not in x.columns]
         return res.select(*cols, *[F.when(~F.col("_nd"), F.col(c)).alias(c) for c in added])
@@ -327,13 +342,32 @@ def sequence_window(
     if split == "always":
         return split_window(tagged, cols, keys, halo, compute, block_rows)
 
-    counts = df.where(F.col("date").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # Materialised: it is counted here and joined below.
-    hot = materialize(counts.where(F.col("_n") > F.lit(int(hot_rows))).select(*keys))
-    n_hot = hot.count()  # bounded: at most total_rows / hot_rows keys
+    # One aggregation over the input (partial in every task, one row per
+    # key): dated rows per key and undated rows per key. Materialised: both
+    # decisions below read it.
+    counts = materialize(
+        df.groupBy(*keys).agg(
+            F.count("date").alias("_n"), F.count_if(F.col("date").isNull()).alias("_u")
+        )
+    )
+    n_undated, n_hot = counts.agg(
+        F.coalesce(F.sum("_u"), F.lit(0)), F.count_if(F.col("_n") > F.lit(int(hot_rows)))
+    ).first()
+    dated = tagged.where(~F.col("_nd"))
     if n_hot == 0:
-        return plain(tagged)
-    h = _maybe_broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]), n_hot, MAX_BROADCAST_KEYS)
-    on = _on(tagged, h, [(k, f"_h_{k}") for k in keys])
-    cold = plain(tagged.join(h, on, "left_anti"))
-    return cold.unionByName(split_window(tagged.join(h, on, "left_semi"), cols, keys, halo, compute, block_rows))
+        out = plain(dated)
+    else:
+        hot = counts.where(F.col("_n") > F.lit(int(hot_rows)))
+        h = _maybe_broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]), n_hot, MAX_BROADCAST_KEYS)
+        on = _on(dated, h, [(k, f"_h_{k}") for k in keys])
+        cold = plain(dated.join(h, on, "left_anti"))
+        out = cold.unionByName(
+            split_window(dated.join(h, on, "left_semi"), cols, keys, halo, compute, block_rows, undated=False)
+        )
+    if not n_undated:
+        return out
+    # Undated rows need no window: copies collapse (a partial aggregation)
+    # and are regenerated in spread chunks.
+    added = [f for f in out.schema.fields if f.name not in cols]
+    runs = tagged.where(F.col("_nd")).groupBy(*cols, "_rh").agg(F.count(F.lit(1)).alias("_m"))
+    return out.unionByName(_undated_rows(runs, cols, added))

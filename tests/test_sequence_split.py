@@ -123,7 +123,7 @@ def test_copies_collapse(spark):
     assert last["return_1d"] == 20.0 and last["return_2d"] == 20.0
 
 
-@pytest.mark.parametrize("split", ["never", "always"])
+@pytest.mark.parametrize("split", ["never", "always", "auto"])
 def test_undated_rows_kept(spark, split):
     rows = [(None, 3.0, "c", "S"), (BASE, 1.0, "c", "S"), (BASE + dt.timedelta(days=1), 2.0, "c", "S")]
     out = returns(spark.createDataFrame(rows, NAV_SCHEMA), [1], split=split, block_rows=1).collect()
