@@ -207,18 +207,25 @@ def q_scan_schemes(spark, sf):
 
 
 def q_scheme_payload(spark, sf):
+    # One scheme's landed documents, summarised per month (a month may span
+    # several bounded documents).
     docs = payload_documents(nav_by_brand(spark, sf)).where(F.col("scheme_code") == PAYLOAD_CODE)
     dates = F.transform(
         F.from_json("value", "data ARRAY<STRUCT<date:STRING,nav:STRING>>")["data"],
         lambda p: F.to_date(p["date"], "dd-MM-yyyy"),
     )
-    return docs.select(
+    per_doc = docs.select(
         "scheme_code",
         "period",
         F.json_array_length(F.get_json_object("value", "$.data")).cast("bigint").alias("n_points"),
         F.array_min(dates).alias("first_date"),
         F.array_max(dates).alias("last_date"),
     )
+    return per_doc.groupBy("scheme_code", "period").agg(
+        F.sum("n_points").alias("n_points"),
+        F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
+    )
 
 
 # --------------------------------------------------------------------------- SQL side

@@ -19,8 +19,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from navspark.plans.materialize import materialize
 from navspark.schemas import NAV_COLUMNS
 
+# A rendered payload document holds at most about this many points.
+MAX_DOC_POINTS = 100_000
+# Broadcast the list of oversized (scheme, month) groups only up to this size.
+MAX_BROADCAST_GROUPS = 1_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -78,13 +84,18 @@ def scheme_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payload_documents(nav: DataFrame) -> DataFrame:
-    """Render a NAV table as payload documents in the service's text format,
-    one JSON document per (scheme, month): ``scheme_code, period, value``.
+def payload_documents(nav: DataFrame, max_points: int = MAX_DOC_POINTS) -> DataFrame:
+    """Render a NAV table as payload documents in the service's text format:
+    ``scheme_code, period, part, value``, one or more documents per (scheme,
+    month), each holding at most about ``max_points`` points.
 
-    A document holds at most one month of one scheme, so no group grows with
-    the data (a scheme's whole history is never gathered into one row).
+    Copies of a point first collapse into one row with a multiplicity (a
+    partial aggregation). A (scheme, month) over ``max_points`` points is cut
+    into ``ceil(n / max_points)`` parts by a hash of the point and its copy
+    chunk, and the copies are regenerated inside each bounded document, so
+    neither a hot scheme nor a pile of copies gathers into one row.
     """
+    d = int(max_points)
     pts = nav.select(
         "scheme_code",
         F.date_format("date", "yyyy-MM").alias("period"),
@@ -93,6 +104,35 @@ def payload_documents(nav: DataFrame) -> DataFrame:
             F.col("nav").cast("string").alias("nav"),
         ).alias("p"),
     )
-    return pts.groupBy("scheme_code", "period").agg(
-        F.to_json(F.struct(F.collect_list("p").alias("data"))).alias("value")
+    runs = pts.groupBy("scheme_code", "period", "p").agg(F.count(F.lit(1)).alias("_m"))
+    # Groups too large for one document: at most (rows / max_points) of them.
+    big = materialize(
+        runs.groupBy("scheme_code", "period")
+        .agg(F.sum("_m").alias("_n"))
+        .where(F.col("_n") > F.lit(d))
+        .select("scheme_code", "period", F.ceil(F.col("_n") / F.lit(d)).alias("_parts"))
+    )
+    n_big = big.count()
+    if n_big:
+        bj = big.select(F.col("scheme_code").alias("_b_code"), F.col("period").alias("_b_period"), "_parts")
+        bj = F.broadcast(bj) if n_big <= MAX_BROADCAST_GROUPS else bj
+        on = runs["scheme_code"].eqNullSafe(bj["_b_code"]) & runs["period"].eqNullSafe(bj["_b_period"])
+        chunks = (
+            runs.join(bj, on, "left")
+            .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("_m") / F.lit(d)) - 1)))
+            .withColumn("_w", F.least(F.lit(d).cast("long"), F.col("_m") - F.col("_c") * F.lit(d)))
+            .withColumn(
+                "part",
+                F.when(F.col("_parts").isNull(), F.lit(0).cast("long")).otherwise(
+                    F.pmod(F.xxhash64("p", "_c"), F.col("_parts"))
+                ),
+            )
+        )
+    else:
+        chunks = runs.withColumn("_w", F.col("_m")).withColumn("part", F.lit(0).cast("long"))
+    points = F.flatten(
+        F.transform(F.collect_list(F.struct("p", "_w")), lambda x: F.array_repeat(x["p"], x["_w"].cast("int")))
+    )
+    return chunks.groupBy("scheme_code", "period", "part").agg(
+        F.to_json(F.struct(points.alias("data"))).alias("value")
     )

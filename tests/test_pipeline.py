@@ -12,13 +12,13 @@ from tests.conftest import SF_SMALL
 
 
 def land_from_tables(spark, root):
-    """Write payload documents (one per scheme and month) and one catalogue
+    """Write payload documents (per scheme and month) and one catalogue
     document, in the service's formats, from the sf0.001 tables."""
     docs = payload_documents(nav_by_brand(spark, SF_SMALL))
     for r in docs.collect():
         d = os.path.join(root, "payloads", f"scheme_code={r['scheme_code']}")
         os.makedirs(d, exist_ok=True)
-        with open(os.path.join(d, f"{r['period']}.json"), "w") as f:
+        with open(os.path.join(d, f"{r['period']}-{r['part']}.json"), "w") as f:
             f.write(r["value"])
     cat = [json.loads(r["value"]) for r in schemes_to_json_lines(scheme_catalogue(spark, SF_SMALL)).collect()]
     with open(os.path.join(root, "schemes.json"), "w") as f:
