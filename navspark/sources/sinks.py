@@ -16,18 +16,25 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_nav(nav: DataFrame, path: str, mode: str = "overwrite") -> None:
     """NAV table partitioned by ``year`` so date-bounded reads prune files.
 
-    Rows are range-partitioned on (year, scheme_code, date) before the write:
-    each task then covers one contiguous slice and writes one or two files, and
-    a scheme holding a large share of the rows is still cut into many tasks
-    (a hash shuffle on the scheme would put it into one). Rows with a NULL
-    date land in the ``year=__HIVE_DEFAULT_PARTITION__`` part.
+    The rows are rebalanced on ``year`` before the write (the REBALANCE hint):
+    AQE cuts a year's shuffle output into partitions of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and merges small
+    ones, so files have a sane size and a year, scheme, day or pile of copies
+    holding a large share of the rows is still written by many tasks (the cut
+    is by map-output blocks, not by key). Each task sorts its rows by
+    (scheme_code, date), so parquet row groups carry tight min/max
+    statistics for pushed-down filters. Rows with a NULL date land in the
+    ``year=__HIVE_DEFAULT_PARTITION__`` part.
     """
-    (
+    nav_layout(nav).write.mode(mode).partitionBy("year").parquet(path)
+
+
+def nav_layout(nav: DataFrame) -> DataFrame:
+    """``nav`` plus ``year``, rebalanced and sorted as :func:`write_nav` writes it."""
+    return (
         nav.withColumn("year", F.year("date"))
-        .repartitionByRange("year", "scheme_code", "date")
-        .write.mode(mode)
-        .partitionBy("year")
-        .parquet(path)
+        .hint("rebalance", "year")
+        .sortWithinPartitions("year", "scheme_code", "date")
     )
 
 

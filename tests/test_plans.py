@@ -27,6 +27,14 @@ def stored_nav(spark, tmp_path_factory):
     return read_nav_table(spark, path)
 
 
+def test_nav_write_is_rebalanced(stored_nav):
+    from navspark.sources.sinks import nav_layout
+
+    p = plan(nav_layout(stored_nav))
+    assert "REBALANCE_PARTITIONS_BY_COL" in p
+    assert "RangePartitioning" not in p
+
+
 def test_all_lags_share_one_exchange(stored_nav):
     p = plan(returns(stored_nav, [1, 7, 30], split="never"))
     assert len(re.findall(r"Exchange hashpartitioning\(scheme_name", p)) == 1
