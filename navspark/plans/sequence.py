@@ -103,16 +103,20 @@ def _unit_index(m: Column) -> Column:
     return F.least(F.floor(frac * m), m - F.lit(1))
 
 
-def unit_targets(units: DataFrame, keys: Sequence[str], halo: int, block_rows: int) -> DataFrame:
-    """From ``units`` (keys, date, _r, _c = heads in the unit) to one row per
-    (unit, block it goes to): ``_t`` and ``_halo`` (look-back copy only)."""
-    b = max(int(block_rows), int(halo) + 1)
+def unit_offsets(units: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
+    """``units`` (keys, date, _r, _c = heads in the unit) plus ``_p``, the
+    unit's offset in its key's sequence, and ``_blk``, its block."""
     w = Window.partitionBy(*keys).orderBy("date", "_r").rowsBetween(Window.unboundedPreceding, -1)
-    units = materialize(
-        units.withColumn("_p", F.coalesce(F.sum("_c").over(w), F.lit(0))).withColumn(
-            "_blk", F.floor(F.col("_p") / F.lit(b))
-        )
+    return units.withColumn("_p", F.coalesce(F.sum("_c").over(w), F.lit(0))).withColumn(
+        "_blk", F.floor(F.col("_p") / F.lit(int(block_rows)))
     )
+
+
+def unit_targets(units: DataFrame, keys: Sequence[str], halo: int, block_rows: int) -> DataFrame:
+    """From ``units`` with offsets (:func:`unit_offsets`) to one row per (unit,
+    block it goes to): ``_t`` and ``_halo`` (look-back copy only). At most
+    three rows per unit: its own block and two look-back targets."""
+    b = max(int(block_rows), int(halo) + 1)
     own = units.select(*keys, "date", "_r", F.col("_blk").alias("_t"), F.lit(False).alias("_halo"))
     if halo <= 0:
         return own
@@ -248,9 +252,13 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
             heads = heads.withColumn("_r2", F.lit(0))
         heads = heads.withColumn("_r", F.col("_q") * F.lit(1 << 32) + F.col("_r2").cast("long")).drop("_q", "_r2")
     units = materialize(
-        heads.groupBy(*keys, "date", "_r").agg(F.count(F.lit(1)).alias("_c"), F.sum("_w").alias("_sw"))
+        unit_offsets(
+            heads.groupBy(*keys, "date", "_r").agg(F.count(F.lit(1)).alias("_c"), F.sum("_w").alias("_sw")),
+            keys,
+            b,
+        )
     )
-    targets = materialize(unit_targets(units.select(*keys, "date", "_r", "_c"), keys, halo, b))
+    targets = unit_targets(units, keys, halo, b)
     return runs, heads, units, targets
 
 
@@ -280,17 +288,21 @@ def split_window(
     undated rows (which are left out when ``undated`` is False)."""
     b = max(int(block_rows), int(halo) + 1)
     runs, heads, units, targets = plan_units(rows, cols, keys, halo, b)
-    tj = _maybe_broadcast(targets, targets.count(), MAX_BROADCAST_UNITS)
+    # One job over the unit table: the unit count (targets are at most three
+    # per unit) and the largest number of rows one block emits once copies
+    # are regenerated.
+    widest, n_units = (
+        units.groupBy(*keys, "_blk")
+        .agg(F.sum("_sw").alias("_o"), F.count(F.lit(1)).alias("_n"))
+        .agg(F.max("_o"), F.sum("_n"))
+        .first()
+    )
+    widest, n_units = widest or 0, n_units or 0
+    tj = _maybe_broadcast(targets, 3 * n_units, MAX_BROADCAST_UNITS)
     tagged = _join_units(heads, tj, keys)
 
     out = compute(tagged, [*keys, "_t"], _sequence_order("_j")).where(~F.col("_halo"))
     added = [f for f in out.schema.fields if f.name not in tagged.columns]
-
-    # Largest number of rows one block emits once copies are regenerated.
-    own = targets.where(~F.col("_halo")).drop("_halo")
-    widest = _join_units(units, own, keys).groupBy(*keys, "_t").agg(F.sum("_sw").alias("_o")).agg(
-        F.max("_o")
-    ).first()[0] or 0
     res_cols = [*cols, *[f.name for f in added]]
     dated = _expand(out.select(*res_cols, "_w", "_rh"), res_cols, spread=widest > 4 * b)
     if not undated:
