@@ -41,9 +41,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 SEARCH_KEYWORD = "RED"
 SEARCH_TYPE_KEYWORD = ("Widget", "eco")
 RANGE = ("01-01-1997", "30-06-1998")
-MULTI_MAPPING = {"2": "Brand Two Fund", "17": "Brand Seventeen Fund", "999": "Not Landed Fund"}
 MULTI_RANGE = ("01-01-1996", "31-12-2000")
-PAYLOAD_CODE = "7"
 ROLL_LONG, ROLL_SHORT, ROLL_TINY = 252, 32, 7
 SHORT_PERIODS = (1, 3)
 
@@ -185,16 +183,23 @@ def q_nav_from_json(spark, sf):
     return attach_names(raw, names, "left")
 
 
+def _brand_names(spark, sf):
+    # code -> fund-name mapping frame for every brand in ``part``.
+    return table(spark, sf, "part").select(
+        F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).alias("scheme_code"),
+        F.concat(F.lit("Fund "), F.col("p_brand")).alias("scheme_name"),
+    )
+
+
 def q_nav_multi(spark, sf):
-    nav = nav_by_brand(spark, sf).where(F.col("scheme_code").isin(list(MULTI_MAPPING)))
-    return filter_dates(attach_names(nav, MULTI_MAPPING, "inner"), *MULTI_RANGE)
+    # Every scheme named through a mapping frame (size-checked broadcast),
+    # bounded to the requested dates.
+    return filter_dates(attach_names(nav_by_brand(spark, sf), _brand_names(spark, sf), "inner"), *MULTI_RANGE)
 
 
 def q_nav_union(spark, sf):
-    nav = nav_by_brand(spark, sf)
-    named = nav.where(F.col("scheme_code").isin("1", "2"))
-    unnamed = nav.where(F.col("scheme_code") == "3").drop("scheme_name")
-    return nav_union([named, unnamed])
+    # A named frame (per brand) and an unnamed one (per part, name dropped).
+    return nav_union([nav_by_brand(spark, sf), nav_by_part(spark, sf).drop("scheme_name")])
 
 
 def q_top_nav(spark, sf):
@@ -207,9 +212,9 @@ def q_scan_schemes(spark, sf):
 
 
 def q_scheme_payload(spark, sf):
-    # One scheme's landed documents, summarised per month (a month may span
-    # several bounded documents).
-    docs = payload_documents(nav_by_brand(spark, sf)).where(F.col("scheme_code") == PAYLOAD_CODE)
+    # Every scheme's rendered documents, summarised per month (a month may
+    # span several bounded documents).
+    docs = payload_documents(nav_by_brand(spark, sf))
     dates = F.transform(
         F.from_json("value", "data ARRAY<STRUCT<date:STRING,nav:STRING>>")["data"],
         lambda p: F.to_date(p["date"], "dd-MM-yyyy"),
@@ -420,15 +425,16 @@ SELECT * FROM nav WHERE date >= {_iso(RANGE[0])} AND date <= {_iso(RANGE[1])}"""
 WITH {NAV_BRAND}
 SELECT date, nav, scheme_code, scheme_name FROM nav""",
         "nav_multi": f"""
-WITH {NAV_BRAND}
+WITH {NAV_BRAND},
+m AS (SELECT replace(p_brand, 'Brand#', '') AS scheme_code, min('Fund ' || p_brand) AS scheme_name FROM part GROUP BY 1)
 SELECT n.date, n.nav, n.scheme_code, m.scheme_name
-FROM nav n JOIN (VALUES {_values_sql(MULTI_MAPPING)}) m(scheme_code, scheme_name) ON n.scheme_code = m.scheme_code
+FROM nav n JOIN m ON n.scheme_code = m.scheme_code
 WHERE n.date >= {_iso(MULTI_RANGE[0])} AND n.date <= {_iso(MULTI_RANGE[1])}""",
         "nav_union": f"""
-WITH {NAV_BRAND}
-SELECT date, nav, scheme_code, scheme_name FROM nav WHERE scheme_code IN ('1', '2')
+WITH {NAV_BRAND}, {NAV_PART.replace("nav AS (", "navp AS (", 1)}
+SELECT date, nav, scheme_code, scheme_name FROM nav
 UNION ALL
-SELECT date, nav, scheme_code, CAST(NULL AS VARCHAR) AS scheme_name FROM nav WHERE scheme_code = '3'""",
+SELECT date, nav, scheme_code, CAST(NULL AS VARCHAR) AS scheme_name FROM navp""",
         "top_nav": f"""
 WITH {NAV_BRAND}
 SELECT date, nav, scheme_code, scheme_name FROM nav ORDER BY date, scheme_code LIMIT 10""",
@@ -437,6 +443,6 @@ SELECT date, nav, scheme_code, scheme_name FROM nav ORDER BY date, scheme_code L
 WITH {NAV_BRAND}
 SELECT scheme_code, strftime(date, '%Y-%m') AS period, count(*) AS n_points,
        min(date) AS first_date, max(date) AS last_date
-FROM nav WHERE scheme_code = '{PAYLOAD_CODE}'
+FROM nav
 GROUP BY scheme_code, strftime(date, '%Y-%m')""",
     }
