@@ -44,6 +44,7 @@ RANGE = ("01-01-1997", "30-06-1998")
 MULTI_RANGE = ("01-01-1996", "31-12-2000")
 ROLL_LONG, ROLL_SHORT, ROLL_TINY = 252, 32, 7
 SHORT_PERIODS = (1, 3)
+HOT_KEY_ROWS, HOT_KEY_BLOCK = 10_000, 256
 
 
 def _round(df: DataFrame, cols) -> DataFrame:
@@ -137,6 +138,29 @@ def q_rolling_metrics_by_name_split(spark, sf):
     return _rolling(spark, sf, ROLL_TINY, nav_by_part, split="always", block_rows=8, method="blocks")
 
 
+def _nav_hot(spark, sf):
+    # Skewed by construction from the real tables: a third of the parts are
+    # renamed to one scheme, "HOT", so one key holds a third of all rows
+    # beside many ordinary keys. No row is dropped.
+    nav = nav_by_part(spark, sf)
+    return nav.withColumn(
+        "scheme_name",
+        F.when(F.col("scheme_code").cast("long") % 3 == 0, F.lit("HOT")).otherwise(F.col("scheme_name")),
+    )
+
+
+def q_returns_hot_key(spark, sf):
+    # split="auto": one counting pass finds HOT; only it takes the split plan.
+    return _round(
+        returns(_nav_hot(spark, sf), hot_rows=HOT_KEY_ROWS, block_rows=HOT_KEY_BLOCK),
+        ["return_1d", "return_7d", "return_30d"],
+    )
+
+
+def q_rolling_metrics_hot_key(spark, sf):
+    return _rolling(spark, sf, ROLL_LONG, _nav_hot, hot_rows=HOT_KEY_ROWS, block_rows=HOT_KEY_BLOCK)
+
+
 def q_latest_nav(spark, sf):
     return latest_nav(nav_by_brand(spark, sf))
 
@@ -336,6 +360,13 @@ FROM nav WHERE date IS NOT NULL
 GROUP BY scheme_name, year(date), month(date)"""
 
 
+NAV_HOT = """nav AS (
+  SELECT CAST(l_shipdate AS DATE) AS date, min(l_extendedprice) AS nav,
+         CAST(p_partkey AS VARCHAR) AS scheme_code,
+         CASE WHEN p_partkey % 3 = 0 THEN 'HOT' ELSE p_name END AS scheme_name
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+  GROUP BY p_partkey, p_name, CAST(l_shipdate AS DATE))"""
+
 CATALOGUE_SQL = """SELECT CAST(p_partkey AS VARCHAR) AS schemeCode, p_name AS schemeName, p_type AS schemeType FROM part"""
 
 
@@ -372,6 +403,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rolling_metrics_long_split": q_rolling_metrics_long_split,
         "rolling_metrics_by_name": q_rolling_metrics_by_name,
         "rolling_metrics_by_name_split": q_rolling_metrics_by_name_split,
+        "returns_hot_key": q_returns_hot_key,
+        "rolling_metrics_hot_key": q_rolling_metrics_hot_key,
         "latest_nav": q_latest_nav,
         "latest_nav_by_part": q_latest_nav_by_part,
         "monthly_nav": q_monthly_nav,
@@ -406,6 +439,8 @@ def oracle_sql() -> dict[str, str]:
         "rolling_metrics_long_split": _rolling_sql(ROLL_LONG),
         "rolling_metrics_by_name": _rolling_sql(ROLL_LONG, NAV_PART),
         "rolling_metrics_by_name_split": _rolling_sql(ROLL_TINY, NAV_PART),
+        "returns_hot_key": _returns_sql(NAV_HOT, "scheme_name"),
+        "rolling_metrics_hot_key": _rolling_sql(ROLL_LONG, NAV_HOT),
         "latest_nav": _latest_sql(NAV_BRAND),
         "latest_nav_by_part": _latest_sql(NAV_PART),
         "monthly_nav": _monthly_sql(NAV_BRAND),
