@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from navspark import attach_names, latest_nav, nav_range, performance_metrics, returns, write_nav
+from navspark import attach_names, latest_nav, nav_range, performance_metrics, returns, rolling_metrics, write_nav
 from navspark.sources.sinks import read_nav_table
 from navspark.sources.tables import nav_by_brand
 from tests.conftest import SF_SMALL
@@ -41,6 +41,15 @@ def test_all_lags_share_one_exchange(stored_nav):
     assert p.count("Window [") == 1
 
 
+def test_long_rolling_frame_is_blocked(stored_nav):
+    # n=252: no sliding 252-row frame, and the block windows add no shuffle.
+    blocked = plan(rolling_metrics(stored_nav, 252, split="never"))
+    sliding = "RowFrame, -251, currentrow"
+    assert sliding not in blocked
+    assert len(re.findall(r"Exchange hashpartitioning\(scheme_name", blocked)) == 1
+    assert sliding in plan(rolling_metrics(stored_nav, 252, split="never", method="frame"))
+
+
 def test_latest_is_partial_top1(stored_nav):
     p = plan(latest_nav(stored_nav))
     assert "WindowGroupLimit" in p
