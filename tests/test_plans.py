@@ -95,8 +95,11 @@ def test_no_python_in_any_query(spark):
 
 def test_ansi_modes_agree(spark, golden):
     def run():
-        return sorted(map(str, performance_metrics(golden).collect())) + sorted(
-            map(str, returns(golden, [1], split="never").collect())
+        return (
+            sorted(map(str, performance_metrics(golden).collect()))
+            + sorted(map(str, returns(golden, [1], split="never").collect()))
+            + sorted(map(str, rolling_metrics(golden, 3, split="never", method="blocks").collect()))
+            + sorted(map(str, rolling_metrics(golden, 2, split="always", block_rows=2, method="blocks").collect()))
         )
 
     old = spark.conf.get("spark.sql.ansi.enabled")
