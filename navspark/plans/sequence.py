@@ -184,15 +184,13 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
     runs = (
         rows.groupBy(*cols, "_nd", "_rh").agg(F.count(F.lit(1)).alias("_m")).persist(StorageLevel.MEMORY_AND_DISK)
     )
-    t1 = F.least(F.col("_m"), F.lit(int(halo) + 1))
-    heads = (
-        runs.where(~F.col("_nd"))
-        .withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), t1 - F.lit(1))))
-        .withColumn("_w", F.when(F.col("_j") == t1 - 1, F.col("_m") - t1 + 1).otherwise(F.lit(1).cast("long")))
-    )
+    # Planning works on the dated runs, each weighted by its head count
+    # ``_h``: a run's heads share its NAV and hash, hence its unit, so the
+    # heads themselves are generated only for the window pass.
+    heads = runs.where(~F.col("_nd")).withColumn("_h", F.least(F.col("_m"), F.lit(int(halo) + 1)))
     # Heavy days: more than one unit's worth of heads (at most heads / u rows).
     heavy = materialize(
-        heads.groupBy(*keys, "date").agg(F.count(F.lit(1)).alias("_cd")).where(F.col("_cd") > F.lit(u))
+        heads.groupBy(*keys, "date").agg(F.sum("_h").alias("_cd")).where(F.col("_cd") > F.lit(u))
     )
     n_heavy, max_cd = heavy.agg(F.count(F.lit(1)), F.max("_cd")).first()
     if not n_heavy:
@@ -227,7 +225,7 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
         big = materialize(
             heads.where(F.col("_q") % 2 == 0)
             .groupBy(*keys, "date", "_q")
-            .agg(F.count(F.lit(1)).alias("_cq"))
+            .agg(F.sum("_h").alias("_cq"))
             .where(F.col("_cq") > F.lit(u))
             .select(*keys, "date", "_q", F.ceil(F.col("_cq") / F.lit(u)).alias("_mq"))
         )
@@ -253,12 +251,20 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
         heads = heads.withColumn("_r", F.col("_q") * F.lit(1 << 32) + F.col("_r2").cast("long")).drop("_q", "_r2")
     units = materialize(
         unit_offsets(
-            heads.groupBy(*keys, "date", "_r").agg(F.count(F.lit(1)).alias("_c"), F.sum("_w").alias("_sw")),
+            heads.groupBy(*keys, "date", "_r").agg(F.sum("_h").alias("_c"), F.sum("_m").alias("_sw")),
             keys,
             b,
         )
     )
     targets = unit_targets(units, keys, halo, b)
+    # The head rows: the first ``_h`` copies of each run, the last carrying
+    # the weight ``_w`` of the copies after it.
+    t1 = F.col("_h")
+    heads = (
+        heads.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), t1 - F.lit(1))))
+        .withColumn("_w", F.when(F.col("_j") == t1 - 1, F.col("_m") - t1 + 1).otherwise(F.lit(1).cast("long")))
+        .drop("_h")
+    )
     return runs, heads, units, targets
 
 
