@@ -12,7 +12,7 @@ from navspark.schemas import NAV_SCHEMA, PAYLOAD_SCHEMA, SCHEME_SCHEMA
 from navspark.sources.catalogue import read_schemes, schemes_from_json_lines
 from navspark.sources.payload import nav_from_payloads, read_nav, scheme_payload
 from navspark.sources.popular import popular_schemes, popular_schemes_mapping
-from navspark.sources.sinks import write_nav, write_table
+from navspark.sources.sinks import read_nav_table, write_nav, write_table
 from navspark.operators.selection import nav_range, top_nav
 from navspark.operators.combine import nav_multi, nav_union, attach_names
 from navspark.operators.catalog import search_schemes
@@ -20,6 +20,8 @@ from navspark.operators.pivot import pivot_nav
 from navspark.operators.metrics import performance_metrics, scheme_summary
 from navspark.operators.windows import returns, rolling_metrics
 from navspark.operators.periodic import latest_nav, monthly_nav
+from navspark.plans.pipeline import run_pipeline
+from navspark.streaming.ingest import nav_stream, start_nav_ingest
 
 __all__ = [
     "NAV_SCHEMA",
@@ -31,19 +33,23 @@ __all__ = [
     "nav_from_payloads",
     "nav_multi",
     "nav_range",
+    "nav_stream",
     "nav_union",
     "performance_metrics",
     "pivot_nav",
     "popular_schemes",
     "popular_schemes_mapping",
     "read_nav",
+    "read_nav_table",
     "read_schemes",
     "returns",
     "rolling_metrics",
+    "run_pipeline",
     "scheme_payload",
     "scheme_summary",
     "schemes_from_json_lines",
     "search_schemes",
+    "start_nav_ingest",
     "top_nav",
     "write_nav",
     "write_table",
