@@ -60,6 +60,25 @@ def spark_rows(df):
     return cols, sorted(rows, key=_key)
 
 
+# Spark type -> DuckDB type name, for the schema check.
+SPARK_TO_DUCK = {
+    "IntegerType()": "INTEGER",
+    "LongType()": "BIGINT",
+    "DoubleType()": "DOUBLE",
+    "StringType()": "VARCHAR",
+    "DateType()": "DATE",
+    "BooleanType()": "BOOLEAN",
+    "TimestampType()": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_diff(df, con, sql) -> dict:
+    s = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    rel = con.sql(sql)
+    d = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def duck_rows(con, sql):
     rel = con.sql(sql)
     names = rel.columns
@@ -84,7 +103,8 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
             results[name] = {"rows": len(srows), "oracle": None}
             continue
         dcols, drows = duck_rows(con, sqls[name])
-        ok_cols = scols == dcols
+        types = type_diff(df, con, sqls[name])
+        ok_cols = scols == dcols and not types
         ok_rows = len(srows) == len(drows)
         diff = [a for a, b in zip(srows, drows) if a != b] if ok_rows else []
         ok = ok_cols and ok_rows and not diff and srows == drows
@@ -99,7 +119,7 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
         if verbose:
             print(name, results[name], flush=True)
             if not ok_cols:
-                print("  spark cols:", scols, "\n  duck cols: ", dcols)
+                print("  spark cols:", scols, "\n  duck cols: ", dcols, "\n  type differences:", types)
             for a in diff[:3]:
                 j = srows.index(a)
                 print("  spark:", a, "\n  duck: ", drows[j])
