@@ -3,6 +3,8 @@
 import datetime as dt
 import math
 
+import pytest
+
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -32,8 +34,9 @@ def test_rolling_one_row_is_the_nav(spark):
     assert bad.count() == 0
 
 
-def test_rolling_min_avg_max_order(spark):
-    r = rolling_metrics(nav_by_brand(spark, SF_SMALL), 20, split="never")
+@pytest.mark.parametrize("n", [20, 40])  # 40: blocked statistics
+def test_rolling_min_avg_max_order(spark, n):
+    r = rolling_metrics(nav_by_brand(spark, SF_SMALL), n, split="never")
     eps = 1e-9
     bad = r.where(
         (F.col("rolling_min_nav") > F.col("rolling_avg_nav") + eps)
@@ -103,4 +106,7 @@ def test_input_order_does_not_matter(spark, pts, parts):
         return sorted(str(tuple(r(v) for v in row)) for row in x.collect())
 
     assert canon(returns(df, [1, 2], split="never")) == canon(returns(shuffled, [1, 2], split="never"))
+    assert canon(rolling_metrics(df, 3, split="never", method="blocks")) == canon(
+        rolling_metrics(shuffled, 3, split="never", method="blocks")
+    )
     assert canon(performance_metrics(df)) == canon(performance_metrics(shuffled))
