@@ -41,13 +41,16 @@ about 10^8 rows per day of a 30-year history), so the split goes below days:
 
 The result equals the plain plan's (property tests compare them). Small
 intermediate tables are checkpointed into the session's
-``spark.checkpoint.dir`` and broadcast only after their row count is checked;
+``spark.checkpoint.dir`` (required on a cluster: the quantile split points
+must not be recomputed between the jobs that read them) and broadcast only
+after their row count is checked;
 the runs table is persisted (memory and disk) for the three passes that read
 it. Grouping a run needs groupable columns (no map columns).
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -55,7 +58,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navspark.plans.materialize import materialize
+from navspark.plans.materialize import checkpoint_dir, materialize
 
 # Keys with more rows than this are split.
 HOT_ROWS = 2_000_000
@@ -152,6 +155,20 @@ def _expand(df: DataFrame, cols: Sequence[str], spread: bool) -> DataFrame:
     return df.withColumn("_e", F.explode(F.array_repeat(F.lit(True), F.col("_w").cast("int")))).select(*cols)
 
 
+def _require_reliable_tables(df: DataFrame) -> None:
+    """The split points of heavy days come from an approximate aggregate whose
+    result may depend on merge order, and two later jobs must see the same
+    points. With ``spark.checkpoint.dir`` they are written once; without it
+    (local runs) they are only persisted, which a lost executor would undo."""
+    if checkpoint_dir(df) is None and not df.sparkSession.sparkContext.master.startswith("local"):
+        warnings.warn(
+            "navspark: spark.checkpoint.dir is not set; the split plan's unit tables are only "
+            "persisted and are not safe against executor loss on a cluster",
+            RuntimeWarning,
+            stacklevel=3,
+        )
+
+
 def tag(df: DataFrame) -> DataFrame:
     """``df`` with the helper columns the plans use: ``_nd`` (undated), ``_sp``
     (undated rows' NAV, their plain-window group) and ``_rh`` (row hash)."""
@@ -181,6 +198,7 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
     unit."""
     b = max(int(block_rows), int(halo) + 1)
     u = max(1, b // 4)
+    _require_reliable_tables(rows)
     runs = (
         rows.groupBy(*cols, "_nd", "_rh").agg(F.count(F.lit(1)).alias("_m")).persist(StorageLevel.MEMORY_AND_DISK)
     )
