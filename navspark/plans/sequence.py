@@ -20,10 +20,10 @@ about 10^8 rows per day of a 30-year history), so the split goes below days:
    copy ``halo``, so each run is expanded to at most ``halo + 1`` *head* rows
    and the last head carries the weight of the remaining copies.
 2. **Units.** Head rows are counted per (key, date). A day with more than
-   ``u = block_rows / 4`` heads is cut at approximate NAV quantiles (one
-   ``percentile_approx`` aggregate per heavy day, up to ``MAX_SPLITS``
-   points) into buckets: values strictly between two points, or equal to one.
-   A one-valued bucket that still holds more than ``u`` heads is cut into
+   ``u = block_rows / 4`` heads is cut at NAV quantiles (exact
+   ``percentile`` of a hash-chosen sample of about ``SAMPLE_PER_SPLIT`` runs
+   per point, up to ``MAX_SPLITS`` points) into buckets: values strictly
+   between two points, or equal to one. A one-valued bucket that still holds more than ``u`` heads is cut into
    equal ranges of the row hash. Each unit is therefore a contiguous stretch
    of the sequence. The unit table (heads per unit) is small: about total
    heads / ``u``, plus one row per day.
@@ -41,16 +41,16 @@ about 10^8 rows per day of a 30-year history), so the split goes below days:
 
 The result equals the plain plan's (property tests compare them). Small
 intermediate tables are checkpointed into the session's
-``spark.checkpoint.dir`` (required on a cluster: the quantile split points
-must not be recomputed between the jobs that read them) and broadcast only
-after their row count is checked;
+``spark.checkpoint.dir`` and broadcast only after their row count is
+checked; every one of them is a deterministic function of the input (exact
+aggregates, hash-chosen samples), so a recomputation after a lost executor
+rebuilds the same units;
 the runs table is persisted (memory and disk) for the three passes that read
 it. Grouping a run needs groupable columns (no map columns).
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -58,7 +58,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navspark.plans.materialize import checkpoint_dir, materialize
+from navspark.plans.materialize import materialize
 
 # Keys with more rows than this are split.
 HOT_ROWS = 2_000_000
@@ -72,7 +72,8 @@ MAX_BROADCAST_UNITS = 4_000_000
 # A heavy day is cut at up to this many NAV quantiles (the per-row cost of
 # finding a row's bucket grows with it).
 MAX_SPLITS = 256
-QUANTILE_ACCURACY = 10_000
+# Sampled runs per split point (about 1/8 relative error in bucket sizes).
+SAMPLE_PER_SPLIT = 64
 
 # compute(frame, parts, order) adds columns using windows partitioned by
 # ``parts`` (or finer) and ordered by ``order`` (sort expressions, the
@@ -106,6 +107,12 @@ def _unit_index(m: Column) -> Column:
     return F.least(F.floor(frac * m), m - F.lit(1))
 
 
+def _sample_key() -> Column:
+    """A second hash of ``_rh`` mapped to [0, 1), independent of the hash
+    ranges that cut one-valued buckets."""
+    return (F.xxhash64(F.col("_rh"), F.lit(1)).cast("double") + F.lit(_HALF)) / F.lit(2 * _HALF)
+
+
 def unit_offsets(units: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
     """``units`` (keys, date, _r, _c = heads in the unit) plus ``_p``, the
     unit's offset in its key's sequence, and ``_blk``, its block."""
@@ -155,20 +162,6 @@ def _expand(df: DataFrame, cols: Sequence[str], spread: bool) -> DataFrame:
     return df.withColumn("_e", F.explode(F.array_repeat(F.lit(True), F.col("_w").cast("int")))).select(*cols)
 
 
-def _require_reliable_tables(df: DataFrame) -> None:
-    """The split points of heavy days come from an approximate aggregate whose
-    result may depend on merge order, and two later jobs must see the same
-    points. With ``spark.checkpoint.dir`` they are written once; without it
-    (local runs) they are only persisted, which a lost executor would undo."""
-    if checkpoint_dir(df) is None and not df.sparkSession.sparkContext.master.startswith("local"):
-        warnings.warn(
-            "navspark: spark.checkpoint.dir is not set; the split plan's unit tables are only "
-            "persisted and are not safe against executor loss on a cluster",
-            RuntimeWarning,
-            stacklevel=3,
-        )
-
-
 def tag(df: DataFrame) -> DataFrame:
     """``df`` with the helper columns the plans use: ``_nd`` (undated), ``_sp``
     (undated rows' NAV, their plain-window group) and ``_rh`` (row hash)."""
@@ -198,7 +191,6 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
     unit."""
     b = max(int(block_rows), int(halo) + 1)
     u = max(1, b // 4)
-    _require_reliable_tables(rows)
     runs = (
         rows.groupBy(*cols, "_nd", "_rh").agg(F.count(F.lit(1)).alias("_m")).persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -214,20 +206,22 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
     if not n_heavy:
         heads = heads.withColumn("_r", F.lit(0).cast("long"))
     else:
-        # NAV split points per heavy day from an approximate-quantile
-        # aggregate (partial per task, so a hot day costs one buffer per task).
+        # NAV split points per heavy day: exact quantiles of a deterministic
+        # sample (runs whose second hash falls under SAMPLE_PER_SPLIT * k /
+        # day size), so each day's buffer stays bounded and a recomputation
+        # gives the same points.
         k = int(min(MAX_SPLITS, max(2, -(-int(max_cd) // u))))
-        hv = heavy.select(*[F.col(k_).alias(f"_d_{k_}") for k_ in keys], F.col("date").alias("_d_date"))
+        hv = heavy.select(
+            *[F.col(k_).alias(f"_d_{k_}") for k_ in keys],
+            F.col("date").alias("_d_date"),
+            (F.lit(float(SAMPLE_PER_SPLIT * k)) / F.col("_cd")).alias("_f"),
+        )
         hv = _maybe_broadcast(hv, n_heavy, MAX_BROADCAST_UNITS)
         on = _on(heads, hv, [(k_, f"_d_{k_}") for k_ in keys]) & (heads["date"] == hv["_d_date"])
+        sample = heads.join(hv, on, "inner").where(F.col("nav").isNotNull() & (_sample_key() < F.col("_f")))
         splits = materialize(
-            heads.join(hv, on, "left_semi")
-            .where(F.col("nav").isNotNull())
-            .groupBy(*keys, "date")
-            .agg(
-                F.array_sort(
-                    F.array_distinct(F.percentile_approx("nav", [i / k for i in range(1, k)], QUANTILE_ACCURACY))
-                ).alias("_s")
+            sample.groupBy(*keys, "date").agg(
+                F.array_sort(F.array_distinct(F.percentile("nav", [i / k for i in range(1, k)]))).alias("_s")
             )
         )
         sj = splits.select(*[F.col(k_).alias(f"_d_{k_}") for k_ in keys], F.col("date").alias("_d_date"), "_s")
