@@ -115,10 +115,27 @@ def _sample_key() -> Column:
 
 def unit_offsets(units: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
     """``units`` (keys, date, _r, _c = heads in the unit) plus ``_p``, the
-    unit's offset in its key's sequence, and ``_blk``, its block."""
-    w = Window.partitionBy(*keys).orderBy("date", "_r").rowsBetween(Window.unboundedPreceding, -1)
-    return units.withColumn("_p", F.coalesce(F.sum("_c").over(w), F.lit(0))).withColumn(
-        "_blk", F.floor(F.col("_p") / F.lit(int(block_rows)))
+    unit's offset in its key's sequence, and ``_blk``, its block.
+
+    Two running counts, each over a group bounded independently of the data
+    volume: the days of a key (the calendar) give each day's offset, and the
+    units of a day give each unit's offset within it."""
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    days = units.groupBy(*keys, "date").agg(F.sum("_c").alias("_dc"))
+    days = days.select(
+        *[F.col(k).alias(f"_d_{k}") for k in keys],
+        F.col("date").alias("_d_date"),
+        F.coalesce(F.sum("_dc").over(before.partitionBy(*keys).orderBy("date")), F.lit(0)).alias("_dp"),
+    )
+    units = units.withColumn(
+        "_up", F.coalesce(F.sum("_c").over(before.partitionBy(*keys, "date").orderBy("_r")), F.lit(0))
+    )
+    on = _on(units, days, [(k, f"_d_{k}") for k in keys]) & (units["date"] == days["_d_date"])
+    return (
+        units.join(days, on, "inner")
+        .withColumn("_p", F.col("_dp") + F.col("_up"))
+        .withColumn("_blk", F.floor(F.col("_p") / F.lit(int(block_rows))))
+        .drop(*[f"_d_{k}" for k in keys], "_d_date", "_dp", "_up")
     )
 
 
