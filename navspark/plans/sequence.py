@@ -42,11 +42,11 @@ about 10^8 rows per day of a 30-year history), so the split goes below days:
 The result equals the plain plan's (property tests compare them). Small
 intermediate tables are checkpointed into the session's
 ``spark.checkpoint.dir`` and broadcast only after their row count is
-checked; every one of them is a deterministic function of the input (exact
+checked. Every one of them is a deterministic function of the input (exact
 aggregates, hash-chosen samples), so a recomputation after a lost executor
-rebuilds the same units;
-the runs table is persisted (memory and disk) for the three passes that read
-it. Grouping a run needs groupable columns (no map columns).
+rebuilds the same units. The runs table is persisted (memory and disk) for
+the planning passes and the window pass that read it. Grouping a run needs
+groupable columns (no map columns).
 """
 
 from __future__ import annotations
