@@ -189,13 +189,14 @@ def tag(df: DataFrame) -> DataFrame:
 def _bucket(splits: Column) -> Column:
     """Position of ``nav`` among a day's sorted distinct split points: 0 for
     NULL, ``2i + 1`` strictly between points i-1 and i, ``2i + 2`` equal to
-    point i. Non-decreasing in NAV (NULLs first); even buckets hold one value."""
+    point i; 1 for every non-NULL NAV of a day without split points.
+    Non-decreasing in NAV (NULLs first); only even buckets are one-valued."""
     nav = F.col("nav")
     below = F.size(F.filter(splits, lambda x: x < nav))
     equal = F.array_contains(splits, nav).cast("long")
     return (
-        F.when(splits.isNull(), F.lit(0))
-        .when(nav.isNull(), F.lit(0))
+        F.when(nav.isNull(), F.lit(0))
+        .when(splits.isNull(), F.lit(1))
         .otherwise(F.lit(1) + F.lit(2) * below + equal)
         .cast("long")
     )
@@ -217,7 +218,9 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
     heads = runs.where(~F.col("_nd")).withColumn("_h", F.least(F.col("_m"), F.lit(int(halo) + 1)))
     # Heavy days: more than one unit's worth of heads (at most heads / u rows).
     heavy = materialize(
-        heads.groupBy(*keys, "date").agg(F.sum("_h").alias("_cd")).where(F.col("_cd") > F.lit(u))
+        heads.groupBy(*keys, "date")
+        .agg(F.sum("_h").alias("_cd"), F.count(F.lit(1)).alias("_cr"))
+        .where(F.col("_cd") > F.lit(u))
     )
     n_heavy, max_cd = heavy.agg(F.count(F.lit(1)), F.max("_cd")).first()
     if not n_heavy:
@@ -225,13 +228,14 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
     else:
         # NAV split points per heavy day: exact quantiles of a deterministic
         # sample (runs whose second hash falls under SAMPLE_PER_SPLIT * k /
-        # day size), so each day's buffer stays bounded and a recomputation
-        # gives the same points.
+        # runs of the day), so each day's buffer stays bounded and a
+        # recomputation gives the same points. A day left without points
+        # (no sampled non-NULL NAV) is one open bucket: never hash-cut.
         k = int(min(MAX_SPLITS, max(2, -(-int(max_cd) // u))))
         hv = heavy.select(
             *[F.col(k_).alias(f"_d_{k_}") for k_ in keys],
             F.col("date").alias("_d_date"),
-            (F.lit(float(SAMPLE_PER_SPLIT * k)) / F.col("_cd")).alias("_f"),
+            (F.lit(float(SAMPLE_PER_SPLIT * k)) / F.col("_cr")).alias("_f"),
         )
         hv = _maybe_broadcast(hv, n_heavy, MAX_BROADCAST_UNITS)
         on = _on(heads, hv, [(k_, f"_d_{k_}") for k_ in keys]) & (heads["date"] == hv["_d_date"])

@@ -149,3 +149,15 @@ def test_nan_navs_order_last_on_every_path(spark):
     frame = text(rolling_metrics(df, 5, split="never", method="frame"))
     assert text(rolling_metrics(df, 5, split="never", method="blocks")) == frame
     assert text(rolling_metrics(df, 5, split="always", block_rows=8, method="blocks")) == frame
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_heavy_day_of_few_runs(spark, seed):
+    # A heavy day made of 3 runs of 2000 copies under a long halo: few runs,
+    # many heads. Its buckets must stay contiguous whatever the sample holds.
+    navs = [float(10 + seed), float(20 + seed), float(30 + seed)]
+    rows = [(BASE + dt.timedelta(days=5), v, "c", "H") for v in navs for _ in range(2000)]
+    rows += [(BASE + dt.timedelta(days=d), float(d), "c", "H") for d in range(10) if d != 5]
+    df = spark.createDataFrame(rows, NAV_SCHEMA)
+    plain = canon(rolling_metrics(df, 2000, split="never"))
+    assert canon(rolling_metrics(df, 2000, split="always", block_rows=2000)) == plain
