@@ -161,3 +161,19 @@ def test_heavy_day_of_few_runs(spark, seed):
     df = spark.createDataFrame(rows, NAV_SCHEMA)
     plain = canon(rolling_metrics(df, 2000, split="never"))
     assert canon(rolling_metrics(df, 2000, split="always", block_rows=2000)) == plain
+
+
+def test_sampled_split_points(spark, monkeypatch):
+    # Force sampling (about one run per split point): split points come from
+    # a small sample, buckets are uneven, one-valued buckets are large; the
+    # result must still equal the plain window's.
+    import navspark.plans.sequence as seq
+
+    monkeypatch.setattr(seq, "SAMPLE_PER_SPLIT", 1)
+    rnd = random.Random(3)
+    rows = [(BASE + dt.timedelta(days=rnd.randrange(3)), float(rnd.randrange(60)), f"c{i}", "H") for i in range(2000)]
+    rows += [(BASE + dt.timedelta(days=1), 7.0, f"d{i}", "H") for i in range(300)]
+    df = spark.createDataFrame(rows, NAV_SCHEMA)
+    assert canon(returns(df, [1, 3], split="always", block_rows=40)) == canon(returns(df, [1, 3], split="never"))
+    frame = canon(rolling_metrics(df, 5, split="never"))
+    assert canon(rolling_metrics(df, 5, split="always", block_rows=40)) == frame
