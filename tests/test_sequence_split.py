@@ -177,3 +177,15 @@ def test_sampled_split_points(spark, monkeypatch):
     assert canon(returns(df, [1, 3], split="always", block_rows=40)) == canon(returns(df, [1, 3], split="never"))
     frame = canon(rolling_metrics(df, 5, split="never"))
     assert canon(rolling_metrics(df, 5, split="always", block_rows=40)) == frame
+
+
+def test_bucket_numbering(spark):
+    # NULL NAV -> 0; no split points -> one open bucket 1; otherwise odd
+    # buckets between points, even buckets equal to a point (one-valued).
+    from navspark.plans.sequence import _bucket
+
+    rows = [(None, [2.0, 5.0]), (1.0, [2.0, 5.0]), (2.0, [2.0, 5.0]), (3.0, [2.0, 5.0]),
+            (5.0, [2.0, 5.0]), (9.0, [2.0, 5.0]), (4.0, None), (None, None)]
+    df = spark.createDataFrame(rows, "nav double, s array<double>")
+    got = [r[0] for r in df.select(_bucket(F.col("s"))).collect()]
+    assert got == [0, 1, 2, 3, 4, 5, 1, 0]
