@@ -24,7 +24,6 @@ from navspark.operators.periodic import latest_nav, monthly_nav
 from navspark.operators.pivot import pivot_nav
 from navspark.operators.selection import nav_range, top_nav
 from navspark.operators.windows import returns, rolling_metrics
-from navspark.schemas import NAV_COLUMNS
 from navspark.sources.catalogue import schemes_from_json_lines, schemes_to_json_lines
 from navspark.sources.payload import filter_dates, nav_from_payloads, payloads_from_text
 from navspark.sources.tables import (
@@ -35,6 +34,22 @@ from navspark.sources.tables import (
     table,
 )
 
+# The text operators and the corpus pipeline are optional: without their
+# modules everything else still works. Any other import error is a fault.
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+LLM_ORACLE_SQL: dict[str, str] = {}
+try:
+    import corpus_pipeline
+    from navspark.llm import queries as llm_queries
+except ModuleNotFoundError as e:
+    if not (e.name or "").startswith(("navspark.llm", "corpus_pipeline")):
+        raise
+else:
+    LLM_QUERIES = llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    LLM_ORACLE_SQL = llm_queries.ORACLE_SQL | (
+        {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    )
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the registered queries (shared by the Spark and SQL forms).
@@ -370,10 +385,6 @@ NAV_HOT = """nav AS (
 CATALOGUE_SQL = """SELECT CAST(p_partkey AS VARCHAR) AS schemeCode, p_name AS schemeName, p_type AS schemeType FROM part"""
 
 
-def _values_sql(mapping: dict[str, str]) -> str:
-    return ", ".join(f"('{k}', '{v}')" for k, v in mapping.items())
-
-
 def _iso(d: str) -> str:
     dd, mm, yy = d.split("-")
     return f"DATE '{yy}-{mm}-{dd}'"
@@ -388,6 +399,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | LLM_QUERIES
+
+
+def oracle_sql() -> dict[str, str]:
+    return core_oracle_sql() | LLM_ORACLE_SQL
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "performance_metrics": q_performance_metrics,
         "performance_metrics_by_part": q_performance_metrics_by_part,
@@ -422,7 +441,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     kw, ty = SEARCH_TYPE_KEYWORD
     return {
         "performance_metrics": _metrics_sql(NAV_BRAND),

@@ -91,7 +91,7 @@ def duck_rows(con, sql):
 def compare(spark, sf_dir: str, names=None, verbose=True):
     import __spark_entry__ as E
 
-    qs, sqls = E.queries(), E.oracle_sql()
+    qs, sqls = E.core_queries(), E.core_oracle_sql()
     con = duck(sf_dir)
     results = {}
     for name in names or list(qs):

@@ -87,7 +87,7 @@ def test_mapping_broadcast_is_size_checked(stored_nav):
 
 
 def test_no_python_in_any_query(spark):
-    for name, q in E.queries().items():
+    for name, q in E.core_queries().items():
         p = plan(q(spark, SF_SMALL))
         for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
             assert node not in p, (name, node)
