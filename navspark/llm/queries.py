@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from navspark.llm.mixing import MIX_SQL, poisson_mix
+from navspark.llm.neardup import near_duplicates
 from navspark.llm.pii import pii_digest
 from navspark.llm.secret_scan import secret_digest
+from navspark.llm.warc import WARC_SQL, archive_digest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mix(spark, sf_dir):
+    return poisson_mix(_table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark, sf_dir):
     return secret_digest(_table(spark, sf_dir, "documents"))
 
@@ -20,9 +27,23 @@ def op5_pii(spark, sf_dir):
     return pii_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark, sf_dir):
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark, sf_dir):
+    return archive_digest(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op2_mix": op2_mix,
     "op4_secrets": op4_secrets,
     "op5_pii": op5_pii,
+    "op7_near_dedup": op7_near_dedup,
+    "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_mix": MIX_SQL,
+    "op10_warc": WARC_SQL,
+}
