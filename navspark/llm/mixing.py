@@ -155,7 +155,7 @@ drawn AS (
 lists AS (SELECT source, list(c ORDER BY k) AS cs FROM cdf GROUP BY source),
 counted AS (
   SELECT d.doc_id, any_value(d.text) AS text, any_value(d.source) AS source,
-         CAST(sum(len(list_filter(l.cs, x -> x <= d.u))) AS INTEGER) AS copies
+         CAST(sum(len(list_filter(l.cs, lambda x: x <= d.u))) AS INTEGER) AS copies
   FROM drawn d JOIN lists l ON d.source IS NOT DISTINCT FROM l.source GROUP BY d.doc_id)
 SELECT doc_id, text, source, copy, copies, md5('order-{SEED}:' || doc_id || ':' || copy) AS shuffle_key
 FROM (SELECT *, CAST(unnest(generate_series(1, copies)) AS INTEGER) AS copy FROM counted WHERE copies > 0)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from navspark.llm.langid import language_digest
 from navspark.llm.mixing import MIX_SQL, poisson_mix
 from navspark.llm.neardup import near_duplicates
 from navspark.llm.pii import pii_digest
+from navspark.llm.quality import quality_digest
 from navspark.llm.secret_scan import secret_digest
 from navspark.llm.warc import WARC_SQL, archive_digest
 
@@ -15,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_langid(spark, sf_dir):
+    return language_digest(_table(spark, sf_dir, "documents"))
+
+
 def op2_mix(spark, sf_dir):
     return poisson_mix(_table(spark, sf_dir, "documents"))
 
@@ -27,6 +33,10 @@ def op5_pii(spark, sf_dir):
     return pii_digest(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark, sf_dir):
+    return quality_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_near_dedup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -36,9 +46,11 @@ def op10_warc(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_langid": op1_langid,
     "op2_mix": op2_mix,
     "op4_secrets": op4_secrets,
     "op5_pii": op5_pii,
+    "op6_quality": op6_quality,
     "op7_near_dedup": op7_near_dedup,
     "op10_warc": op10_warc,
 }

@@ -152,7 +152,7 @@ def archive_digest(pages: DataFrame, folder: str | None = None, min_bytes: int =
         base32_of_hex(F.sha1("payload")).alias("payload_digest"),
     )
     r = spark.read.parquet(f"{folder}/headers").join(stored, "payload_sha256")
-    field = lambda name: F.regexp_extract("header", rf"(?m)^{name}: (.*?)\r$", 1)
+    field = lambda name: F.regexp_extract("header", rf"(?:^|\n){name}: ([^\r\n]*)", 1)
     agrees = (field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("payload_digest"))) & (
         field("WARC-Payload-Length").cast("bigint") == F.col("payload_bytes")
     )
