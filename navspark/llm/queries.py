@@ -10,6 +10,7 @@ from navspark.llm.neardup import near_duplicates
 from navspark.llm.pii import pii_digest
 from navspark.llm.quality import quality_digest
 from navspark.llm.secret_scan import secret_digest
+from navspark.llm.toxicity import toxicity_digest
 from navspark.llm.warc import WARC_SQL, archive_digest
 
 
@@ -25,6 +26,10 @@ def op2_mix(spark, sf_dir):
     return poisson_mix(_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_secrets(spark, sf_dir):
     return secret_digest(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_warc(spark, sf_dir):
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_mix": op2_mix,
+    "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
     "op5_pii": op5_pii,
     "op6_quality": op6_quality,
