@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from navspark.llm.decontam import decontaminate
+from navspark.llm.embdup import near_vectors
 from navspark.llm.langid import language_digest
 from navspark.llm.mixing import MIX_SQL, poisson_mix
 from navspark.llm.neardup import near_duplicates
@@ -46,6 +48,14 @@ def op7_near_dedup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_dedup(spark, sf_dir):
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op9_decontaminate(spark, sf_dir):
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc(spark, sf_dir):
     return archive_digest(_table(spark, sf_dir, "pages"))
 
@@ -58,6 +68,8 @@ QUERIES = {
     "op5_pii": op5_pii,
     "op6_quality": op6_quality,
     "op7_near_dedup": op7_near_dedup,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
 }
 
