@@ -1,9 +1,15 @@
 """Corpus preparation as a chain of stages over ``documents``.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns the documents it keeps,
-with the columns of ``documents``. :func:`run` writes every stage's result as
-Parquet in the shared checkpoint folder and hands the reread table to the
-next, so a lost executor costs at most one stage's tasks.
+with the columns of ``documents`` (the last one adds its own). :func:`run`
+writes every stage's result as Parquet in the shared checkpoint folder and
+hands the reread table to the next, so a lost executor costs at most tasks of
+one stage.
+
+A document's decision travels by its id. Rows without an id are kept by the
+filtering stages (they cannot be named), rows that repeat an id share its
+decision; null and empty texts are clean and never duplicates; columns beside
+those of ``documents`` pass through all but the last stage.
 """
 
 from __future__ import annotations
@@ -11,18 +17,80 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from navspark.llm.decontam import decontaminate
+from navspark.llm.mixing import poisson_mix
+from navspark.llm.neardup import near_duplicates
 from navspark.llm.pii import redact_documents
+from navspark.llm.toxicity import THRESHOLD, fit_toxicity, learn_ids, score_toxicity
+from navspark.plans.materialize import materialize
 from navspark.session import ensure_checkpoint_dir
 
 
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose ``doc_id`` is in ``dropped(doc_id)``.
+
+    Only ids of rejected documents are shuffled to meet the documents; Spark
+    broadcasts them when they are small.
+    """
+    ids = materialize(dropped.select(F.col("doc_id").alias("_dropped")).where("_dropped IS NOT NULL").distinct())
+    return docs.join(ids, docs["doc_id"] == ids["_dropped"], "left_anti")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model scores at or above its threshold go.
+
+    The score is computed beside the row, so nothing is joined or shuffled.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit_toxicity(docs, labels, learn_ids())
+    columns = docs.columns
+    scored = score_toxicity(docs, model, keep=columns)
+    return scored.where(F.col("toxicity") < THRESHOLD).select(*columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays, once."""
+    groups = near_duplicates(docs)
+    once = _without(docs, groups.where("NOT kept"))
+    repeated = (
+        docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_again"))
+    )
+    repeated = materialize(repeated)
+    if repeated.isEmpty():
+        return once
+    # Rows that repeat an id are one document: its first row in column order stays.
+    columns = docs.columns
+    single = once.join(repeated, once["doc_id"] == repeated["_again"], "left_anti")
+    several = once.join(repeated, once["doc_id"] == repeated["_again"], "left_semi")
+    rest = [c for c in columns if c != "doc_id"]
+    first = several.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select("doc_id", "_row.*")
+    return single.unionByName(first.select(*columns))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages beyond the contamination rule go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, decontaminate(docs, benchmark).where("contaminated"))
+
+
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the text becomes ``[KIND]``; every document stays."""
     return redact_documents(docs)
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents replicated to the sources' target weights and shuffled globally."""
+    return poisson_mix(docs, keep_all_columns=True)
+
+
 STAGES = [
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
     ("pii", pii),
+    ("mixing", mixing),
 ]
 
 #: The toxicity model has no SQL form; tests hold the rows against a brute-force version.
