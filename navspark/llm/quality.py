@@ -131,8 +131,8 @@ def fit_quality(
     their mean; null labels and ids are ignored; without any label every score
     is 0.5.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
+    docs = docs.select(F.col(id_col), F.col(text_col))
     texts = docs.select(F.col(text_col).alias("text"))
     df, n = document_frequencies(texts, text_counts, FEATURES)
     idf = inverse_frequencies(df, n)
@@ -162,14 +162,14 @@ def fit_quality(
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .where(learn)
         .groupBy(F.col(id_col).alias("_id"))
-        .agg(F.avg(label_col).alias("label"))
+        .agg(F.avg(label_col).alias("_label"))
     )
     n_known = known.count()
     rate = min(1.0, LABELLED_SAMPLE / max(n_known, 1))
     chosen = known.where(below(rate, row_hash("_id")))
     # Bounded by LABELLED_SAMPLE in expectation, so small enough to broadcast.
     voters = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"]).select(
-        F.col(text_col).alias("text"), row_hash(id_col, text_col).alias("h"), "label"
+        F.col(text_col).alias("text"), row_hash(id_col, text_col).alias("h"), F.col("_label").alias("label")
     ).dropDuplicates(["h"])
 
     def project(batch_texts: list[str]) -> list[pa.Array]:

@@ -197,18 +197,19 @@ def fit_toxicity(
     """
     spark = docs.sparkSession
     ship(spark)
+    docs = docs.select(F.col(id_col), F.col(text_col))
     known = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .where(learn)
         .groupBy(F.col(id_col).alias("_id"))
-        .agg((F.avg(label_col) >= 0.5).cast("int").alias("label"))
+        .agg((F.avg(label_col) >= 0.5).cast("int").alias("_label"))
     )
     rate = min(1.0, LABELLED_SAMPLE / max(known.count(), 1))
     chosen = known.where(below(rate, row_hash("_id")))
     # Bounded by LABELLED_SAMPLE in expectation, so small enough to broadcast.
     sample = (
         docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])
-        .select(F.col(text_col).alias("text"), row_hash(id_col, text_col).alias("h"), "label")
+        .select(F.col(text_col).alias("text"), row_hash(id_col, text_col).alias("h"), F.col("_label").alias("label"))
         .dropDuplicates(["h"])
         .withColumn("slot", F.col("label") + 2 * F.pmod(F.xxhash64(F.lit(3), "h"), F.lit(2)).cast("int"))
     )
