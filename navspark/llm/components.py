@@ -10,13 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navspark.plans.materialize import materialize
+from navspark.plans.materialize import broadcast_if_small, materialize
 
 MAX_ROUNDS = 60
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """``(u, m)``: each node's smallest neighbour or itself, ready to be joined with ``edges``.
+
+    ``u`` is a new expression, so a shuffle join deals both sides anew and
+    Spark can split a node with very many links; a small table is sent whole
+    and the links stay where they are.
+    """
+    low = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return broadcast_if_small(materialize(low.select(F.greatest("u", "m").alias("u"), "m")))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
