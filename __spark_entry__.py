@@ -18,18 +18,19 @@ from pyspark.sql import functions as F
 
 from navspark.functions.exprs import round4
 from navspark.operators.catalog import search_schemes
-from navspark.operators.combine import attach_names, nav_union
+from navspark.operators.combine import attach_names, nav_multi, nav_union
 from navspark.operators.metrics import performance_metrics, scheme_summary
 from navspark.operators.periodic import latest_nav, monthly_nav
 from navspark.operators.pivot import pivot_nav
 from navspark.operators.selection import nav_range, top_nav
 from navspark.operators.windows import returns, rolling_metrics
-from navspark.sources.catalogue import schemes_from_json_lines, schemes_to_json_lines
-from navspark.sources.payload import filter_dates, nav_from_payloads, payloads_from_text
+from navspark.sources.catalogue import read_schemes
+from navspark.sources.payload import read_nav, scheme_payload
 from navspark.sources.tables import (
+    landed_catalogue,
+    landed_payloads,
     nav_by_brand,
     nav_by_part,
-    payload_documents,
     scheme_catalogue,
     table,
 )
@@ -211,10 +212,8 @@ def q_nav_range(spark, sf):
 
 
 def q_nav_from_json(spark, sf):
-    # NAV -> payload documents in the service's text format -> parsed back and
-    # named through a code->name mapping frame taken from the catalogue table.
-    docs = payload_documents(nav_by_brand(spark, sf))
-    raw = nav_from_payloads(payloads_from_text(docs))
+    # Landed payload files of every brand, read, typed and named.
+    raw = read_nav(spark, landed_payloads(nav_by_brand(spark, sf)))
     names = table(spark, sf, "part").select(
         F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).alias("scheme_code"),
         F.col("p_brand").alias("scheme_name"),
@@ -231,9 +230,10 @@ def _brand_names(spark, sf):
 
 
 def q_nav_multi(spark, sf):
-    # Every scheme named through a mapping frame (size-checked broadcast),
+    # The multi-scheme fetch over landed files: named through a mapping frame,
     # bounded to the requested dates.
-    return filter_dates(attach_names(nav_by_brand(spark, sf), _brand_names(spark, sf), "inner"), *MULTI_RANGE)
+    root = landed_payloads(nav_by_brand(spark, sf))
+    return nav_multi(spark, root, _brand_names(spark, sf), *MULTI_RANGE, with_fetch_time=False)
 
 
 def q_nav_union(spark, sf):
@@ -246,22 +246,22 @@ def q_top_nav(spark, sf):
 
 
 def q_scan_schemes(spark, sf):
-    lines = schemes_to_json_lines(scheme_catalogue(spark, sf))
-    return lines.select(schemes_from_json_lines(F.col("value")).alias("r")).select("r.*")
+    # Landed catalogue documents of all parts.
+    return read_schemes(spark, landed_catalogue(scheme_catalogue(spark, sf)))
 
 
 def q_scheme_payload(spark, sf):
-    # Every scheme's rendered documents, summarised per month (a month may
+    # Raw landed documents of every scheme, summarised per year (a year may
     # span several bounded documents).
-    docs = payload_documents(nav_by_brand(spark, sf))
+    docs = scheme_payload(spark, landed_payloads(nav_by_brand(spark, sf)), None)
     dates = F.transform(
-        F.from_json("value", "data ARRAY<STRUCT<date:STRING,nav:STRING>>")["data"],
+        F.from_json("payload", "data ARRAY<STRUCT<date:STRING,nav:STRING>>")["data"],
         lambda p: F.to_date(p["date"], "dd-MM-yyyy"),
     )
     per_doc = docs.select(
         "scheme_code",
-        "period",
-        F.json_array_length(F.get_json_object("value", "$.data")).cast("bigint").alias("n_points"),
+        F.year(F.array_min(dates)).cast("string").alias("period"),
+        F.json_array_length(F.get_json_object("payload", "$.data")).cast("bigint").alias("n_points"),
         F.array_min(dates).alias("first_date"),
         F.array_max(dates).alias("last_date"),
     )
@@ -300,7 +300,7 @@ s AS (
          min(date) AS start_date, max(date) AS end_date,
          arg_min_null(nav, (date, nav)) AS first_nav, arg_max_null(nav, (date, nav)) AS latest_nav,
          min(nav) AS min_nav, max(nav) AS max_nav, avg(nav) AS avg_nav, stddev_samp(nav) AS nav_volatility
-  FROM nav WHERE nav IS NOT NULL AND date IS NOT NULL
+  FROM nav WHERE nav IS NOT NULL
   GROUP BY scheme_name, scheme_code),
 p AS (
   SELECT *, (latest_nav - first_nav) / nullif(first_nav, 0) * 100 AS total_return_pct,
@@ -359,7 +359,7 @@ def _latest_sql(nav_cte: str) -> str:
     return f"""
 WITH {nav_cte}
 SELECT scheme_name, scheme_code, date, nav,
-       CAST(row_number() OVER (PARTITION BY scheme_code ORDER BY date DESC, nav DESC NULLS LAST) AS INTEGER) AS rn
+       CAST(row_number() OVER (PARTITION BY scheme_code ORDER BY date DESC, nav DESC NULLS LAST, scheme_name) AS INTEGER) AS rn
 FROM nav WHERE date IS NOT NULL
 QUALIFY rn = 1"""
 
@@ -382,6 +382,12 @@ NAV_HOT = """nav AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey
   GROUP BY p_partkey, p_name, CAST(l_shipdate AS DATE))"""
 
+_BRANDS = [f"Brand#{n}" for n in range(1, 26)]
+PIVOT_SQL = f"""
+WITH {NAV_BRAND}
+SELECT date, {', '.join(f"min(nav) FILTER (WHERE scheme_name = '{x}') AS \"{x}\"" for x in _BRANDS)}
+FROM nav GROUP BY date"""
+
 CATALOGUE_SQL = """SELECT CAST(p_partkey AS VARCHAR) AS schemeCode, p_name AS schemeName, p_type AS schemeType FROM part"""
 
 
@@ -464,9 +470,7 @@ def core_oracle_sql() -> dict[str, str]:
         "latest_nav_by_part": _latest_sql(NAV_PART),
         "monthly_nav": _monthly_sql(NAV_BRAND),
         "monthly_nav_by_name": _monthly_sql(NAV_PART),
-        "pivot_nav": f"""
-WITH {NAV_BRAND}
-SELECT * FROM (PIVOT (SELECT date, scheme_name, nav FROM nav) ON scheme_name USING min(nav) GROUP BY date)""",
+        "pivot_nav": PIVOT_SQL,
         "search_schemes": f"""
 SELECT * FROM ({CATALOGUE_SQL}) c WHERE lower(schemeName) LIKE lower('%{SEARCH_KEYWORD}%')""",
         "search_schemes_type": f"""
@@ -491,12 +495,12 @@ UNION ALL
 SELECT date, nav, scheme_code, CAST(NULL AS VARCHAR) AS scheme_name FROM navp""",
         "top_nav": f"""
 WITH {NAV_BRAND}
-SELECT date, nav, scheme_code, scheme_name FROM nav ORDER BY date, scheme_code LIMIT 10""",
+SELECT date, nav, scheme_code, scheme_name FROM nav ORDER BY date, scheme_code, nav, scheme_name LIMIT 10""",
         "scan_schemes": CATALOGUE_SQL,
         "scheme_payload": f"""
 WITH {NAV_BRAND}
-SELECT scheme_code, strftime(date, '%Y-%m') AS period, count(*) AS n_points,
+SELECT scheme_code, strftime(date, '%Y') AS period, count(*) AS n_points,
        min(date) AS first_date, max(date) AS last_date
 FROM nav
-GROUP BY scheme_code, strftime(date, '%Y-%m')""",
+GROUP BY scheme_code, strftime(date, '%Y')""",
     }

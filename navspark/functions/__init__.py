@@ -3,8 +3,6 @@ they stay inside whole-stage codegen; none is a Python UDF."""
 
 from navspark.functions.exprs import (
     annualised_pct,
-    by_date_first,
-    by_date_last,
     change_pct,
     parse_arg_date,
     parse_nav_date,
@@ -14,8 +12,6 @@ from navspark.functions.exprs import (
 
 __all__ = [
     "annualised_pct",
-    "by_date_first",
-    "by_date_last",
     "change_pct",
     "parse_arg_date",
     "parse_nav_date",

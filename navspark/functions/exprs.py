@@ -40,19 +40,6 @@ def parse_arg_date(value) -> _dt.date | None:
     return _dt.datetime.strptime(str(value), ARG_DATE_FORMAT).date()
 
 
-def by_date_first(value: str = "nav", date: str = "date") -> Column:
-    """Value at the earliest (date, value) of the group: an order-free
-    aggregate (no sort, partial + final aggregation). Ties on the date are
-    broken by the value so the result never depends on row order."""
-    return F.min_by(F.col(value), F.struct(F.col(date), F.col(value)))
-
-
-def by_date_last(value: str = "nav", date: str = "date") -> Column:
-    """Value at the latest (date, value) of the group; a NULL value on the last
-    date yields NULL (like a non-null-ignoring ``last``)."""
-    return F.max_by(F.col(value), F.struct(F.col(date), F.col(value)))
-
-
 def change_pct(new: str | Column, old: str | Column) -> Column:
     """((new - old) / old) * 100; NULL when old is 0 or either side is NULL."""
     return F.try_divide(_c(new) - _c(old), _c(old)) * F.lit(100.0)

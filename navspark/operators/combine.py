@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from navspark.schemas import MAPPING_SCHEMA, NAV_COLUMNS
 from navspark.sources.payload import filter_dates, nav_from_payloads, read_payloads
 
-# A mapping up to this many codes is broadcast to the scan tasks; a larger
-# one is joined by a shuffle on scheme_code instead.
-MAX_BROADCAST_MAPPING_ROWS = 2_000_000
+# A dict mapping of up to this many bytes of text is broadcast to the scan
+# tasks; for a larger one, and for a mapping table, Spark chooses by size.
+MAX_BROADCAST_MAPPING_BYTES = 16 << 20
 
 
 def mapping_frame(spark: SparkSession, mapping: Mapping[str, str] | DataFrame) -> DataFrame:
@@ -27,31 +27,25 @@ def mapping_frame(spark: SparkSession, mapping: Mapping[str, str] | DataFrame) -
     return spark.createDataFrame(rows, MAPPING_SCHEMA)
 
 
-def _fits_broadcast(mapping, frame: DataFrame, limit: int) -> bool:
-    if not isinstance(mapping, DataFrame):
-        return len(mapping) <= limit
-    # Bounded probe: reads at most limit + 1 mapping rows.
-    return frame.limit(limit + 1).count() <= limit
-
-
 def attach_names(
     nav: DataFrame,
     mapping: Mapping[str, str] | DataFrame,
     how: str = "inner",
-    max_broadcast_rows: int = MAX_BROADCAST_MAPPING_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_MAPPING_BYTES,
 ) -> DataFrame:
     """Name NAV rows from a code->name mapping (equi-join on ``scheme_code``).
 
     ``how="inner"`` keeps only mapped schemes (the multi-scheme fetch);
-    ``"left"`` keeps every row and leaves unknown codes unnamed. The mapping
-    is broadcast only when its size is known to be under
-    ``max_broadcast_rows``; otherwise it is a shuffle join, where AQE's
-    skew-join split handles a code that holds a large share of the rows.
+    ``"left"`` keeps every row and leaves unknown codes unnamed. A dict is
+    broadcast when its text is at most ``max_broadcast_bytes``; a mapping
+    table is joined as Spark's size estimates choose, in a shuffle join with
+    AQE's skew split for a code that holds a large share of the rows.
     """
     spark = nav.sparkSession
     m = mapping_frame(spark, mapping)
-    if _fits_broadcast(mapping, m, max_broadcast_rows):
-        m = F.broadcast(m)
+    if not isinstance(mapping, DataFrame):
+        size = sum(len(str(k)) + len(str(v)) + 32 for k, v in mapping.items())
+        m = F.broadcast(m) if size <= max_broadcast_bytes else m
     return nav.drop("scheme_name").join(m, "scheme_code", how).select(*NAV_COLUMNS)
 
 
@@ -66,8 +60,8 @@ def nav_multi(
     """NAV of every scheme in ``mapping`` from the landed payloads, named,
     date-bounded and stamped with ``fetch_timestamp``.
 
-    One scan of all the mapped schemes (a dict prunes partitions to its codes
-    before listing files); schemes with no data contribute no rows. The stamp
+    One scan of all the mapped schemes (of a dict only the schemes' own
+    folders are listed); schemes with no data contribute no rows. The stamp
     is fixed per query run (``current_timestamp`` is folded at planning).
     """
     codes = None if isinstance(mapping, DataFrame) else list(mapping.keys())

@@ -1,10 +1,9 @@
 """Per-scheme performance metrics and summaries.
 
-Both are single group-by aggregations: Spark plans a partial aggregation in
-each scan task and a final one after a shuffle of one row per (task, group),
-so a scheme holding a third of all rows costs no more than any other. The
-first/latest NAV come from ``min_by``/``max_by`` on (date, nav): order-free
-aggregates, no window and no sort.
+Both are hash aggregations with a partial step in each scan task, so a scheme
+holding a third of all rows costs no more than any other. The first and latest
+NAV come from :func:`navspark.plans.endpoints.with_endpoints`, which reads the
+input a second time instead of sorting it.
 """
 
 from __future__ import annotations
@@ -14,22 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navspark.functions.exprs import annualised_pct, by_date_first, by_date_last, change_pct
+from navspark.functions.exprs import annualised_pct, change_pct
+from navspark.plans.endpoints import with_endpoints
 
 GROUP = ("scheme_name", "scheme_code")
 
 
 def _stats(nav: DataFrame, group: Sequence[str], count_col) -> DataFrame:
-    return nav.groupBy(*group).agg(
+    stats = [
         count_col.alias("total_observations"),
-        F.min("date").alias("start_date"),
-        F.max("date").alias("end_date"),
-        by_date_first().alias("first_nav"),
-        by_date_last().alias("latest_nav"),
         F.min("nav").alias("min_nav"),
         F.max("nav").alias("max_nav"),
         F.avg("nav").alias("avg_nav"),
         F.stddev_samp("nav").alias("nav_volatility"),
+    ]
+    return with_endpoints(nav, group, stats, "first_nav", "latest_nav").select(
+        *group,
+        "total_observations",
+        "start_date",
+        "end_date",
+        "first_nav",
+        "latest_nav",
+        "min_nav",
+        "max_nav",
+        "avg_nav",
+        "nav_volatility",
     )
 
 
@@ -38,9 +46,10 @@ def performance_metrics(nav: DataFrame, group: Sequence[str] = GROUP) -> DataFra
 
     ``total_observations`` counts those rows; returns use the first and latest
     NAV by date; ``annualized_return_pct`` is 0 when the period has no days.
-    Division by a zero NAV gives NULL, never an error or infinity.
+    Division by a zero NAV gives NULL, never an error or infinity. Undated
+    rows count and enter the value statistics but are never endpoints.
     """
-    s = _stats(nav.where(F.col("nav").isNotNull() & F.col("date").isNotNull()), group, F.count(F.lit(1)))
+    s = _stats(nav.where(F.col("nav").isNotNull()), group, F.count(F.lit(1)))
     days = F.datediff("end_date", "start_date")
     return (
         s.withColumn("total_return_pct", change_pct("latest_nav", "first_nav"))
@@ -57,14 +66,14 @@ def performance_metrics(nav: DataFrame, group: Sequence[str] = GROUP) -> DataFra
 
 
 def scheme_summary(nav: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
-    """Summary over all dated rows of each (name, code).
+    """Summary over all rows of each (name, code).
 
     Unlike :func:`performance_metrics`, NULL NAVs stay in: they are not
     counted, but their dates bound the period and a NULL on the last date
     makes ``latest_nav`` NULL. A zero-day period gives a NULL annualised
-    return (no guard).
+    return (no guard). Undated rows enter the counts and value statistics.
     """
-    s = _stats(nav.where(F.col("date").isNotNull()), group, F.count("nav"))
+    s = _stats(nav, group, F.count("nav"))
     return (
         s.withColumn("total_return_pct", change_pct("latest_nav", "first_nav"))
         .withColumn("period_days", F.datediff("end_date", "start_date"))

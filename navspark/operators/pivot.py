@@ -7,48 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Widest pivot built without an explicit override: the column count is the
-# number of schemes, and every column costs a slot in each aggregation buffer.
-MAX_PIVOT_COLUMNS = 1000
-
-
-def pivot_values(nav: DataFrame, name_col: str = "scheme_name", max_columns: int = MAX_PIVOT_COLUMNS) -> list[str]:
-    """Sorted distinct non-NULL names, fetched with a bounded job: at most
-    ``max_columns + 1`` values ever reach the driver, and exceeding the
-    bound is an error rather than a silently truncated pivot."""
-    vals = [
-        r[0]
-        for r in nav.select(name_col)
-        .where(F.col(name_col).isNotNull())
-        .distinct()
-        .orderBy(name_col)
-        .limit(max_columns + 1)
-        .collect()
-    ]
-    if len(vals) > max_columns:
+NULL_COLUMN = "null"
+
+
+def pivot_values(nav: DataFrame, name_col: str = "scheme_name") -> list[str | None]:
+    """Sorted distinct names (NULL first, if any), the pivot's columns.
+
+    Their number is bounded as in Spark's own pivot, by
+    ``spark.sql.pivotMaxValues``: more names are an error, never a silently
+    truncated pivot, and the setting raises the bound.
+    """
+    most = int(nav.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    vals = [r[0] for r in nav.select(name_col).distinct().limit(most + 1).collect()]
+    if len(vals) > most:
         raise ValueError(
-            f"pivot would have more than {max_columns} columns; pass values= "
-            "or raise max_columns"
+            f"pivot would have more than {most} columns; pass values= or raise spark.sql.pivotMaxValues"
         )
-    return vals
+    return sorted(vals, key=lambda v: (v is not None, v or ""))
 
 
 def pivot_nav(
-    nav: DataFrame,
-    values: Sequence[str] | None = None,
-    name_col: str = "scheme_name",
-    max_columns: int = MAX_PIVOT_COLUMNS,
+    nav: DataFrame, values: Sequence[str | None] | None = None, name_col: str = "scheme_name"
 ) -> DataFrame:
     """``date`` plus one DOUBLE column per scheme name holding that day's NAV.
 
-    Every date of the input appears (cells without data are NULL). A cell is
-    the day's NAV; if a scheme has several rows on one day the smallest is
-    taken, so the result never depends on row order. With a value list Spark
-    plans two aggregation levels (per date and name, then a pivot per date),
-    both with partial aggregation before their shuffles.
+    Every date of the input appears (cells without data are NULL). Rows
+    without a name fill the column ``null``. A cell is the day's NAV; if a
+    scheme has several rows on one day the smallest is taken, so the result
+    never depends on row order. ``values`` names the columns to build, any
+    number of them. Spark plans two aggregation levels (per date and name,
+    then a pivot per date), both with partial aggregation before their shuffles.
     """
-    if values is None:
-        values = pivot_values(nav, name_col, max_columns)
-    elif len(values) > max_columns:
-        raise ValueError(f"{len(values)} pivot values exceed max_columns={max_columns}")
-    return nav.groupBy("date").pivot(name_col, list(values)).agg(F.min("nav"))
+    names = pivot_values(nav, name_col) if values is None else list(values)
+    daily = nav.groupBy("date", name_col).agg(F.min("nav").alias("nav"))
+    if None not in names:
+        return daily.groupBy("date").pivot(name_col, names).agg(F.min("nav"))
+    # Names travel with a prefix, so that NULL cannot meet a scheme called "null".
+    marked = daily.withColumn("_name", F.coalesce(F.concat(F.lit("n:"), F.col(name_col)), F.lit("-")))
+    wide = marked.groupBy("date").pivot("_name", [f"n:{v}" if v is not None else "-" for v in names]).agg(F.min("nav"))
+    return wide.toDF("date", *[NULL_COLUMN if v is None else v for v in names])

@@ -79,7 +79,13 @@ def _rolling_frame(df: DataFrame, parts: list[str], order: list[Column], n: int)
 def _rolling_blocks(df: DataFrame, parts: list[str], order: list[Column], n: int) -> DataFrame:
     cols = df.columns
     i, b = F.col("_i"), F.col("_b")
-    df = df.withColumn("_i", F.row_number().over(Window.partitionBy(*parts).orderBy(*order)) - F.lit(1))
+    w = Window.partitionBy(*parts).orderBy(*order)
+    df = df.withColumn("_i", F.row_number().over(w) - F.lit(1))
+    if "_p" in cols:
+        # A part of a split key: count from the part's place in the whole
+        # sequence, so that blocks are cut where the plain plan cuts them.
+        first = F.first("_p").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        df = df.withColumn("_i", F.col("_i") + first)
     df = df.withColumn("_b", F.floor(i / F.lit(n)))
     cum = Window.partitionBy(*parts, "_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     nav = F.col("nav")

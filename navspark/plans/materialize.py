@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# A stored table of at most this many bytes may be sent whole to every executor.
+BROADCAST_BYTES = 32 << 20
 
 
 def checkpoint_dir(df: DataFrame) -> str | None:
@@ -33,3 +38,24 @@ def materialize(df: DataFrame) -> DataFrame:
             sc.setCheckpointDir(d)
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of a stored table's values (one small job): text and arrays by
+    their lengths, every other value as 16 bytes."""
+
+    def width(f: T.StructField):
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + F.lit(16)
+        if isinstance(f.dataType, T.ArrayType):
+            return F.greatest(F.size(F.col(f.name)), F.lit(0)) * F.lit(8) + F.lit(16)
+        return F.lit(16)
+
+    row = sum((width(f) for f in df.schema.fields), F.lit(0))
+    return int(df.agg(F.sum(row.cast("long"))).first()[0] or 0)
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, a stored table, with a broadcast hint if its bytes are proven
+    to be at most ``limit``; otherwise unchanged, and Spark plans a shuffle."""
+    return F.broadcast(df) if table_bytes(df) <= limit else df

@@ -49,12 +49,21 @@ def run_pipeline(
     mapping: Mapping[str, str] | DataFrame | None = None,
     keyword: str = "Axis",
     scheme_type: str | None = "Equity",
-    start="01-01-2023",
-    end="31-07-2025",
-    n_schemes: int | None = 3,
+    start=None,
+    end=None,
+    n_schemes: int | None = None,
     return_periods=(1, 7, 30),
     rolling_rows: int = 252,
 ) -> dict[str, DataFrame]:
+    """Run all tiers and return their reread tables by name.
+
+    Every scheme of ``mapping`` (the popular schemes if None) and every date
+    is taken unless ``start``, ``end`` or ``n_schemes`` (the first so many
+    entries of a dict) ask for less. The wide table comes last, so too many
+    schemes for a pivot cost none of the other results. Small results are
+    written in order: pivot by date, latest by name and code, monthly by
+    name, year and month.
+    """
     out = out.rstrip("/")
     p = {
         k: f"{out}/{k}"
@@ -77,13 +86,13 @@ def run_pipeline(
     write_nav(nav_multi(spark, payload_root, mapping, start, end), p["raw/nav"])
     nav = read_nav_table(spark, p["raw/nav"])
 
-    write_table(pivot_nav(nav), p["processed/pivoted"])
     write_table(returns(nav, return_periods), p["processed/returns"])
     write_table(rolling_metrics(nav, rolling_rows), p["processed/rolling"])
     write_table(performance_metrics(nav), p["analysis/performance"])
     write_table(scheme_summary(nav), p["analysis/summary"])
-    write_table(latest_nav(nav), p["analysis/latest"])
-    write_table(monthly_nav(nav), p["analysis/monthly"])
+    write_table(latest_nav(nav).orderBy("scheme_name", "scheme_code"), p["analysis/latest"])
+    write_table(monthly_nav(nav).orderBy("scheme_name", "year", "month"), p["analysis/monthly"])
+    write_table(pivot_nav(nav).orderBy("date"), p["processed/pivoted"])
 
     res = {k.split("/")[1]: spark.read.parquet(v) for k, v in p.items() if k != "raw/nav"}
     res["nav"] = nav

@@ -23,7 +23,8 @@ about 10^8 rows per day of a 30-year history), so the split goes below days:
    ``u = block_rows / 4`` heads is cut at NAV quantiles (exact
    ``percentile`` of a hash-chosen sample of about ``SAMPLE_PER_SPLIT`` runs
    per point, up to ``MAX_SPLITS`` points) into buckets: values strictly
-   between two points, or equal to one. A one-valued bucket that still holds more than ``u`` heads is cut into
+   between two points, or equal to one. Buckets of several values with more
+   than ``2 u`` heads are cut again, up to ``MAX_LEVELS`` times. A one-valued bucket that still holds more than ``u`` heads is cut into
    equal ranges of the row hash. Each unit is therefore a contiguous stretch
    of the sequence. The unit table (heads per unit) is small: about total
    heads / ``u``, plus one row per day.
@@ -41,12 +42,13 @@ about 10^8 rows per day of a 30-year history), so the split goes below days:
 
 The result equals the plain plan's (property tests compare them). Small
 intermediate tables are checkpointed into the session's
-``spark.checkpoint.dir`` and broadcast only after their row count is
+``spark.checkpoint.dir`` and broadcast only after their bytes are
 checked. Every one of them is a deterministic function of the input (exact
 aggregates, hash-chosen samples), so a recomputation after a lost executor
-rebuilds the same units. The runs table is persisted (memory and disk) for
-the planning passes and the window pass that read it. Grouping a run needs
-groupable columns (no map columns).
+rebuilds the same units. The runs table is written there too, for the
+planning passes and the window pass that read it; nothing stays cached.
+Grouping a run needs groupable columns: a split of a table with map columns
+is refused, the plain plan takes them.
 """
 
 from __future__ import annotations
@@ -54,11 +56,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from navspark.plans.materialize import materialize
+from navspark.plans.materialize import BROADCAST_BYTES, broadcast_if_small, materialize, table_bytes
 
 # Keys with more rows than this are split.
 HOT_ROWS = 2_000_000
@@ -66,12 +68,10 @@ HOT_ROWS = 2_000_000
 BLOCK_ROWS = 500_000
 # Copies are regenerated in pieces of at most this many rows.
 CHUNK_ROWS = 1_000_000
-# Broadcast the hot-key list / per-unit tables only up to these row counts.
-MAX_BROADCAST_KEYS = 1_000_000
-MAX_BROADCAST_UNITS = 4_000_000
-# A heavy day is cut at up to this many NAV quantiles (the per-row cost of
-# finding a row's bucket grows with it).
-MAX_SPLITS = 256
+# A heavy bucket is cut at up to this many NAV quantiles a level (the per-row
+# cost of finding a row's bucket grows with it), over up to so many levels.
+MAX_SPLITS = 32
+MAX_LEVELS = 5
 # Sampled runs per split point (about 1/8 relative error in bucket sizes).
 SAMPLE_PER_SPLIT = 64
 
@@ -96,8 +96,17 @@ def _on(left: DataFrame, right: DataFrame, pairs) -> Column:
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def _maybe_broadcast(df: DataFrame, n: int, limit: int) -> DataFrame:
-    return F.broadcast(df) if n <= limit else df
+def _renamed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``df`` with ``_d_`` before ``names``, for a join with a frame that has them."""
+    return df.select(*[F.col(c).alias(f"_d_{c}" if c in names else c) for c in df.columns])
+
+
+def _groupable(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _groupable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_groupable(f.dataType) for f in t.fields)
+    return not isinstance(t, (T.MapType, T.VariantType))
 
 
 def _unit_index(m: Column) -> Column:
@@ -141,10 +150,10 @@ def unit_offsets(units: DataFrame, keys: Sequence[str], block_rows: int) -> Data
 
 def unit_targets(units: DataFrame, keys: Sequence[str], halo: int, block_rows: int) -> DataFrame:
     """From ``units`` with offsets (:func:`unit_offsets`) to one row per (unit,
-    block it goes to): ``_t`` and ``_halo`` (look-back copy only). At most
+    block it goes to): ``_p``, ``_t`` and ``_halo`` (look-back copy only). At most
     three rows per unit: its own block and two look-back targets."""
     b = max(int(block_rows), int(halo) + 1)
-    own = units.select(*keys, "date", "_r", F.col("_blk").alias("_t"), F.lit(False).alias("_halo"))
+    own = units.select(*keys, "date", "_r", "_p", F.col("_blk").alias("_t"), F.lit(False).alias("_halo"))
     if halo <= 0:
         return own
     blocks = units.groupBy(*keys, "_blk").agg(F.min("_p").alias("_bs"))
@@ -162,7 +171,7 @@ def unit_targets(units: DataFrame, keys: Sequence[str], halo: int, block_rows: i
     need = (
         cand.join(bl, on, "inner")
         .where((F.col("_bs") > F.col("_p")) & (F.col("_bs") < end + F.lit(halo)))
-        .select(*keys, "date", "_r", "_t", F.lit(True).alias("_halo"))
+        .select(*keys, "date", "_r", "_p", "_t", F.lit(True).alias("_halo"))
     )
     return own.unionByName(need)
 
@@ -181,9 +190,11 @@ def _expand(df: DataFrame, cols: Sequence[str], spread: bool) -> DataFrame:
 
 def tag(df: DataFrame) -> DataFrame:
     """``df`` with the helper columns the plans use: ``_nd`` (undated), ``_sp``
-    (undated rows' NAV, their plain-window group) and ``_rh`` (row hash)."""
+    (undated rows' NAV, their plain-window group) and ``_rh`` (hash of the
+    columns that can be grouped)."""
     undated = F.col("date").isNull()
-    return df.withColumns({"_nd": undated, "_sp": F.when(undated, F.col("nav")), "_rh": row_hash(df.columns)})
+    hashed = [f.name for f in df.schema.fields if _groupable(f.dataType)]
+    return df.withColumns({"_nd": undated, "_sp": F.when(undated, F.col("nav")), "_rh": row_hash(hashed)})
 
 
 def _bucket(splits: Column) -> Column:
@@ -209,79 +220,71 @@ def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo:
     unit."""
     b = max(int(block_rows), int(halo) + 1)
     u = max(1, b // 4)
-    runs = (
-        rows.groupBy(*cols, "_nd", "_rh").agg(F.count(F.lit(1)).alias("_m")).persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    runs = materialize(rows.groupBy(*cols, "_nd", "_rh").agg(F.count(F.lit(1)).alias("_m")))
     # Planning works on the dated runs, each weighted by its head count
     # ``_h``: a run's heads share its NAV and hash, hence its unit, so the
     # heads themselves are generated only for the window pass.
     heads = runs.where(~F.col("_nd")).withColumn("_h", F.least(F.col("_m"), F.lit(int(halo) + 1)))
-    # Heavy days: more than one unit's worth of heads (at most heads / u rows).
-    heavy = materialize(
-        heads.groupBy(*keys, "date")
-        .agg(F.sum("_h").alias("_cd"), F.count(F.lit(1)).alias("_cr"))
-        .where(F.col("_cd") > F.lit(u))
-    )
-    n_heavy, max_cd = heavy.agg(F.count(F.lit(1)), F.max("_cd")).first()
-    if not n_heavy:
-        heads = heads.withColumn("_r", F.lit(0).cast("long"))
-    else:
-        # NAV split points per heavy day: exact quantiles of a deterministic
-        # sample (runs whose second hash falls under SAMPLE_PER_SPLIT * k /
-        # runs of the day), so each day's buffer stays bounded and a
-        # recomputation gives the same points. A day left without points
-        # (no sampled non-NULL NAV) is one open bucket: never hash-cut.
-        k = int(min(MAX_SPLITS, max(2, -(-int(max_cd) // u))))
-        hv = heavy.select(
-            *[F.col(k_).alias(f"_d_{k_}") for k_ in keys],
-            F.col("date").alias("_d_date"),
-            (F.lit(float(SAMPLE_PER_SPLIT * k)) / F.col("_cr")).alias("_f"),
+    # A day holding more than one unit's worth of heads is cut at NAV split
+    # points; an open bucket (odd ``_r``: many values) that is still too large
+    # is cut again, level by level, so the number of points a row meets per
+    # level stays at MAX_SPLITS however large the day is.
+    heads = heads.withColumn("_r", F.lit(0).cast("long"))
+    unit = [*keys, "date", "_r"]
+    before = None
+    for level in range(MAX_LEVELS):
+        open_rows = heads if level == 0 else heads.where(F.col("_r") % 2 == 1)
+        heavy = materialize(
+            open_rows.groupBy(*unit)
+            .agg(F.sum("_h").alias("_cd"), F.count(F.lit(1)).alias("_cr"))
+            .where(F.col("_cd") > F.lit(u if level == 0 else 2 * u))
+        )
+        n_heavy, largest = heavy.agg(F.count(F.lit(1)), F.max("_cd")).first()
+        if not n_heavy or (n_heavy, largest) == before:
+            break
+        before = (n_heavy, largest)
+        # Exact quantiles of a deterministic sample (runs whose second hash
+        # falls under SAMPLE_PER_SPLIT * k / runs of the bucket), so each
+        # buffer stays bounded and a recomputation gives the same points. A
+        # day left without points (no sampled non-NULL NAV) stays one open
+        # bucket: never hash-cut.
+        k = int(min(MAX_SPLITS, max(2, -(-int(largest) // u))))
+        hv = _renamed(heavy, unit).withColumn("_f", F.lit(float(SAMPLE_PER_SPLIT * k)) / F.col("_cr")).drop("_cd", "_cr")
+        sample = heads.join(broadcast_if_small(hv), _on(heads, hv, [(c, f"_d_{c}") for c in unit])).where(
+            F.col("nav").isNotNull() & (_sample_key() < F.col("_f"))
         )
-        hv = _maybe_broadcast(hv, n_heavy, MAX_BROADCAST_UNITS)
-        on = _on(heads, hv, [(k_, f"_d_{k_}") for k_ in keys]) & (heads["date"] == hv["_d_date"])
-        sample = heads.join(hv, on, "inner").where(F.col("nav").isNotNull() & (_sample_key() < F.col("_f")))
+        points = F.array_sort(F.array_distinct(F.percentile("nav", [i / k for i in range(1, k)])))
+        found = _renamed(sample.groupBy(*unit).agg(points.alias("_s")), unit)
+        # Every heavy bucket has a row, with NULL points if none were sampled.
         splits = materialize(
-            sample.groupBy(*keys, "date").agg(
-                F.array_sort(F.array_distinct(F.percentile("nav", [i / k for i in range(1, k)]))).alias("_s")
+            heavy.join(found, _on(heavy, found, [(c, f"_d_{c}") for c in unit]), "left").select(
+                *unit, "_s", F.lit(True).alias("_cut")
             )
         )
-        sj = splits.select(*[F.col(k_).alias(f"_d_{k_}") for k_ in keys], F.col("date").alias("_d_date"), "_s")
-        sj = _maybe_broadcast(sj, n_heavy, MAX_BROADCAST_UNITS // k)
-        on = _on(heads, sj, [(k_, f"_d_{k_}") for k_ in keys]) & (heads["date"] == sj["_d_date"])
+        sj = _renamed(splits, unit)
         heads = (
-            heads.join(sj, on, "left")
-            .withColumn("_q", _bucket(F.col("_s")))
-            .drop(*[f"_d_{k_}" for k_ in keys], "_d_date", "_s")
+            heads.join(broadcast_if_small(sj), _on(heads, sj, [(c, f"_d_{c}") for c in unit]), "left")
+            .withColumn("_q", F.when(F.col("_cut"), _bucket(F.col("_s"))).otherwise(F.col("_r") % 2))
+            .withColumn("_r", F.col("_r") * F.lit(2 * MAX_SPLITS + 2) + F.col("_q"))
+            .drop(*[f"_d_{c}" for c in unit], "_s", "_cut", "_q")
         )
+    if before is not None:
         # A one-valued bucket (even) over one unit's worth is cut into equal
         # ranges of the row hash; at most heads / u such buckets.
         big = materialize(
-            heads.where(F.col("_q") % 2 == 0)
-            .groupBy(*keys, "date", "_q")
+            heads.where(F.col("_r") % 2 == 0)
+            .groupBy(*unit)
             .agg(F.sum("_h").alias("_cq"))
             .where(F.col("_cq") > F.lit(u))
-            .select(*keys, "date", "_q", F.ceil(F.col("_cq") / F.lit(u)).alias("_mq"))
+            .select(*unit, F.ceil(F.col("_cq") / F.lit(u)).alias("_mq"))
+        )
+        bj = _renamed(big, unit)
+        heads = (
+            heads.join(broadcast_if_small(bj), _on(heads, bj, [(c, f"_d_{c}") for c in unit]), "left")
+            .withColumn("_r2", F.when(F.col("_mq").isNull(), F.lit(0)).otherwise(_unit_index(F.col("_mq"))))
+            .withColumn("_r", F.col("_r") * F.lit(1 << 32) + F.col("_r2").cast("long"))
+            .drop(*[f"_d_{c}" for c in unit], "_mq", "_r2")
         )
-        n_big = big.count()
-        if n_big:
-            bj = big.select(
-                *[F.col(k_).alias(f"_d_{k_}") for k_ in keys], F.col("date").alias("_d_date"),
-                F.col("_q").alias("_d_q"), "_mq",
-            )
-            bj = _maybe_broadcast(bj, n_big, MAX_BROADCAST_UNITS)
-            on = (
-                _on(heads, bj, [(k_, f"_d_{k_}") for k_ in keys])
-                & (heads["date"] == bj["_d_date"])
-                & (heads["_q"] == bj["_d_q"])
-            )
-            heads = (
-                heads.join(bj, on, "left")
-                .withColumn("_r2", F.when(F.col("_mq").isNull(), F.lit(0)).otherwise(_unit_index(F.col("_mq"))))
-                .drop(*[f"_d_{k_}" for k_ in keys], "_d_date", "_d_q", "_mq")
-            )
-        else:
-            heads = heads.withColumn("_r2", F.lit(0))
-        heads = heads.withColumn("_r", F.col("_q") * F.lit(1 << 32) + F.col("_r2").cast("long")).drop("_q", "_r2")
     units = materialize(
         unit_offsets(
             heads.groupBy(*keys, "date", "_r").agg(F.sum("_h").alias("_c"), F.sum("_m").alias("_sw")),
@@ -326,18 +329,14 @@ def split_window(
     :func:`tag`): returns ``cols`` + added columns, added columns NULL for
     undated rows (which are left out when ``undated`` is False)."""
     b = max(int(block_rows), int(halo) + 1)
+    loose = [f.name for f in rows.schema.fields if f.name in cols and not _groupable(f.dataType)]
+    if loose:
+        raise ValueError(f"columns that cannot be grouped (maps): {loose}; drop them or pass split='never'")
     runs, heads, units, targets = plan_units(rows, cols, keys, halo, b)
-    # One job over the unit table: the unit count (targets are at most three
-    # per unit) and the largest number of rows one block emits once copies
-    # are regenerated.
-    widest, n_units = (
-        units.groupBy(*keys, "_blk")
-        .agg(F.sum("_sw").alias("_o"), F.count(F.lit(1)).alias("_n"))
-        .agg(F.max("_o"), F.sum("_n"))
-        .first()
-    )
-    widest, n_units = widest or 0, n_units or 0
-    tj = _maybe_broadcast(targets, 3 * n_units, MAX_BROADCAST_UNITS)
+    # The largest number of rows one block emits once copies are regenerated.
+    widest = units.groupBy(*keys, "_blk").agg(F.sum("_sw").alias("_o")).agg(F.max("_o")).first()[0] or 0
+    # Targets are at most three narrow rows per unit.
+    tj = F.broadcast(targets) if 3 * table_bytes(units) <= BROADCAST_BYTES else targets
     tagged = _join_units(heads, tj, keys)
 
     out = compute(tagged, [*keys, "_t"], _sequence_order("_j")).where(~F.col("_halo"))
@@ -409,7 +408,7 @@ def sequence_window(
         out = plain(dated)
     else:
         hot = counts.where(F.col("_n") > F.lit(int(hot_rows)))
-        h = _maybe_broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]), n_hot, MAX_BROADCAST_KEYS)
+        h = broadcast_if_small(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
         on = _on(dated, h, [(k, f"_h_{k}") for k in keys])
         cold = plain(dated.join(h, on, "left_anti"))
         out = cold.unionByName(
@@ -420,5 +419,9 @@ def sequence_window(
     # Undated rows need no window: copies collapse (a partial aggregation)
     # and are regenerated in spread chunks.
     added = [f for f in out.schema.fields if f.name not in cols]
-    runs = tagged.where(F.col("_nd")).groupBy(*cols, "_rh").agg(F.count(F.lit(1)).alias("_m"))
+    lost = tagged.where(F.col("_nd"))
+    if not all(_groupable(f.dataType) for f in df.schema.fields):
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in added]
+        return out.unionByName(lost.select(*cols, *nulls))
+    runs = lost.groupBy(*cols, "_rh").agg(F.count(F.lit(1)).alias("_m"))
     return out.unionByName(_undated_rows(runs, cols, added))

@@ -23,13 +23,32 @@ from navspark.schemas import NAV_COLUMNS, PAYLOAD_DOC_SCHEMA, PAYLOAD_SCHEMA
 def read_payloads(spark: SparkSession, root: str, codes: Iterable[str] | None = None) -> DataFrame:
     """Landed payload documents -> ``data ARRAY<STRUCT<date,nav>>, scheme_code``.
 
-    ``codes`` restricts the scan by partition pruning (PartitionFilters in the
-    plan); a code that has no directory simply contributes nothing.
+    With ``codes`` only those schemes' folders are listed; a code without a
+    folder contributes nothing. A document is read by one task whole; land
+    large histories as several documents.
     """
-    df = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True).json(root)
-    if codes is not None:
-        df = df.where(F.col("scheme_code").isin([str(c) for c in codes]))
-    return df
+    reader = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True)
+    if codes is None:
+        return reader.json(root)
+    folders = scheme_folders(spark, root, codes)
+    if not folders:
+        return spark.createDataFrame([], PAYLOAD_SCHEMA)
+    return reader.option("basePath", root).json(folders)
+
+
+def scheme_folders(spark: SparkSession, root: str, codes: Iterable[str]) -> list[str]:
+    """The existing folders of ``codes`` under ``root``, through Hadoop's file
+    system API, so any store that Spark reads will do."""
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    found = []
+    for code in dict.fromkeys(str(c) for c in codes):
+        p = jvm.org.apache.hadoop.fs.Path(base, f"scheme_code={escape(code)}")
+        if fs.exists(p):
+            found.append(f"{root.rstrip('/')}/scheme_code={escape(code)}")
+    return found
 
 
 def nav_from_payloads(payloads: DataFrame, name: Column | None = None) -> DataFrame:
@@ -88,12 +107,15 @@ def read_nav(
     return filter_dates(nav, start, end).select(*NAV_COLUMNS)
 
 
-def scheme_payload(spark: SparkSession, root: str, code: str) -> DataFrame:
-    """Raw payload text of one scheme: ``scheme_code, payload`` (one row per
-    landed document). Only that scheme's directory is listed and read."""
-    return (
-        spark.read.schema("value STRING, scheme_code STRING")
-        .text(root, wholetext=True)
-        .where(F.col("scheme_code") == F.lit(str(code)))
-        .select("scheme_code", F.col("value").alias("payload"))
-    )
+def scheme_payload(spark: SparkSession, root: str, code: str | Iterable[str] | None) -> DataFrame:
+    """Raw payload text of one scheme, several or (None) all: ``scheme_code,
+    payload``, one row per landed document. Only the given schemes' folders
+    are listed and read; a scheme without a folder has no rows."""
+    schema = "value STRING, scheme_code STRING"
+    reader = spark.read.schema(schema).option("wholetext", True)
+    if code is None:
+        text = reader.text(root)
+    else:
+        folders = scheme_folders(spark, root, [code] if isinstance(code, str) else code)
+        text = reader.option("basePath", root).text(folders) if folders else spark.createDataFrame([], schema)
+    return text.select("scheme_code", F.col("value").alias("payload"))

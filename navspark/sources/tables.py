@@ -16,16 +16,17 @@ row per map task.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspark.plans.materialize import materialize
+from navspark.plans.materialize import broadcast_if_small, materialize
 from navspark.schemas import NAV_COLUMNS
+from navspark.session import ensure_checkpoint_dir
 
 # A rendered payload document holds at most about this many points.
 MAX_DOC_POINTS = 100_000
-# Broadcast the list of oversized (scheme, month) groups only up to this size.
-MAX_BROADCAST_GROUPS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,10 +85,37 @@ def scheme_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payload_documents(nav: DataFrame, max_points: int = MAX_DOC_POINTS) -> DataFrame:
+def _landing_folder(spark: SparkSession, kind: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{kind}-{uuid.uuid4().hex}"
+
+
+def landed_payloads(nav: DataFrame) -> str:
+    """Write a NAV table as landed payload files, one folder per scheme and one
+    document per file, under the session's shared checkpoint folder; returns
+    the root. Whole table, every point."""
+    root = _landing_folder(nav.sparkSession, "payloads")
+    docs = payload_documents(nav, period="yyyy").select("scheme_code", "value")
+    docs.write.partitionBy("scheme_code").option("maxRecordsPerFile", 1).text(root)
+    return root
+
+
+def landed_catalogue(catalogue: DataFrame, per_document: int = 5_000) -> str:
+    """Write a catalogue as landed documents (JSON arrays of about
+    ``per_document`` schemes, one per file); returns the folder."""
+    root = _landing_folder(catalogue.sparkSession, "catalogue")
+    n = max(1, -(-catalogue.count() // per_document))
+    part = F.pmod(F.xxhash64(*catalogue.columns), F.lit(n)).alias("part")
+    docs = catalogue.groupBy(part).agg(
+        F.to_json(F.collect_list(F.struct(*catalogue.columns))).alias("value")
+    )
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(root)
+    return root
+
+
+def payload_documents(nav: DataFrame, max_points: int = MAX_DOC_POINTS, period: str = "yyyy-MM") -> DataFrame:
     """Render a NAV table as payload documents in the service's text format:
-    ``scheme_code, period, part, value``, one or more documents per (scheme,
-    month), each holding at most about ``max_points`` points.
+    ``scheme_code, period, part, value``, one or more documents per scheme and
+    ``period`` (a date pattern; months unless given), each holding at most about ``max_points`` points.
 
     Copies of a point first collapse into one row with a multiplicity (a
     partial aggregation). A (scheme, month) over ``max_points`` points is cut
@@ -98,7 +126,7 @@ def payload_documents(nav: DataFrame, max_points: int = MAX_DOC_POINTS) -> DataF
     d = int(max_points)
     pts = nav.select(
         "scheme_code",
-        F.date_format("date", "yyyy-MM").alias("period"),
+        F.date_format("date", period).alias("period"),
         F.struct(
             F.date_format("date", "dd-MM-yyyy").alias("date"),
             F.col("nav").cast("string").alias("nav"),
@@ -115,7 +143,7 @@ def payload_documents(nav: DataFrame, max_points: int = MAX_DOC_POINTS) -> DataF
     n_big = big.count()
     if n_big:
         bj = big.select(F.col("scheme_code").alias("_b_code"), F.col("period").alias("_b_period"), "_parts")
-        bj = F.broadcast(bj) if n_big <= MAX_BROADCAST_GROUPS else bj
+        bj = broadcast_if_small(bj)
         on = runs["scheme_code"].eqNullSafe(bj["_b_code"]) & runs["period"].eqNullSafe(bj["_b_period"])
         chunks = (
             runs.join(bj, on, "left")

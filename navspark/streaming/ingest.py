@@ -13,6 +13,8 @@ No state is kept between micro-batches: ingest is a per-document map.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,14 +39,17 @@ def start_nav_ingest(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append new NAV rows to the parquet table at ``out`` (partitioned by
-    ``year``). ``checkpoint`` defaults to a folder under the session's
-    ``spark.checkpoint.dir``. With ``available_now`` the query processes what
+    ``year``). ``checkpoint`` defaults to a folder of this root and output
+    under the session's ``spark.checkpoint.dir``. With ``available_now`` the query processes what
     has landed and stops; otherwise it keeps running."""
     if checkpoint is None:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
             raise ValueError("pass checkpoint= or set spark.checkpoint.dir")
-        checkpoint = base.rstrip("/") + "/nav_ingest"
+        # One folder per pair of input and output: a checkpoint records what
+        # one query has read and written, and must never serve another.
+        pair = hashlib.sha256(f"{root.rstrip('/')}\n{out.rstrip('/')}".encode()).hexdigest()[:32]
+        checkpoint = f"{base.rstrip('/')}/nav_ingest/{pair}"
     w = (
         nav_stream(spark, root)
         .withColumn("year", F.year("date"))

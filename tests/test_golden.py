@@ -1,5 +1,6 @@
 """Golden micro-fixture: every operator against hand-checked values."""
 
+import datetime as dt
 import math
 
 import pytest
@@ -13,6 +14,7 @@ from navspark import (
     rolling_metrics,
     scheme_summary,
 )
+from navspark.schemas import NAV_SCHEMA
 from tests.conftest import d
 
 
@@ -133,6 +135,40 @@ def test_pivot(golden):
 
 
 def test_pivot_width_guard(golden):
-    with pytest.raises(ValueError):
-        pivot_nav(golden, max_columns=3)
-    assert pivot_nav(golden, values=["A"]).columns == ["date", "A"]
+    conf = golden.sparkSession.conf
+    conf.set("spark.sql.pivotMaxValues", "3")
+    try:
+        with pytest.raises(ValueError):
+            pivot_nav(golden)
+        assert pivot_nav(golden, values=["A", "B", "C", "D"]).columns == ["date", "A", "B", "C", "D"]
+    finally:
+        conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_pivot_keeps_unnamed_rows_and_wide_tables(spark):
+    day = dt.date(2024, 1, 1)
+    rows = [(day, 1.0, "1", None), (day, 2.0, "2", "null"), (day, 3.0, "3", "A")]
+    p = pivot_nav(spark.createDataFrame(rows, NAV_SCHEMA))
+    assert p.columns == ["date", "null", "A", "null"] and tuple(p.first())[1:] == (1.0, 3.0, 2.0)
+    many = spark.createDataFrame([(day, float(i), str(i), f"S{i:04}") for i in range(1001)], NAV_SCHEMA)
+    assert len(pivot_nav(many).columns) == 1002
+
+
+def test_undated_rows_count(spark):
+    day = dt.date(2024, 1, 1)
+    rows = [(None, 9.0, "1", "A"), (day, 1.0, "1", "A"), (day, 3.0, "1", "A"), (None, 5.0, "2", "U")]
+    nav = spark.createDataFrame(rows, NAV_SCHEMA)
+    for f in (performance_metrics, scheme_summary):
+        got = {r.scheme_name: r for r in f(nav).collect()}
+        a, u = got["A"], got["U"]
+        assert (a.total_observations, a.min_nav, a.max_nav, a.first_nav, a.latest_nav) == (3, 1.0, 9.0, 1.0, 3.0)
+        assert (u.total_observations, u.avg_nav, u.first_nav, u.start_date) == (1, 5.0, None, None)
+    got = {(r.scheme_name, r.year): tuple(r)[3:] for r in monthly_nav(nav).collect()}
+    assert got == {("A", 2024): (1.0, 3.0, 2), ("A", None): (None, None, 1), ("U", None): (None, None, 1)}
+
+
+def test_null_on_an_end_date(spark):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    rows = [(d1, None, "1", "A"), (d1, 4.0, "1", "A"), (d2, None, "1", "A"), (d2, 7.0, "1", "A"), (d2, 6.0, "1", "A")]
+    r = scheme_summary(spark.createDataFrame(rows, NAV_SCHEMA)).first()
+    assert (r.first_nav, r.latest_nav) == (None, 7.0)

@@ -142,3 +142,33 @@ def test_streaming_ingest(spark, landed, tmp_path):
     back = spark.read.parquet(out)
     assert back.count() == first + 1
     assert back.where(F.col("scheme_code") == "10").count() == 1
+
+
+def test_each_output_has_its_own_checkpoint(spark, tmp_path):
+    roots = []
+    for k in (1, 2):
+        d = tmp_path / f"root{k}" / f"scheme_code={k}"
+        d.mkdir(parents=True)
+        (d / "a.json").write_text('{"data":[{"date":"01-01-2024","nav":"%d"}]}' % k)
+        roots.append(str(tmp_path / f"root{k}"))
+    outs = [str(tmp_path / f"out{i}") for i in range(4)]
+    for root, out in ((roots[0], outs[0]), (roots[0], outs[1]), (roots[0], outs[2]), (roots[1], outs[3])):
+        start_nav_ingest(spark, root, out).awaitTermination()
+    got = [[r.nav for r in spark.read.parquet(o).collect()] for o in outs]
+    assert got == [[1.0], [1.0], [1.0], [2.0]]
+
+
+def test_only_given_folders_are_listed(spark, tmp_path):
+    from navspark.sources.payload import read_payloads, scheme_payload
+
+    for k in ("000123", "7", "8"):
+        d = tmp_path / f"scheme_code={k}"
+        d.mkdir()
+        (d / "a.json").write_text('{"data":[{"date":"01-01-2024","nav":"1"}]}')
+    df = read_payloads(spark, str(tmp_path), ["000123", "404"])
+    assert [r.scheme_code for r in df.collect()] == ["000123"]
+    assert len(df.inputFiles()) == 1
+    text = scheme_payload(spark, str(tmp_path), "7")
+    assert [r.scheme_code for r in text.collect()] == ["7"] and len(text.inputFiles()) == 1
+    assert scheme_payload(spark, str(tmp_path), None).count() == 3
+    assert scheme_payload(spark, str(tmp_path), "404").count() == read_payloads(spark, str(tmp_path), []).count() == 0

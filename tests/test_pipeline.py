@@ -66,3 +66,17 @@ def test_pipeline_end_to_end(spark, tmp_path):
     )
     got = nav.where(F.col("scheme_code") == "2").select("date", "nav")
     assert sorted(got.collect()) == sorted(direct.select("date", "nav").collect())
+
+
+def test_defaults_take_everything_in_order(spark, tmp_path):
+    root = str(tmp_path)
+    land_from_tables(spark, root)
+    mapping = {str(i): f"Fund {i}" for i in (9, 2, 17, 5, 12)}
+    res = run_pipeline(
+        spark, os.path.join(root, "schemes.json"), os.path.join(root, "payloads"), os.path.join(root, "out"), mapping=mapping
+    )
+    direct = nav_by_brand(spark, SF_SMALL).where(F.col("scheme_code").isin(list(mapping)))
+    assert res["nav"].count() == direct.count()
+    assert [r.scheme_name for r in res["latest"].coalesce(1).collect()] == sorted(mapping.values())
+    months = [(r.scheme_name, r.year, r.month) for r in res["monthly"].coalesce(1).collect()]
+    assert sorted(months) == months and len(months) > 100

@@ -5,7 +5,17 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from navspark import attach_names, latest_nav, nav_range, performance_metrics, returns, rolling_metrics, write_nav
+from navspark import (
+    attach_names,
+    latest_nav,
+    monthly_nav,
+    nav_range,
+    performance_metrics,
+    returns,
+    rolling_metrics,
+    scheme_summary,
+    write_nav,
+)
 from navspark.sources.sinks import read_nav_table
 from navspark.sources.tables import nav_by_brand
 from tests.conftest import SF_SMALL
@@ -57,9 +67,42 @@ def test_latest_is_partial_top1(stored_nav):
     assert p.index("Exchange") < p.rindex("WindowGroupLimit")
 
 
-def test_aggregates_are_partial(stored_nav):
-    p = plan(performance_metrics(stored_nav))
-    assert "partial_min_by" in p and "partial_max_by" in p
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_endpoints_are_hash_only(stored_nav, monkeypatch, threshold):
+    # No sort anywhere, whether the group table is broadcast or not.
+    import navspark.plans.endpoints as endpoints
+
+    if threshold == "-1":
+        monkeypatch.setattr(endpoints, "BROADCAST_BYTES", -1)
+    stored_nav.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for f in (performance_metrics, scheme_summary, monthly_nav):
+            p = final_plan(f(stored_nav))
+            assert "SortAggregate" not in p and "Sort [" not in p and "partial_min" in p, f.__name__
+    finally:
+        stored_nav.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_source_queries_read_files(spark):
+    assert "FileScan json" in plan(E.q_nav_from_json(spark, SF_SMALL))
+    assert "FileScan json" in plan(E.q_nav_multi(spark, SF_SMALL))
+    assert "FileScan json" in plan(E.q_scan_schemes(spark, SF_SMALL))
+    assert "FileScan text" in plan(E.q_scheme_payload(spark, SF_SMALL))
+
+
+def test_hot_key_plan_leaves_nothing_cached(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    E.q_returns_hot_key(spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_map_columns(stored_nav):
+    from pyspark.sql import functions as F
+
+    nav = stored_nav.withColumn("m", F.create_map(F.lit("a"), "nav"))
+    assert returns(nav, [1]).count() == nav.count()
+    with pytest.raises(ValueError, match="map"):
+        returns(nav, [1], split="always")
 
 
 def test_range_filter_reaches_scan(stored_nav):
@@ -80,7 +123,7 @@ def test_mapping_broadcast_is_size_checked(stored_nav):
     assert "BroadcastHashJoin" in final_plan(attach_names(stored_nav, m))
     stored_nav.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = final_plan(attach_names(stored_nav, m, max_broadcast_rows=1))
+        big = final_plan(attach_names(stored_nav, m, max_broadcast_bytes=1))
         assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
     finally:
         stored_nav.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")

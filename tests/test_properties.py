@@ -88,7 +88,7 @@ series = st.lists(
 )
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck),
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck),
           phases=[Phase.explicit, Phase.reuse, Phase.generate])
 @given(series, st.integers(1, 4))
 def test_input_order_does_not_matter(spark, pts, parts):
