@@ -44,10 +44,12 @@ def returns(
     split: str = "auto",
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Input rows plus ``return_{p}d`` = (nav - nav p rows earlier) / that * 100
     for each p. NULL for the first p rows of a key, when either NAV is NULL or
     the earlier NAV is 0. All periods share one window: one shuffle, one sort.
+    ``counts`` (:func:`navspark.plans.sequence.key_counts`) saves counting again.
     """
     periods = [int(p) for p in periods]
     if any(p < 1 for p in periods):
@@ -61,7 +63,7 @@ def returns(
         )
 
     return sequence_window(
-        nav, _keys(key), max(periods, default=0), compute, split, hot_rows, block_rows
+        nav, _keys(key), max(periods, default=0), compute, split, hot_rows, block_rows, counts
     )
 
 
@@ -135,6 +137,7 @@ def rolling_metrics(
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
     method: str = "auto",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Input rows plus mean, min, max and sample standard deviation of the NAV
     over the current row and the ``window_days - 1`` rows before it. The
@@ -154,4 +157,4 @@ def rolling_metrics(
     def compute(df: DataFrame, parts: list[str], order: list[Column]) -> DataFrame:
         return (_rolling_blocks if blocks else _rolling_frame)(df, parts, order, n)
 
-    return sequence_window(nav, _keys(key), n - 1, compute, split, hot_rows, block_rows)
+    return sequence_window(nav, _keys(key), n - 1, compute, split, hot_rows, block_rows, counts)

@@ -31,6 +31,7 @@ from navspark.operators.metrics import performance_metrics, scheme_summary
 from navspark.operators.periodic import latest_nav, monthly_nav
 from navspark.operators.pivot import pivot_nav
 from navspark.operators.windows import returns, rolling_metrics
+from navspark.plans.sequence import key_counts
 from navspark.sources.catalogue import read_schemes
 from navspark.sources.popular import popular_schemes_mapping
 from navspark.sources.sinks import read_nav_table, write_nav, write_table
@@ -86,8 +87,9 @@ def run_pipeline(
     write_nav(nav_multi(spark, payload_root, mapping, start, end), p["raw/nav"])
     nav = read_nav_table(spark, p["raw/nav"])
 
-    write_table(returns(nav, return_periods), p["processed/returns"])
-    write_table(rolling_metrics(nav, rolling_rows), p["processed/rolling"])
+    counts = key_counts(nav, ["scheme_name"])
+    write_table(returns(nav, return_periods, counts=counts), p["processed/returns"])
+    write_table(rolling_metrics(nav, rolling_rows, counts=counts), p["processed/rolling"])
     write_table(performance_metrics(nav), p["analysis/performance"])
     write_table(scheme_summary(nav), p["analysis/summary"])
     write_table(latest_nav(nav).orderBy("scheme_name", "scheme_code"), p["analysis/latest"])

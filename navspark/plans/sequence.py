@@ -358,6 +358,15 @@ def _undated_rows(runs: DataFrame, cols: Sequence[str], added) -> DataFrame:
     return _expand(runs.select(*cols, *nulls, F.col("_m").alias("_w"), "_rh"), res_cols, spread=True)
 
 
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored row counts per key, dated (``_n``) and undated (``_u``): what
+    ``split="auto"`` decides by. Pass them to several operators over the same
+    rows to count once."""
+    return materialize(
+        df.groupBy(*keys).agg(F.count("date").alias("_n"), F.count_if(F.col("date").isNull()).alias("_u"))
+    )
+
+
 def sequence_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -366,6 +375,7 @@ def sequence_window(
     split: str = "auto",
     hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Apply ``compute`` to every row of ``df``, each key's rows forming one
     sequence. ``split``: ``"auto"`` (one small aggregation counts rows per key;
@@ -392,14 +402,9 @@ def sequence_window(
     if split == "always":
         return split_window(tagged, cols, keys, halo, compute, block_rows)
 
-    # One aggregation over the input (partial in every task, one row per
-    # key): dated rows per key and undated rows per key. Materialised: both
-    # decisions below read it.
-    counts = materialize(
-        df.groupBy(*keys).agg(
-            F.count("date").alias("_n"), F.count_if(F.col("date").isNull()).alias("_u")
-        )
-    )
+    # Unless the caller has them: one aggregation over the input (partial in
+    # every task, one row per key). Stored, since both decisions read it.
+    counts = key_counts(df, keys) if counts is None else counts
     n_undated, n_hot = counts.agg(
         F.coalesce(F.sum("_u"), F.lit(0)), F.count_if(F.col("_n") > F.lit(int(hot_rows)))
     ).first()
