@@ -49,11 +49,18 @@ SECOND_PERSON = frozenset(
 )
 _LEET = str.maketrans("0134578@$!|*", "oieastbasiia")
 _WORD = re.compile(r"[^\W\d_]+")
-_MASKED = re.compile(r"[A-Za-z]+(?:[0-9@$!|*.\-_][A-Za-z]*)+")
+_MASKED = re.compile(r"[A-Za-z]+(?:[0-9@$!|*.\-_]+[A-Za-z]+)+")
 _SPACED = re.compile(r"(?<![A-Za-z])[A-Za-z](?:[ .\-_*][A-Za-z]){3,}(?![A-Za-z])")
 _STRETCHED = re.compile(r"([a-z])\1{2,}")
 FEATURES = 16
 
+# Byte kinds for the quick test of hidden_hits: letters (1), masks (2), separators of spaced letters.
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[list(b"0123456789@$!|*.-_")] = 2
+_SEPARATOR = np.zeros(256, dtype=bool)
+_SEPARATOR[list(b" .-_*")] = True
+
 
 @dataclass
 class ToxicityModel:
@@ -73,21 +80,43 @@ def plain_forms(token: str) -> list[str]:
     return [re.sub(r"[^a-z]", "", low.translate(_LEET)), re.sub(r"[^a-z]", "", low)]
 
 
-def hidden_hits(text: str) -> tuple[int, int]:
-    """``(obfuscated tokens, lexicon words among them)``."""
+def hidden_hits(text: str, data: np.ndarray | None = None) -> tuple[int, int]:
+    """``(obfuscated tokens, lexicon words among them)``; ``data`` are the text's UTF-8 bytes."""
     seen = hits = 0
-    for m in _MASKED.finditer(text):
-        forms = plain_forms(m[0])
-        hit = any(f in LEXICON for f in forms) and not any(p.lower() in LEXICON for p in _WORD.findall(m[0]))
+    if data is None:
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    # Without a run of masks between letters, or letters standing apart, no pattern can match.
+    kind = _KIND[data]
+    if (kind == 2).any():
+        runs = kind[(kind != 2) | np.concatenate(([True], kind[:-1] != 2))]
+        masked = ((runs[:-2] == 1) & (runs[1:-1] == 2) & (runs[2:] == 1)).any()
+    else:
+        masked = False
+    apart = (kind[:-1] == 1) & _SEPARATOR[data[1:]]
+    spaced = len(data) > 6 and (apart[:-4] & apart[2:-2] & apart[4:]).any()
+    for m in _MASKED.finditer(text) if masked else ():
         seen += 1
-        hits += hit
-    for m in _SPACED.finditer(text):
+        hits += any(f in LEXICON for f in plain_forms(m[0])) and not any(
+            p.lower() in LEXICON for p in _WORD.findall(m[0])
+        )
+    for m in _SPACED.finditer(text) if spaced else ():
         seen += 1
         hits += re.sub(r"[^a-z]", "", m[0].lower()) in LEXICON
     return seen, hits
 
 
-def text_features(text: str | None, lexicons: list[dict[str, float]], cache: dict[str, tuple]) -> list[np.ndarray]:
+def _word_facts(w: str, lexicons: list[dict[str, float]]) -> tuple | bool:
+    """``(in lexicon, second person, stretched lexicon word, learned weights)``, False if none holds."""
+    stretched = False
+    if _STRETCHED.search(w):
+        stretched = _STRETCHED.sub(r"\1", w) in LEXICON or _STRETCHED.sub(r"\1\1", w) in LEXICON
+    us = units(w)
+    weights = [max([lex.get(u, 0.0) for u in us]) for lex in lexicons]
+    seed, second = w in LEXICON, w in SECOND_PERSON
+    return (seed, second, stretched, weights) if seed or second or stretched or any(weights) else False
+
+
+def text_features(text: str | None, lexicons: list[dict[str, float]], cache: dict[str, tuple | bool]) -> list[np.ndarray]:
     """One feature row per learned lexicon. An empty or null text is all zeros but for its length."""
     rows = [np.zeros(FEATURES) for _ in lexicons]
     if not text:
@@ -100,29 +129,24 @@ def text_features(text: str | None, lexicons: list[dict[str, float]], cache: dic
     learned = [[0.0, 0.0, 0] for _ in lexicons]
     for w, c in counts.items():
         known = cache.get(w)
+        if known is False:
+            continue
         if known is None:
             if len(cache) > 500_000:
                 cache.clear()
-            squeezed = _STRETCHED.sub(r"\1", w)
-            us = units(w)
-            known = cache[w] = (
-                w in LEXICON,
-                w in SECOND_PERSON,
-                squeezed != w and (squeezed in LEXICON or _STRETCHED.sub(r"\1\1", w) in LEXICON),
-                [max((lex.get(u, 0.0) for u in us), default=0.0) for lex in lexicons],
-            )
-        if known[0]:
-            seed += c
-        if known[1]:
-            second += c
-        if known[2]:
-            stretched += c
-        for k, weight in enumerate(known[3]):
+            known = cache[w] = _word_facts(w, lexicons)
+            if known is False:
+                continue
+        seed += c * known[0]
+        second += c * known[1]
+        stretched += c * known[2]
+        for mine, weight in zip(learned, known[3], strict=True):
             if weight:
-                learned[k][0] += c * weight
-                learned[k][1] = max(learned[k][1], weight)
-                learned[k][2] += c
-    obfuscated, hidden = hidden_hits(text)
+                mine[0] += c * weight
+                mine[1] = max(mine[1], weight)
+                mine[2] += c
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    obfuscated, hidden = hidden_hits(text, data)
     near = 0.0
     if seed and second:
         hits = np.array([i for i, w in enumerate(words) if w in LEXICON])
@@ -133,7 +157,7 @@ def text_features(text: str | None, lexicons: list[dict[str, float]], cache: dic
         ).min()
         near = 1.0 / gap
     letters = sum(map(len, words))
-    upper = sum(map(str.isupper, text)) if not text.islower() else 0
+    upper = int(np.count_nonzero((data >= 65) & (data <= 90)))
     chars = len(text)
     shared = [
         seed / n,
@@ -225,7 +249,7 @@ def fit_toxicity(
     full = learn_lexicon(c[:, 1] + c[:, 3], c[:, 0] + c[:, 2], names, sizes[1] + sizes[3], sizes[0] + sizes[2], LEAST_SUPPORT)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, tuple] = {}
+        cache: dict[str, tuple | bool] = {}
         for batch in batches:
             out = []
             for text, slot in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -264,7 +288,7 @@ def score_toxicity(
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        cache: dict[str, tuple] = {}
+        cache: dict[str, tuple | bool] = {}
         for batch in batches:
             x = np.zeros((batch.num_rows, FEATURES))
             for i, text in enumerate(batch.column(0)):
