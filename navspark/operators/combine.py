@@ -56,6 +56,7 @@ def nav_multi(
     start=None,
     end=None,
     with_fetch_time: bool = True,
+    multiline: bool = True,
 ) -> DataFrame:
     """NAV of every scheme in ``mapping`` from the landed payloads, named,
     date-bounded and stamped with ``fetch_timestamp``.
@@ -65,7 +66,7 @@ def nav_multi(
     is fixed per query run (``current_timestamp`` is folded at planning).
     """
     codes = None if isinstance(mapping, DataFrame) else list(mapping.keys())
-    raw = nav_from_payloads(read_payloads(spark, root, codes))
+    raw = nav_from_payloads(read_payloads(spark, root, codes, multiline))
     named = filter_dates(attach_names(raw, mapping, "inner"), start, end)
     if with_fetch_time:
         named = named.withColumn("fetch_timestamp", F.current_timestamp())

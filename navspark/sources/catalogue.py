@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from navspark.schemas import SCHEME_SCHEMA
 
 
-def read_schemes(spark: SparkSession, path: str) -> DataFrame:
+def read_schemes(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Landed catalogue documents (each one JSON array of
     ``{schemeCode, schemeName, schemeType}`` objects) -> typed catalogue.
 
     The schema is declared, never inferred: a numeric code becomes its text
     ('120503'), a missing key becomes NULL, extra keys are dropped. Each
-    document is one task; many documents under ``path`` read in parallel.
+    document is one task; many documents under ``path`` read in parallel. With
+    ``multiline=False`` every line is one object, and large files split.
     """
-    return spark.read.schema(SCHEME_SCHEMA).option("multiLine", True).json(path)
+    return spark.read.schema(SCHEME_SCHEMA).option("multiLine", multiline).json(path)
 
 
 def schemes_from_json_lines(text: Column) -> Column:

@@ -20,14 +20,17 @@ from navspark.functions.exprs import parse_arg_date, parse_nav_date, parse_nav_v
 from navspark.schemas import NAV_COLUMNS, PAYLOAD_DOC_SCHEMA, PAYLOAD_SCHEMA
 
 
-def read_payloads(spark: SparkSession, root: str, codes: Iterable[str] | None = None) -> DataFrame:
+def read_payloads(
+    spark: SparkSession, root: str, codes: Iterable[str] | None = None, multiline: bool = True
+) -> DataFrame:
     """Landed payload documents -> ``data ARRAY<STRUCT<date,nav>>, scheme_code``.
 
     With ``codes`` only those schemes' folders are listed; a code without a
-    folder contributes nothing. A document is read by one task whole; land
-    large histories as several documents.
+    folder contributes nothing. A multi-line document is read by one task
+    whole; with ``multiline=False`` every line of a file is a document of its
+    own, and large files split over tasks.
     """
-    reader = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", True)
+    reader = spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", multiline)
     if codes is None:
         return reader.json(root)
     folders = scheme_folders(spark, root, codes)
@@ -99,11 +102,12 @@ def read_nav(
     codes: Iterable[str] | None = None,
     start=None,
     end=None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Historical NAV of the landed schemes (all, or ``codes``), typed and
     bounded to ``[start, end]``. One scan for any number of schemes: tasks
     are split by document, never one job per scheme."""
-    nav = nav_from_payloads(read_payloads(spark, root, codes))
+    nav = nav_from_payloads(read_payloads(spark, root, codes, multiline))
     return filter_dates(nav, start, end).select(*NAV_COLUMNS)
 
 

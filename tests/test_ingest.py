@@ -172,3 +172,19 @@ def test_only_given_folders_are_listed(spark, tmp_path):
     assert [r.scheme_code for r in text.collect()] == ["7"] and len(text.inputFiles()) == 1
     assert scheme_payload(spark, str(tmp_path), None).count() == 3
     assert scheme_payload(spark, str(tmp_path), "404").count() == read_payloads(spark, str(tmp_path), []).count() == 0
+
+
+def test_json_lines_layout(spark, tmp_path):
+    from navspark.sources.catalogue import read_schemes
+    from navspark.sources.payload import read_nav
+
+    d = tmp_path / "nav" / "scheme_code=007"
+    d.mkdir(parents=True)
+    (d / "all.json").write_text("".join('{"data":[{"date":"%02d-01-2024","nav":"%d"}]}\n' % (i, i) for i in range(1, 29)))
+    nav = read_nav(spark, str(tmp_path / "nav"), multiline=False)
+    assert sorted(r.nav for r in nav.collect()) == [float(i) for i in range(1, 29)]
+    (tmp_path / "schemes.json").write_text('{"schemeCode": 1, "schemeName": "A"}\n{"schemeCode": "2"}\n')
+    assert [tuple(r) for r in read_schemes(spark, str(tmp_path / "schemes.json"), multiline=False).collect()] == [
+        ("1", "A", None),
+        ("2", None, None),
+    ]
