@@ -18,6 +18,7 @@ collected, grouped whole or joined among themselves.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -148,15 +149,18 @@ def phrase_candidates(adjusted: DataFrame) -> DataFrame:
 
 def proximity_matches(adjusted: DataFrame, slop: int = SLOP) -> DataFrame:
     """``(uid, item_no)`` where two rare terms of an item stand within ``slop`` words of their distance in it."""
-    width = slop + 1
-    bucket = F.floor(F.col("offset") / width)
-    near = adjusted.select("uid", "item_no", "place", "offset", "need", F.explode(F.array(bucket, bucket + 1)).alias("b"))
+    hits = F.array_sort(F.collect_list(F.struct("offset", "place")))
+    last = F.size("hits") - 1
+    close = F.zip_with(
+        F.slice("hits", F.lit(1), last),
+        F.slice("hits", F.lit(2), last),
+        lambda x, y: (y["offset"] - x["offset"] <= slop) & (x["place"] != y["place"]),
+    )
     return (
-        near.groupBy("uid", "item_no", "b")
-        .agg(F.min("place").alias("low"), F.max("place").alias("high"), F.max("need").alias("need"))
-        .where("high > low OR need = 1")
+        adjusted.groupBy("uid", "item_no")
+        .agg(hits.alias("hits"), F.max("need").alias("need"))
+        .where((F.col("need") == 1) | F.exists(close, lambda c: c))
         .select("uid", "item_no")
-        .distinct()
     )
 
 
@@ -221,16 +225,22 @@ def covered(runs: Column) -> Column:
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    proximity: bool = False,
 ) -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near)``, one row per input row.
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``, one row per input row.
 
     Null and wordless texts have no words and are clean; items without words
     match nothing; a null item id counts as the empty string; items with equal
     ids count once; repeated rows and null document ids get their own results;
     other columns are ignored; an empty benchmark leaves everything clean and
-    an empty table gives an empty result. ``n_near`` counts items of which two
-    rare terms stand at nearly the right distance.
+    an empty table gives an empty result. With ``proximity`` a column
+    ``n_near`` counts items of which two rare terms stand at nearly the right
+    distance.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -262,13 +272,12 @@ def decontaminate(
         adjusted = materialize(adjusted_postings(postings, table))
         candidates = phrase_candidates(adjusted)
         hits.append(confirm(base, candidates, words, names))
-        # Items are numbered across blocks, and an id counts once.
-        label = spark.createDataFrame(list(enumerate(names)), "item_no int, item string")
-        near.append(proximity_matches(adjusted).join(F.broadcast(label), "item_no").select("uid", "item"))
+        if proximity:  # by item id, which counts once however many blocks hold it
+            label = spark.createDataFrame(list(enumerate(names)), "item_no int, item string")
+            near.append(proximity_matches(adjusted).join(F.broadcast(label), "item_no").select("uid", "item"))
     own = index.select("uid", "doc_id", "n_words")
     if not hits:
         found = own.select("uid").limit(0).selectExpr("uid", "0L AS n_hit", "array('') AS items")
-        close = own.select("uid").limit(0).selectExpr("uid", "0L AS n_near")
     else:
         every = hits[0]
         for h in hits[1:]:
@@ -276,11 +285,13 @@ def decontaminate(
         found = every.groupBy("uid").agg(
             F.flatten(F.collect_list("runs")).alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
         ).select("uid", covered(F.col("runs")).alias("n_hit"), "items")
-        both = near[0]
-        for n in near[1:]:
-            both = both.union(n)
-        close = both.distinct().groupBy("uid").agg(F.count("*").alias("n_near"))
-    r = own.join(found, "uid", "left").join(close, "uid", "left")
+    r = own.join(found, "uid", "left")
+    extra = []
+    if proximity:
+        extra = [F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near")]
+        none = own.select("uid", F.lit("").alias("item")).limit(0)
+        close = reduce(DataFrame.union, near, none).distinct().groupBy("uid").agg(F.count("*").alias("n_near"))
+        r = r.join(close, "uid", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
     listed = F.coalesce(F.array_sort("items"), F.array().cast("array<string>"))
     return r.select(
@@ -290,5 +301,5 @@ def decontaminate(
         F.size(listed).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
-        F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
+        *extra,
     )

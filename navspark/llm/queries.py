@@ -9,6 +9,7 @@ from navspark.llm.embdup import near_vectors
 from navspark.llm.langid import language_digest
 from navspark.llm.mixing import MIX_SQL, poisson_mix
 from navspark.llm.neardup import near_duplicates
+from navspark.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, NEAR_VECTORS_SQL
 from navspark.llm.pii import pii_digest
 from navspark.llm.quality import quality_digest
 from navspark.llm.secret_scan import secret_digest
@@ -75,5 +76,8 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_mix": MIX_SQL,
+    "op7_near_dedup": NEAR_DEDUP_SQL,
+    "op8_embedding_dedup": NEAR_VECTORS_SQL,
+    "op9_decontaminate": DECONTAMINATION_SQL,
     "op10_warc": WARC_SQL,
 }

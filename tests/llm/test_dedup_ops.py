@@ -134,7 +134,7 @@ def test_decontamination(spark, corpus):
     df = spark.createDataFrame(docs + docs[-2:] + [(None, docs[-1][1])], "doc_id bigint, text string").selectExpr("*", "1 AS uid", "2 AS n_hit")
     bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string").selectExpr("*", "5 AS item")
     by_id = dict(docs)
-    got = decontaminate(df, bench).collect()
+    got = decontaminate(df, bench, proximity=True).collect()
     assert len(got) == len(docs) + 3
     for r in got:
         text = by_id[r.doc_id] if r.doc_id is not None else docs[-1][1]
@@ -156,6 +156,26 @@ def test_benchmark_blocks(spark, corpus, monkeypatch):
     assert all(tuple(r)[1:6] == decontamination_row(by_id[r.doc_id], items) for r in got)
 
 
+def test_against_sql(spark):
+    from tests.oracle_compare import compare
+
+    got = compare(spark, SF_SMALL, ["op7_near_dedup", "op8_embedding_dedup", "op9_decontaminate"], verbose=False)
+    assert all(r["ok"] for r in got.values()), got
+
+
+def test_proximity(spark):
+    item = " ".join(f"i{k}" for k in range(20))
+    w = item.split()
+    near = " ".join(w[:6] + ["x", "y"] + w[6:])
+    rows = [(1, item), (2, near), (3, " a b c d e f g ".join(w)), (4, "nothing here")]
+    got = decontaminate(
+        spark.createDataFrame(rows, "doc_id int, text string"),
+        spark.createDataFrame([(7, item)], "item_id int, text string"),
+        proximity=True,
+    ).collect()
+    assert {r.doc_id: (r.n_hit, r.n_near) for r in got} == {1: (20, 1), 2: (14, 1), 3: (0, 0), 4: (0, 0)}
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(8)
     rows = []
