@@ -52,7 +52,7 @@ cases = st.tuples(
 )
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck),
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck),
           phases=[Phase.explicit, Phase.reuse, Phase.generate])
 @given(cases)
 def test_split_equals_plain(spark, case):
@@ -70,7 +70,7 @@ def test_split_equals_plain(spark, case):
         ) == plain_r
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck),
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck),
           phases=[Phase.explicit, Phase.reuse, Phase.generate])
 @given(cases, st.integers(1, 12))
 def test_rolling_blocks_equal_frame(spark, case, w):
