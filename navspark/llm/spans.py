@@ -49,8 +49,8 @@ def running_sums(values: Column) -> Column:
     )
 
 
-def regex_spans(text: Column, pattern: str) -> Column:
-    """All leftmost non-overlapping matches of a Java regular expression.
+def regex_spans(text: Column, pattern: str | Column) -> Column:
+    """All leftmost non-overlapping matches of a Java regular expression (one for all rows or one per row).
 
     Returns ``array<struct<start, end, value, before, after>>`` in text order:
     offsets in code points (end exclusive), the matched text, and up to

@@ -100,6 +100,30 @@ def test_iban_and_context(spark):
     assert got[2][0][2] < got[3][0][2]
 
 
+def test_iban_before_capitals_and_numbers(spark):
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    flat = de.replace(" ", "")
+    rows = [
+        (f"{de} BIC COBADEFFXXX", [de]),
+        (f"{gb} OR call", [gb]),
+        (f"{flat} 2024 invoice", [flat]),
+        (f"😀 {flat} I paid, {de} 17 AND {gb} 2", [flat, de, gb]),
+        (f"BE00 {de} {flat}", [de, flat]),  # starts inside a longer proposal
+        (f"NO93 8601 1117 947 {de}", ["NO93 8601 1117 947", de]),
+        ("DE89 3704 0044 0532 0130 01 BIC", []),
+        (f"{flat}0 x{flat} {flat}x", []),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id int, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.found if s.kind == "iban"] for r in find_pii(df).collect()}
+    assert [[t[a:b] for a, b in got[i]] for i, (t, _) in enumerate(rows)] == [v for _, v in rows]
+    out = {r.doc_id: r.text for r in redact_documents(df).collect()}
+    for i, (t, ibans) in enumerate(rows):
+        for v in ibans:
+            t = t.replace(v, "[IBAN]", 1)
+        if ibans:
+            assert out[i] == t
+
+
 def test_redaction_leaves_nothing(texts):
     rows, df = texts
     out = redact_documents(df.drop("spans", "base")).collect()
