@@ -4,8 +4,9 @@ Three base patterns (assignments, access keys, hex runs) are always reported.
 Beside them every candidate string of one character class is scanned with a
 sliding window: the window's Shannon entropy per class is kept by incremental
 counts (one symbol enters, one leaves), and the stretch from the first to the
-last window above the class's threshold becomes a span unless the allow-list
-names the string or a base span already overlaps it.
+last window above the class's threshold becomes a span. Base spans and what the
+allow-list names are cut out of the string first; each piece left is scanned by
+itself, so neither hides a key elsewhere in a URL or a long run.
 
 The job is a scan and a projection: no shuffle, no Python, memory bounded by
 one row.
@@ -18,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navspark.llm.spans import count_kind, regex_spans, span_list
+from navspark.llm.spans import count_kind, let, regex_spans, span_list
 
 ASSIGN = (
     r"((?i:password|passwd|secret|token|api_?key))"
@@ -36,13 +37,27 @@ CLASSES = {
     "entropy_hex": ("0-9A-F", 3.0),
     "entropy_base64": ("A-Za-z0-9+/_=-", 3.8),
 }
-#: Strings that look random but are no secrets: UUIDs, alphabets and digit runs
-#: written out, file digests announced as such, and placeholder words.
+#: Characters of a path part: those of the widest class but the slash.
+_PART = "[A-Za-z0-9+_=-]"
+#: Stretches that look random but are no secrets: UUIDs, file digests announced
+#: as such (with their slashes) and AWS's published example keys.
 ALLOW = (
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?i)abcdefghij|0123456789|1234567890",
-    r"(?i)example|placeholder|changeme|your[_-]?(key|token|secret)",
-    r"(?i)^sha(1|256|512)-",
+    rf"(?<!{_PART})[0-9a-fA-F]{{8}}(?:-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}(?!{_PART})"
+    rf"|(?<!{_PART})(?i:sha)(?:"
+    + "|".join(
+        rf"{bits}-(?:[A-Za-z0-9+/_-]{{{n}}}={{0,2}}(?!{_PART}))?" for bits, n in ((1, 27), (256, 43), (512, 86))
+    )
+    + rf"){_PART}*+"
+    r"|(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{30}EXAMPLEKEY(?![A-Za-z0-9+/])"
+)
+#: Alphabets and digit runs written out, and placeholder words. They speak for
+#: the path part they stand in, as far as ``ALLOW_REACH`` characters.
+ALLOW_WORDS = (
+    r"(?i:abcdefghij|0123456789|1234567890|example|placeholder|changeme|your[_-]?(?:key|token|secret))"
+)
+ALLOW_REACH = 2 * WINDOW
+_NEAR_WORD = (
+    rf"(?:(?={_PART}{{0,{ALLOW_REACH}}}{ALLOW_WORDS})|(?<=(?={ALLOW_WORDS}){_PART}{{1,{ALLOW_REACH + 10}}})){_PART}"
 )
 KINDS = ("assign", "access", "hex", *CLASSES)
 
@@ -99,21 +114,50 @@ def hot_window(value: Column, threshold: float, window: int = WINDOW) -> Column:
     return F.aggregate(moves, start, step, lambda st: F.struct(st["first"], st["last"], st["best"]))
 
 
-def _entropy_spans(text: Column, kind: str) -> Column:
-    chars, threshold = CLASSES[kind]
-    found = regex_spans(text, f"(?<![{chars}])[{chars}]{{{WINDOW},}}+")
-    # Secrets mix letters and digits; words, rulers and numbers don't.
-    mixed = F.filter(
-        found,
-        lambda s: s["value"].rlike("[0-9]")
-        & s["value"].rlike("[A-Za-z]")
-        & ~F.reduce(
-            F.array(*[s["value"].rlike(p) for p in ALLOW]), F.lit(False), lambda a, b: a | b
-        ),
-    )
-    scored = F.transform(
-        mixed, lambda s: F.struct(s["start"].alias("start"), hot_window(s["value"], threshold).alias("w"))
+def _blanked(value: Column) -> Column:
+    """``value`` with spaces for what the allow-list names."""
+
+    def without(m: Column) -> Column:
+        gaps = F.split(value, ALLOW, -1)
+        blank = F.zip_with(gaps, m, lambda g, v: F.concat(g, F.repeat(F.lit(" "), F.coalesce(F.length(v), F.lit(0)))))
+        return F.when(F.size(m) > 0, F.array_join(blank, "")).otherwise(value)
+
+    left = let(F.regexp_extract_all(value, F.lit(ALLOW), F.lit(0)), without)
+    return let(
+        left, lambda v: F.when(v.rlike(ALLOW_WORDS), F.regexp_replace(v, _NEAR_WORD, " ")).otherwise(v)
     )
+
+
+def _less_spans(s: Column, spans: Column) -> Column:
+    """The value of ``s`` with spaces where ``spans`` (over the same text) lie."""
+
+    def cut(v: Column, b: Column) -> Column:
+        start = F.greatest(b["start"], s["start"])
+        n = (F.least(b["end"], s["end"]) - start).cast("int")
+        return F.overlay(v, F.repeat(F.lit(" "), n), (start - s["start"] + 1).cast("int"), n)
+
+    over = F.filter(spans, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    return F.aggregate(over, s["value"], cut)
+
+
+def _entropy_spans(text: Column, base: Column, kind: str) -> Column:
+    chars, threshold = CLASSES[kind]
+    run = f"(?<![{chars}])[{chars}]{{{WINDOW},}}+"
+
+    def mixed(spans: Column) -> Column:
+        # Secrets mix letters and digits; words, rulers and numbers don't.
+        return F.filter(spans, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
+
+    def pieces(s: Column) -> Column:
+        left = let(_less_spans(s, base), lambda v: let(_blanked(v), lambda w: regex_spans(w, run)))
+        return F.transform(
+            mixed(left),
+            lambda p: F.struct(
+                (s["start"] + p["start"]).alias("start"), hot_window(p["value"], threshold).alias("w")
+            ),
+        )
+
+    scored = F.flatten(F.transform(mixed(regex_spans(text, run)), pieces))
     return F.transform(
         F.filter(scored, lambda s: s["w"]["first"] >= 0),
         lambda s: F.struct(
@@ -143,8 +187,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: its id, ``base`` and ``found`` spans.
 
     Both are ``array<struct<start, rank, end, kind, entropy>>`` ordered by
-    start, then kind; ``found`` holds the base spans and the entropy spans that
-    overlap none of them. Null text counts as empty (no spans); a null id is
+    start, then kind; ``found`` holds the base spans and the entropy spans of
+    the text outside them. Null text counts as empty (no spans); a null id is
     kept; repeated rows give repeated results; other columns are ignored, so
     their names cannot clash; an empty table gives an empty result. Texts of
     any length are read whole.
@@ -158,20 +202,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # minimum can stand in the pattern.
     access = regex_spans(text, f"{ACCESS[:-1]}{{{ACCESS_MIN - 4},}}+")
     hexes = regex_spans(text, f"(?<![0-9a-f]){HEX[:-1]}{{{HEX_MIN},}}+")
-    d = d.select(
-        id_col,
-        _base_spans(assign, "assign").alias("_assign"),
-        _base_spans(access, "access").alias("_access"),
-        _base_spans(hexes, "hex").alias("_hex"),
-        *[_entropy_spans(text, k).alias(f"_{k}") for k in CLASSES],
-    )
-    d = d.withColumn("base", F.array_sort(F.concat("_assign", "_access", "_hex")))
-    extra = F.concat(*[f"_{k}" for k in CLASSES])
-    fresh = F.filter(
-        extra,
-        lambda e: ~F.exists(F.col("base"), lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])),
-    )
-    return d.select(id_col, "base", F.array_sort(F.concat("base", fresh)).alias("found"))
+    kinds = (_base_spans(assign, "assign"), _base_spans(access, "access"), _base_spans(hexes, "hex"))
+    d = d.select(id_col, "_text", F.array_sort(F.concat(*kinds)).alias("base"))
+    extra = F.concat(*[_entropy_spans(text, F.col("base"), k) for k in CLASSES])
+    return d.select(id_col, "base", F.array_sort(F.concat("base", extra)).alias("found"))
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
