@@ -6,17 +6,18 @@ writes every stage's result as Parquet in the shared checkpoint folder and
 hands the reread table to the next, so a lost executor costs at most tasks of
 one stage.
 
-A document's decision travels by its id. Rows without an id are kept by the
-filtering stages (they cannot be named), rows that repeat an id share its
-decision; null and empty texts are clean and never duplicates; columns beside
-those of ``documents`` pass through all but the last stage.
+A document is its id and text: a decision travels by a hash of both, so rows
+without an id are judged as well, rows that repeat an id with another text are
+judged apart and exact copies share a decision. Null and empty texts are clean
+and never duplicates; columns beside those of ``documents`` pass through all but
+the last stage.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navspark.llm.decontam import decontaminate
@@ -28,14 +29,18 @@ from navspark.plans.materialize import materialize
 from navspark.session import ensure_checkpoint_dir
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose ``doc_id`` is in ``dropped(doc_id)``.
+def _uid() -> Column:
+    return F.xxhash64("doc_id", "text")
 
-    Only ids of rejected documents are shuffled to meet the documents; Spark
+
+def _without(docs: DataFrame, dropped: DataFrame, key: Column) -> DataFrame:
+    """``docs`` less the rows whose ``key`` is a ``doc_id`` of ``dropped``.
+
+    Only keys of rejected documents are shuffled to meet the documents; Spark
     broadcasts them when they are small.
     """
-    ids = materialize(dropped.select(F.col("doc_id").alias("_dropped")).where("_dropped IS NOT NULL").distinct())
-    return docs.join(ids, docs["doc_id"] == ids["_dropped"], "left_anti")
+    ids = materialize(dropped.select(F.col("doc_id").alias("_dropped")).distinct())
+    return docs.join(ids, key == ids["_dropped"], "left_anti")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,28 +56,42 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays, once."""
-    groups = near_duplicates(docs)
-    once = _without(docs, groups.where("NOT kept"))
-    repeated = (
-        docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_again"))
+    """Of each group of near-duplicates the document with the smallest id stays, once.
+
+    A null id comes last. Of exact copies (id and text) the first row in column
+    order stays; texts without words that have no id all stay.
+    """
+    unclear = materialize(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL"))
+    if unclear.isEmpty():
+        return _without(docs, near_duplicates(docs).where("NOT kept"), docs["doc_id"])
+
+    distinct = docs.select(_uid().alias("_uid"), "text").dropDuplicates(["_uid"])
+    groups = materialize(near_duplicates(distinct, id_col="_uid"))
+    named = docs.groupBy(_uid().alias("_uid")).agg(F.first("doc_id").alias("_id"), F.count("*").alias("n"))
+    named = materialize(named.join(groups, named["_uid"] == groups["doc_id"]).drop("doc_id"))
+    # All members of the groups of two and more.
+    others = groups.where("NOT kept").select("component_id").distinct()
+    members = named.join(others, "component_id")
+    rank = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), F.col("_uid").alias("uid"))
+    keeper = members.groupBy("component_id").agg(F.min(rank)["uid"].alias("_keeper"))
+    dropped = members.join(keeper, "component_id").where("_uid <> _keeper").select(F.col("_uid").alias("doc_id"))
+    once = _without(docs, dropped, _uid())
+
+    again = materialize(
+        named.where("n > 1 AND (_id IS NOT NULL OR n_shingles > 0)").select(F.col("_uid").alias("_again"))
     )
-    repeated = materialize(repeated)
-    if repeated.isEmpty():
-        return once
-    # Rows that repeat an id are one document: its first row in column order stays.
     columns = docs.columns
-    single = once.join(repeated, once["doc_id"] == repeated["_again"], "left_anti")
-    several = once.join(repeated, once["doc_id"] == repeated["_again"], "left_semi")
-    rest = [c for c in columns if c != "doc_id"]
-    first = several.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select("doc_id", "_row.*")
-    return single.unionByName(first.select(*columns))
+    single = once.join(again, _uid() == again["_again"], "left_anti")
+    several = once.join(again, _uid() == again["_again"], "left_semi")
+    first = several.groupBy(_uid()).agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
+    return single.unionByName(first)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages beyond the contamination rule go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate(docs, benchmark).where("contaminated"))
+    judged = decontaminate(docs.select(_uid().alias("_uid"), "text"), benchmark, id_col="_uid")
+    return _without(docs, judged.where("contaminated"), _uid())
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

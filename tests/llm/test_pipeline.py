@@ -77,3 +77,19 @@ def test_repeated_rows_and_nulls(spark):
     assert cp.decontamination(spark, docs, SF_SMALL).count() == 5
     assert cp.near_dedup(spark, docs.limit(0), SF_SMALL).count() == 0
     assert cp.mixing(spark, docs.limit(0), SF_SMALL).count() == 0
+
+
+def test_rows_with_null_and_repeated_ids_are_judged_by_text(spark):
+    item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").orderBy("item_id").first().text
+    near, clean = "one two three four five six seven eight nine ten", "quite other words stand in this short clean text"
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+    def left(stage, rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], kind)
+        return sorted((str(r.doc_id), str(r.text)) for r in stage(spark, docs, SF_SMALL).collect())
+
+    rows = [(None, item), (None, clean), (4, item), (4, clean), (5, clean), (None, None)]
+    assert left(cp.decontamination, rows) == [("4", clean), ("5", clean), ("None", "None"), ("None", clean)]
+    rows = [(7, near), (7, clean), (8, near), (None, near), (None, "x y"), (None, "x y"), (None, None), (None, None), (9, None), (9, None)]
+    want = [("7", near), ("7", clean), ("9", "None"), ("None", "None"), ("None", "None"), ("None", "x y")]
+    assert left(cp.near_dedup, rows) == want
