@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from navspark.llm.decontam import decontaminate
+from navspark.llm.divergence import DIVERGENCE_SQL, source_divergence
 from navspark.llm.embdup import near_vectors
 from navspark.llm.langid import language_digest
 from navspark.llm.mixing import MIX_SQL, poisson_mix
 from navspark.llm.neardup import near_duplicates
 from navspark.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, NEAR_VECTORS_SQL
 from navspark.llm.pii import pii_digest
+from navspark.llm.planes import clusters_sql, plane_clusters
 from navspark.llm.quality import quality_digest
 from navspark.llm.secret_scan import secret_digest
 from navspark.llm.toxicity import toxicity_digest
@@ -61,6 +63,14 @@ def op10_warc(spark, sf_dir):
     return archive_digest(_table(spark, sf_dir, "pages"))
 
 
+def op11_clusters(spark, sf_dir):
+    return plane_clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark, sf_dir):
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_mix": op2_mix,
@@ -72,6 +82,8 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op11_clusters": op11_clusters,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -80,4 +92,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_embedding_dedup": NEAR_VECTORS_SQL,
     "op9_decontaminate": DECONTAMINATION_SQL,
     "op10_warc": WARC_SQL,
+    "op11_clusters": clusters_sql(),
+    "op13_divergence": DIVERGENCE_SQL,
 }
