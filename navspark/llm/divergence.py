@@ -27,7 +27,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navspark.llm.blocks import list_values
 from navspark.llm.shipping import ship
 from navspark.plans.materialize import broadcast_if_small, materialize
 
@@ -99,7 +98,7 @@ def _share(n: str, total: str) -> Column:
     )
 
 
-def tree_corrections(lang: str, sources: np.ndarray, p: np.ndarray, p0: np.ndarray, offsets: np.ndarray, times: np.ndarray):
+def tree_corrections(sources: np.ndarray, p: np.ndarray, p0: np.ndarray, offsets: np.ndarray, times: np.ndarray):
     """``(earlier source, later source, correction)`` sums of sorted paths of one language.
 
     ``sources``, ``p`` and ``p0`` (a source's number, the term's share in it and
@@ -164,7 +163,7 @@ def _tree_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 b += 1
             lo, hi = ends[a], ends[b]
             pairs, total = tree_corrections(
-                langs[a], sources[lo:hi], p[lo:hi], p0[lo:hi], ends[a : b + 1] - lo, times[a:b]
+                sources[lo:hi], p[lo:hi], p0[lo:hi], ends[a : b + 1] - lo, times[a:b]
             )
             yield pa.RecordBatch.from_pydict({
                 "lang": pa.array([langs[a]] * len(total), pa.string()),

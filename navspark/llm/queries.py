@@ -8,6 +8,7 @@ from navspark.llm.decontam import decontaminate
 from navspark.llm.divergence import DIVERGENCE_SQL, source_divergence
 from navspark.llm.embdup import near_vectors
 from navspark.llm.langid import language_digest
+from navspark.llm.maintext import extract_text
 from navspark.llm.mixing import MIX_SQL, poisson_mix
 from navspark.llm.neardup import near_duplicates
 from navspark.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, NEAR_VECTORS_SQL
@@ -67,6 +68,10 @@ def op11_clusters(spark, sf_dir):
     return plane_clusters(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_main_text(spark, sf_dir):
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op13_divergence(spark, sf_dir):
     return source_divergence(_table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
     "op11_clusters": op11_clusters,
+    "op12_main_text": op12_main_text,
     "op13_divergence": op13_divergence,
 }
 
