@@ -34,8 +34,8 @@ MIN_DOCUMENTS = 30
 TERM_RANKS = 50
 SCALE = 1_000_000_000
 SMOOTHING = 5
-#: Distinct terms a task holds before it hands its counts on, and cells of one tree block.
-HELD_TERMS = 200_000
+#: Counts of (source, term) that a task holds before it hands them on, and cells of one tree block.
+HELD_COUNTS = 300_000
 BLOCK_CELLS = 1 << 20
 
 # Bytes outside words become blanks, A-Z become a-z; every byte of a non-ASCII character stays.
@@ -49,8 +49,16 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_WORD_BYTES).split()
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``(lang, source, term, n, docs)``: occurrences and documents of every term of every group."""
+def term_counts(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = 1
+) -> DataFrame:
+    """``(lang, term, source, n, total)`` of the terms in at least ``min_docs`` documents of their language.
+
+    ``n`` counts occurrences in the source, ``total`` in the language. Tasks
+    hand on one row for each term of a language that they hold, with its
+    sources' counts side by side, so a frequent term has as many rows as tasks,
+    whatever its number of documents, and a rare one ends at the filter.
+    """
     ship(docs.sparkSession)
     rows = docs.select(
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"))],
@@ -58,35 +66,47 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[str, tuple[Counter, dict[str, Counter]]] = {}
         size = 0
         for batch in batches:
-            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = terms(text)
-                n, docs_with = held.setdefault((lang, source), (Counter(), Counter()))
+            for lang, source, text in zip(*batch.columns, strict=True):
+                found = terms(text.as_py())
+                docs_with, sources = held.setdefault(lang.as_py(), (Counter(), {}))
+                n = sources.setdefault(source.as_py(), Counter())
                 size -= len(n)
                 n.update(found)
                 docs_with.update(set(found))
                 size += len(n)
-                if size >= HELD_TERMS:
+                if size >= HELD_COUNTS:
                     yield from _count_rows(held)
                     held, size = {}, 0
         yield from _count_rows(held)
 
-    partial = rows.mapInArrow(count, "lang string, source string, term string, n bigint, docs bigint")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-
-
-def _count_rows(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
-    for (lang, source), (n, docs_with) in held.items():
-        if n:
-            names = list(n)
+    partial = rows.mapInArrow(
+        count, "lang string, term string, docs bigint, total bigint, sources array<string>, counts array<bigint>"
+    )
+    whole = Window.partitionBy("lang", "term")
+    kept = partial.withColumns({c: F.sum(c).over(whole) for c in ("docs", "total")}).where(F.col("docs") >= min_docs)
+    cells = kept.select("lang", "term", "total", F.inline(F.arrays_zip("sources", "counts")).alias("source", "n"))
+    return cells.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.max("total").alias("total"))
+
+
+def _count_rows(held: dict[str, tuple[Counter, dict[str, Counter]]]) -> Iterator[pa.RecordBatch]:
+    for lang, (docs_with, sources) in held.items():
+        cells: dict[bytes, tuple[list[str], list[int]]] = {t: ([], []) for t in docs_with}
+        for source, counts in sources.items():
+            for term, n in counts.items():
+                names, numbers = cells[term]
+                names.append(source)
+                numbers.append(n)
+        if cells:
             yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([lang] * len(n), pa.string()),
-                "source": pa.array([source] * len(n), pa.string()),
-                "term": pa.array(names, pa.binary()).cast(pa.string()),
-                "n": pa.array(list(n.values()), pa.int64()),
-                "docs": pa.array([docs_with[t] for t in names], pa.int64()),
+                "lang": pa.array([lang] * len(cells), pa.string()),
+                "term": pa.array(list(cells), pa.binary()).cast(pa.string()),
+                "docs": pa.array(list(docs_with.values()), pa.int64()),
+                "total": pa.array([sum(n) for _, n in cells.values()], pa.int64()),
+                "sources": pa.array([s for s, _ in cells.values()], pa.list_(pa.string())),
+                "counts": pa.array([n for _, n in cells.values()], pa.list_(pa.int64())),
             })
 
 
@@ -185,18 +205,14 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     language without kept terms has distances of 0. An empty table gives an
     empty result, other columns are ignored.
     """
-    counts = term_counts(docs, text_col, lang_col, source_col)
-    by_term = counts.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("found")
-    )
-    kept = materialize(by_term.where(F.col("docs") >= MIN_DOCUMENTS).drop("docs"))
-    cells = kept.select("lang", "term", "total", F.inline("found"))
+    cells = materialize(term_counts(docs, text_col, lang_col, source_col, MIN_DOCUMENTS))
 
     known = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
     ).distinct()
     sizes = cells.groupBy("lang", "source").agg(F.sum("n").alias("size"))
+    kept = cells.groupBy("lang", "term").agg(F.max("total").alias("total"))
     langs = materialize(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_size")))
     groups = known.join(sizes, ["lang", "source"], "left").join(broadcast_if_small(langs), "lang", "left")
     groups = materialize(
