@@ -53,6 +53,38 @@ def annualised_pct(latest: str | Column, first: str | Column, days: str | Column
     return (F.pow(ratio, exponent) - F.lit(1.0)) * F.lit(100.0)
 
 
+def double_order(x: str | Column) -> Column:
+    """DOUBLE -> BIGINT that sorts as the doubles do (NaN last, both zeros equal).
+
+    The value's sign, exponent and mantissa put together by exact arithmetic:
+    a power of two is exact in ``pow``, and so is a division by one. The
+    exponent from ``log2`` may be one off and is corrected by the mantissa it
+    leaves. NULL stays NULL.
+    """
+    v = _c(x)
+    a = F.abs(v)
+    e0 = F.floor(F.log2(F.when(a > 0, a).otherwise(F.lit(1.0))))
+    e0 = F.least(F.greatest(e0, F.lit(-1022).cast("bigint")), F.lit(1023).cast("bigint"))
+    m0 = a / F.pow(F.lit(2.0), e0.cast("double"))
+    high, low = m0 >= 2.0, (m0 < 1.0) & (e0 > -1022)
+    e = F.when(a == 0, F.lit(-1022).cast("bigint")).otherwise(e0 + F.when(high, 1).when(low, -1).otherwise(0))
+    m = F.when(high, m0 / 2.0).when(low, m0 * 2.0).otherwise(m0)
+    bits = (e + 1022) * F.lit(1 << 52) + (m * float(1 << 52)).cast("bigint")
+    top = F.lit(2047 << 52)
+    return F.when(F.isnan(v), top + 1).when(v == float("inf"), top).when(v == float("-inf"), -top).when(
+        v < 0, -bits
+    ).otherwise(bits)
+
+
+def dated_order(date: str | Column, value: str | Column) -> Column:
+    """(DATE, DOUBLE) -> DECIMAL that sorts by date, then value, NULL values
+    first within a date; NULL for a NULL date. Of fixed width, so that it fits
+    a hash aggregation's buffer."""
+    day = F.unix_date(_c(date)).cast("decimal(8,0)")
+    place = F.coalesce(double_order(value), F.lit(-(1 << 63)))
+    return day * F.lit(str(1 << 64)).cast("decimal(20,0)") + place.cast("decimal(20,0)")
+
+
 def round4(x: str | Column) -> Column:
     """Half-up rounding to 4 decimals that agrees bit-for-bit with the SQL
     oracle form ``CAST(floor(x*10000 + 0.50001) AS DOUBLE)/10000``.

@@ -2,8 +2,7 @@
 
 Both are hash aggregations with a partial step in each scan task, so a scheme
 holding a third of all rows costs no more than any other. The first and latest
-NAV come from :func:`navspark.plans.endpoints.with_endpoints`, which reads the
-input a second time instead of sorting it.
+NAV stand in the same aggregation (:func:`navspark.plans.endpoints.with_endpoints`).
 """
 
 from __future__ import annotations

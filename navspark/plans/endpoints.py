@@ -1,23 +1,22 @@
-"""First and last value of each group by date, with hash aggregations only.
+"""First and last value of each group by date, in one hash aggregation.
 
 ``min_by(nav, struct(date, nav))`` has a struct in its buffer, which a hash
-aggregation cannot hold: Spark would sort every task's whole input first.
-Instead one hash pass takes the group statistics and the first and last date,
-and a second one the smallest NAV of the first date and the largest of the
-last, over the rows that meet their group's dates. The statistics are stored
-in between (one row per group) and sent to the tasks when their size is
-proven small; beyond that the join is a shuffled hash join, still unsorted.
+aggregation cannot hold: Spark would sort every task's whole input first. So
+day and value become one exact integer that sorts as the pair does
+(:func:`navspark.functions.exprs.dated_order`). With it ``min_by`` and
+``max_by`` have buffers of fixed width, stand beside the other statistics in
+the same aggregation and leave each scan task as one row per group: one scan,
+one small shuffle, no join, no sort and no job before the caller's own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navspark.plans.materialize import BROADCAST_BYTES, materialize, table_bytes
+from navspark.functions.exprs import dated_order
 
 
 def with_endpoints(
@@ -30,26 +29,11 @@ def with_endpoints(
     Undated rows count in ``stats`` but are never endpoints: a group without
     dates has NULL endpoints.
     """
-    group = list(group)
-    s = materialize(
-        nav.groupBy(*group).agg(F.min("date").alias("start_date"), F.max("date").alias("end_date"), *stats)
+    order = dated_order("date", "nav")
+    return nav.groupBy(*group).agg(
+        F.min("date").alias("start_date"),
+        F.max("date").alias("end_date"),
+        *stats,
+        F.min_by("nav", order).alias(first),
+        F.max_by("nav", order).alias(last),
     )
-    ends = s.where(F.col("start_date").isNotNull()).select(
-        *[F.col(g).alias(f"_g_{g}") for g in group], F.col("start_date").alias("_d0"), F.col("end_date").alias("_d1")
-    )
-    ends = F.broadcast(ends) if table_bytes(ends) <= BROADCAST_BYTES else ends.hint("shuffle_hash")
-    same = reduce(lambda a, b: a & b, [nav[g].eqNullSafe(ends[f"_g_{g}"]) for g in group])
-    on_first, on_last = F.col("date") == F.col("_d0"), F.col("date") == F.col("_d1")
-    nulls = F.max(on_first & F.col("nav").isNull())
-    at = (
-        nav.select(*group, "date", "nav")
-        .join(ends, same)
-        .where(on_first | on_last)
-        .groupBy(*[f"_g_{g}" for g in group])
-        .agg(
-            F.when(~nulls, F.min(F.when(on_first, F.col("nav")))).alias(first),
-            F.max(F.when(on_last, F.col("nav"))).alias(last),
-        )
-    )
-    back = reduce(lambda a, b: a & b, [s[g].eqNullSafe(at[f"_g_{g}"]) for g in group])
-    return s.join(at.hint("shuffle_hash"), back, "left").drop(*[f"_g_{g}" for g in group])

@@ -67,20 +67,17 @@ def test_latest_is_partial_top1(stored_nav):
     assert p.index("Exchange") < p.rindex("WindowGroupLimit")
 
 
-@pytest.mark.parametrize("threshold", ["10485760", "-1"])
-def test_endpoints_are_hash_only(stored_nav, monkeypatch, threshold):
-    # No sort anywhere, whether the group table is broadcast or not.
-    import navspark.plans.endpoints as endpoints
-
-    if threshold == "-1":
-        monkeypatch.setattr(endpoints, "BROADCAST_BYTES", -1)
-    stored_nav.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        for f in (performance_metrics, scheme_summary, monthly_nav):
-            p = final_plan(f(stored_nav))
-            assert "SortAggregate" not in p and "Sort [" not in p and "partial_min" in p, f.__name__
-    finally:
-        stored_nav.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_endpoints_are_one_hash_pass(spark, stored_nav):
+    # One scan, one shuffle of group rows, no sort, no join, no job at call.
+    tracker = spark.sparkContext.statusTracker()
+    for f in (performance_metrics, scheme_summary, monthly_nav):
+        spark.sparkContext.setJobGroup(f"call-{f.__name__}", "")
+        df = f(stored_nav)
+        assert not tracker.getJobIdsForGroup(f"call-{f.__name__}"), f.__name__
+        p = final_plan(df)
+        assert "SortAggregate" not in p and "Sort [" not in p and "Join" not in p, f.__name__
+        assert p.count("FileScan") == 1 and p.count("Exchange") == 1 and "partial_min_by" in p, f.__name__
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_source_queries_read_files(spark):
