@@ -60,7 +60,7 @@ RANGE = ("01-01-1997", "30-06-1998")
 MULTI_RANGE = ("01-01-1996", "31-12-2000")
 ROLL_LONG, ROLL_SHORT, ROLL_TINY = 252, 32, 7
 SHORT_PERIODS = (1, 3)
-HOT_KEY_ROWS, HOT_KEY_BLOCK = 10_000, 256
+HOT_KEY_ROWS, HOT_KEY_BLOCK = 10_000, 5_000
 
 
 def _round(df: DataFrame, cols) -> DataFrame:
@@ -101,7 +101,7 @@ def q_returns(spark, sf):
 
 def q_returns_split(spark, sf):
     # Same result through the hot-key block plan: every scheme is treated as hot.
-    return _returns(spark, sf, split="always", block_rows=100)
+    return _returns(spark, sf, split="always", block_rows=1_000)
 
 
 def q_returns_by_code(spark, sf):
@@ -117,10 +117,9 @@ def q_returns_by_name(spark, sf):
 
 
 def q_returns_by_name_split(spark, sf):
-    # The same order through the hot-key plan with one-head units: every day
-    # holding two or more rows of a name is cut at NAV quantiles.
+    # The same order through the hot-key plan: ranges end within days and names.
     return _round(
-        returns(nav_by_part(spark, sf), SHORT_PERIODS, split="always", block_rows=4),
+        returns(nav_by_part(spark, sf), SHORT_PERIODS, split="always", block_rows=2_000),
         [f"return_{p}d" for p in SHORT_PERIODS],
     )
 
@@ -138,12 +137,12 @@ def q_rolling_metrics_32(spark, sf):
 
 
 def q_rolling_metrics_split(spark, sf):
-    return _rolling(spark, sf, ROLL_SHORT, split="always", block_rows=40)
+    return _rolling(spark, sf, ROLL_SHORT, split="always", block_rows=1_000)
 
 
 def q_rolling_metrics_long_split(spark, sf):
     # Long frame (prefix/suffix blocks) inside the hot-key plan.
-    return _rolling(spark, sf, ROLL_LONG, split="always", block_rows=400)
+    return _rolling(spark, sf, ROLL_LONG, split="always", block_rows=1_000)
 
 
 def q_rolling_metrics_by_name(spark, sf):
@@ -151,7 +150,7 @@ def q_rolling_metrics_by_name(spark, sf):
 
 
 def q_rolling_metrics_by_name_split(spark, sf):
-    return _rolling(spark, sf, ROLL_TINY, nav_by_part, split="always", block_rows=8, method="blocks")
+    return _rolling(spark, sf, ROLL_TINY, nav_by_part, split="always", block_rows=2_000, method="blocks")
 
 
 def _nav_hot(spark, sf):

@@ -19,36 +19,31 @@ about 10^8 rows per day of a 30-year history), so the split goes below days:
    gives every copy after the first ``halo + 1`` of a run the same result as
    copy ``halo``, so each run is expanded to at most ``halo + 1`` *head* rows
    and the last head carries the weight of the remaining copies.
-2. **Units.** Head rows are counted per (key, date). A day with more than
-   ``u = block_rows / 4`` heads is cut at NAV quantiles (exact
-   ``percentile`` of a hash-chosen sample of about ``SAMPLE_PER_SPLIT`` runs
-   per point, up to ``MAX_SPLITS`` points) into buckets: values strictly
-   between two points, or equal to one. Buckets of several values with more
-   than ``2 u`` heads are cut again, up to ``MAX_LEVELS`` times. A one-valued bucket that still holds more than ``u`` heads is cut into
-   equal ranges of the row hash. Each unit is therefore a contiguous stretch
-   of the sequence. The unit table (heads per unit) is small: about total
-   heads / ``u``, plus one row per day.
-3. **Blocks and halos.** A running count over the unit table gives each unit
-   its offset in the sequence; ``offset // block_rows`` is its block. A unit is
-   also sent to the next one or two blocks when its rows fall inside the
-   ``halo`` rows before a block's first row, so every block sees exactly the
-   look-back the whole-history window would see.
+2. **Sampled ranges.** The heads are range-partitioned by (key, date, NAV,
+   row hash, copy number): Spark samples them, takes as many ranges as give
+   about ``block_rows`` heads each and sends every head to its range. No two
+   heads are equal in all of these, so a day, a NAV or a pile of copies of
+   any size is cut like everything else, in one step. The part of a key in one
+   range is a *block*.
+3. **Prefix counts and halos.** One aggregation counts the heads of every block;
+   a running count over that small table gives each block its place in the
+   sequence, and shows which earlier blocks hold the ``halo`` heads before its
+   first. Only the last ``halo`` heads of a block (a partial top-``halo`` in
+   each task) are copied to the blocks that need them.
 4. **One window pass** over (key, block); halo copies are dropped.
-5. **Expansion.** The carried copies are regenerated. When the unit table
+5. **Expansion.** The carried copies are regenerated. When the block table
    shows that some block would emit more than ``4 * block_rows`` rows, the
    copies are cut into chunks of ``CHUNK_ROWS`` and the chunks are spread over
    tasks by a shuffle before they are generated; otherwise they are generated
    in place.
 
-The result equals the plain plan's (property tests compare them). Small
-intermediate tables are checkpointed into the session's
-``spark.checkpoint.dir`` and broadcast only after their bytes are
-checked. Every one of them is a deterministic function of the input (exact
-aggregates, hash-chosen samples), so a recomputation after a lost executor
-rebuilds the same units. The runs table is written there too, for the
-planning passes and the window pass that read it; nothing stays cached.
-Grouping a run needs groupable columns: a split of a table with map columns
-is refused, the plain plan takes them.
+The result equals the plain plan's (property tests compare them). The ranged
+heads and the block table are written to the session's
+``spark.checkpoint.dir``: a lost executor costs tasks that read them, and a
+second sampling can never give other ranges to a part of the plan. The block
+table is broadcast only after its bytes are checked. Grouping a run needs
+groupable columns: a split of a table with map columns is refused, the plain
+plan takes them.
 """
 
 from __future__ import annotations
@@ -60,7 +55,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from navspark.plans.materialize import BROADCAST_BYTES, broadcast_if_small, materialize, table_bytes
+from navspark.plans.materialize import broadcast_if_small, materialize
 
 # Keys with more rows than this are split.
 HOT_ROWS = 2_000_000
@@ -68,12 +63,9 @@ HOT_ROWS = 2_000_000
 BLOCK_ROWS = 500_000
 # Copies are regenerated in pieces of at most this many rows.
 CHUNK_ROWS = 1_000_000
-# A heavy bucket is cut at up to this many NAV quantiles a level (the per-row
-# cost of finding a row's bucket grows with it), over up to so many levels.
-MAX_SPLITS = 32
-MAX_LEVELS = 5
-# Sampled runs per split point (about 1/8 relative error in bucket sizes).
-SAMPLE_PER_SPLIT = 64
+# Ranges of a split at most: beyond BLOCK_ROWS times as many rows the ranges
+# grow (a window pass over a larger range sorts and spills, it holds no range).
+MAX_RANGES = 20_000
 
 # compute(frame, parts, order) adds columns using windows partitioned by
 # ``parts`` (or finer) and ordered by ``order`` (sort expressions, the
@@ -81,26 +73,23 @@ SAMPLE_PER_SPLIT = 64
 # most ``halo`` rows.
 Compute = Callable[[DataFrame, list[str], list[Column]], DataFrame]
 
-_HALF = 9.223372036854775808e18  # 2**63
-
 
 def row_hash(cols: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(c) for c in cols])
 
 
+def _order_columns(*extra: str) -> list[Column]:
+    return [F.col(c) for c in ("date", "nav", "_rh", *extra)]
+
+
 def _sequence_order(*extra: str) -> list[Column]:
-    return [F.col("date").asc(), F.col("nav").asc_nulls_first(), F.col("_rh").asc(), *[F.col(c).asc() for c in extra]]
+    return [c.asc_nulls_first() for c in _order_columns(*extra)]
 
 
 def _on(left: DataFrame, right: DataFrame, pairs) -> Column:
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
-def _renamed(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``df`` with ``_d_`` before ``names``, for a join with a frame that has them."""
-    return df.select(*[F.col(c).alias(f"_d_{c}" if c in names else c) for c in df.columns])
-
-
 def _groupable(t: T.DataType) -> bool:
     if isinstance(t, T.ArrayType):
         return _groupable(t.elementType)
@@ -109,73 +98,6 @@ def _groupable(t: T.DataType) -> bool:
     return not isinstance(t, (T.MapType, T.VariantType))
 
 
-def _unit_index(m: Column) -> Column:
-    """Index of the equal hash range (out of ``m``) holding ``_rh``;
-    non-decreasing in ``_rh``, so a range is a contiguous stretch of a day."""
-    frac = (F.col("_rh").cast("double") + F.lit(_HALF)) / F.lit(2 * _HALF)
-    return F.least(F.floor(frac * m), m - F.lit(1))
-
-
-def _sample_key() -> Column:
-    """A second hash of ``_rh`` mapped to [0, 1), independent of the hash
-    ranges that cut one-valued buckets."""
-    return (F.xxhash64(F.col("_rh"), F.lit(1)).cast("double") + F.lit(_HALF)) / F.lit(2 * _HALF)
-
-
-def unit_offsets(units: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
-    """``units`` (keys, date, _r, _c = heads in the unit) plus ``_p``, the
-    unit's offset in its key's sequence, and ``_blk``, its block.
-
-    Two running counts, each over a group bounded independently of the data
-    volume: the days of a key (the calendar) give each day's offset, and the
-    units of a day give each unit's offset within it."""
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    days = units.groupBy(*keys, "date").agg(F.sum("_c").alias("_dc"))
-    days = days.select(
-        *[F.col(k).alias(f"_d_{k}") for k in keys],
-        F.col("date").alias("_d_date"),
-        F.coalesce(F.sum("_dc").over(before.partitionBy(*keys).orderBy("date")), F.lit(0)).alias("_dp"),
-    )
-    units = units.withColumn(
-        "_up", F.coalesce(F.sum("_c").over(before.partitionBy(*keys, "date").orderBy("_r")), F.lit(0))
-    )
-    on = _on(units, days, [(k, f"_d_{k}") for k in keys]) & (units["date"] == days["_d_date"])
-    return (
-        units.join(days, on, "inner")
-        .withColumn("_p", F.col("_dp") + F.col("_up"))
-        .withColumn("_blk", F.floor(F.col("_p") / F.lit(int(block_rows))))
-        .drop(*[f"_d_{k}" for k in keys], "_d_date", "_dp", "_up")
-    )
-
-
-def unit_targets(units: DataFrame, keys: Sequence[str], halo: int, block_rows: int) -> DataFrame:
-    """From ``units`` with offsets (:func:`unit_offsets`) to one row per (unit,
-    block it goes to): ``_p``, ``_t`` and ``_halo`` (look-back copy only). At most
-    three rows per unit: its own block and two look-back targets."""
-    b = max(int(block_rows), int(halo) + 1)
-    own = units.select(*keys, "date", "_r", "_p", F.col("_blk").alias("_t"), F.lit(False).alias("_halo"))
-    if halo <= 0:
-        return own
-    blocks = units.groupBy(*keys, "_blk").agg(F.min("_p").alias("_bs"))
-    end = F.col("_p") + F.col("_c")
-    # A unit [p, p+c) is look-back for block t iff t starts inside (p, p+c+halo);
-    # with block_rows > halo only the blocks holding rows p+c and p+c+halo-1 can.
-    cand = units.select(
-        *keys, "date", "_r", "_p", "_c", "_blk",
-        F.explode(
-            F.array_distinct(F.array(F.floor(end / F.lit(b)), F.floor((end + F.lit(halo - 1)) / F.lit(b))))
-        ).alias("_t"),
-    ).where(F.col("_t") != F.col("_blk"))
-    bl = blocks.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.col("_blk").alias("_bt"), "_bs")
-    on = _on(cand, bl, [(k, f"_b_{k}") for k in keys]) & (cand["_t"] == bl["_bt"])
-    need = (
-        cand.join(bl, on, "inner")
-        .where((F.col("_bs") > F.col("_p")) & (F.col("_bs") < end + F.lit(halo)))
-        .select(*keys, "date", "_r", "_p", "_t", F.lit(True).alias("_halo"))
-    )
-    return own.unionByName(need)
-
-
 def _expand(df: DataFrame, cols: Sequence[str], spread: bool) -> DataFrame:
     """Regenerate ``_w`` copies of each row. With ``spread`` the copies are cut
     into chunks that a shuffle spreads over tasks before they are generated."""
@@ -197,123 +119,50 @@ def tag(df: DataFrame) -> DataFrame:
     return df.withColumns({"_nd": undated, "_sp": F.when(undated, F.col("nav")), "_rh": row_hash(hashed)})
 
 
-def _bucket(splits: Column) -> Column:
-    """Position of ``nav`` among a day's sorted distinct split points: 0 for
-    NULL, ``2i + 1`` strictly between points i-1 and i, ``2i + 2`` equal to
-    point i; 1 for every non-NULL NAV of a day without split points.
-    Non-decreasing in NAV (NULLs first); only even buckets are one-valued."""
-    nav = F.col("nav")
-    below = F.size(F.filter(splits, lambda x: x < nav))
-    equal = F.array_contains(splits, nav).cast("long")
-    return (
-        F.when(nav.isNull(), F.lit(0))
-        .when(splits.isNull(), F.lit(1))
-        .otherwise(F.lit(1) + F.lit(2) * below + equal)
-        .cast("long")
+def ranged_heads(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo: int, block_rows: int, n_rows: int):
+    """Steps 1-3 for dated ``rows`` (tagged by :func:`tag`, about ``n_rows`` of
+    them): ``(heads, blocks)``, both stored. A head has its copy number ``_j``,
+    its weight ``_w`` and its range ``_t``; a block (key, ``_t``) has its heads
+    ``_c``, emitted rows ``_sw`` and ``_from``, the earlier ranges ``src`` that
+    hold heads within ``halo`` before it, with the place ``end`` where they end."""
+    n = int(min(MAX_RANGES, max(1, -(-int(n_rows) // max(int(block_rows), int(halo) + 1)))))
+    runs = rows.groupBy(*cols, "_rh").agg(F.count(F.lit(1)).alias("_m"))
+    last = F.least(F.col("_m"), F.lit(int(halo) + 1)) - 1
+    heads = runs.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    heads = heads.withColumn("_w", F.when(F.col("_j") == last, F.col("_m") - last).otherwise(F.lit(1).cast("long")))
+    heads = heads.drop("_m").repartitionByRange(n, *keys, *_sequence_order("_j"))
+    heads = materialize(heads.withColumn("_t", F.spark_partition_id()))
+
+    blocks = heads.groupBy(*keys, "_t").agg(F.count(F.lit(1)).alias("_c"), F.sum("_w").alias("_sw"))
+    ranges = Window.partitionBy(*keys).orderBy("_t")
+    start = F.coalesce(F.sum("_c").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.withColumn("_s", start)
+    blocks = blocks.withColumn(
+        "_prev", F.lag(F.struct(F.col("_t").alias("src"), (F.col("_s") + F.col("_c")).alias("end"))).over(ranges)
     )
+    # Block q needs p's heads if p ends within halo before q: if the block
+    # after p starts there.
+    near = Window.partitionBy(*keys).orderBy("_s").rangeBetween(-max(0, int(halo) - 1), 0)
+    return heads, materialize(blocks.withColumn("_from", F.collect_list("_prev").over(near)).drop("_prev"))
 
 
-def plan_units(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo: int, block_rows: int):
-    """Steps 1-3 for ``rows`` (tagged by :func:`tag`): returns ``(runs, heads,
-    units, targets)``; ``heads`` carry their unit ``_r``, ``units`` their head
-    count ``_c`` and emitted-row count ``_sw``, ``targets`` the blocks of each
-    unit."""
-    b = max(int(block_rows), int(halo) + 1)
-    u = max(1, b // 4)
-    runs = materialize(rows.groupBy(*cols, "_nd", "_rh").agg(F.count(F.lit(1)).alias("_m")))
-    # Planning works on the dated runs, each weighted by its head count
-    # ``_h``: a run's heads share its NAV and hash, hence its unit, so the
-    # heads themselves are generated only for the window pass.
-    heads = runs.where(~F.col("_nd")).withColumn("_h", F.least(F.col("_m"), F.lit(int(halo) + 1)))
-    # A day holding more than one unit's worth of heads is cut at NAV split
-    # points; an open bucket (odd ``_r``: many values) that is still too large
-    # is cut again, level by level, so the number of points a row meets per
-    # level stays at MAX_SPLITS however large the day is.
-    heads = heads.withColumn("_r", F.lit(0).cast("long"))
-    unit = [*keys, "date", "_r"]
-    before = None
-    for level in range(MAX_LEVELS):
-        open_rows = heads if level == 0 else heads.where(F.col("_r") % 2 == 1)
-        heavy = materialize(
-            open_rows.groupBy(*unit)
-            .agg(F.sum("_h").alias("_cd"), F.count(F.lit(1)).alias("_cr"))
-            .where(F.col("_cd") > F.lit(u if level == 0 else 2 * u))
-        )
-        n_heavy, largest = heavy.agg(F.count(F.lit(1)), F.max("_cd")).first()
-        if not n_heavy or (n_heavy, largest) == before:
-            break
-        before = (n_heavy, largest)
-        # Exact quantiles of a deterministic sample (runs whose second hash
-        # falls under SAMPLE_PER_SPLIT * k / runs of the bucket), so each
-        # buffer stays bounded and a recomputation gives the same points. A
-        # day left without points (no sampled non-NULL NAV) stays one open
-        # bucket: never hash-cut.
-        k = int(min(MAX_SPLITS, max(2, -(-int(largest) // u))))
-        hv = _renamed(heavy, unit).withColumn("_f", F.lit(float(SAMPLE_PER_SPLIT * k)) / F.col("_cr")).drop("_cd", "_cr")
-        sample = heads.join(broadcast_if_small(hv), _on(heads, hv, [(c, f"_d_{c}") for c in unit])).where(
-            F.col("nav").isNotNull() & (_sample_key() < F.col("_f"))
-        )
-        points = F.array_sort(F.array_distinct(F.percentile("nav", [i / k for i in range(1, k)])))
-        found = _renamed(sample.groupBy(*unit).agg(points.alias("_s")), unit)
-        # Every heavy bucket has a row, with NULL points if none were sampled.
-        splits = materialize(
-            heavy.join(found, _on(heavy, found, [(c, f"_d_{c}") for c in unit]), "left").select(
-                *unit, "_s", F.lit(True).alias("_cut")
-            )
-        )
-        sj = _renamed(splits, unit)
-        heads = (
-            heads.join(broadcast_if_small(sj), _on(heads, sj, [(c, f"_d_{c}") for c in unit]), "left")
-            .withColumn("_q", F.when(F.col("_cut"), _bucket(F.col("_s"))).otherwise(F.col("_r") % 2))
-            .withColumn("_r", F.col("_r") * F.lit(2 * MAX_SPLITS + 2) + F.col("_q"))
-            .drop(*[f"_d_{c}" for c in unit], "_s", "_cut", "_q")
-        )
-    if before is not None:
-        # A one-valued bucket (even) over one unit's worth is cut into equal
-        # ranges of the row hash; at most heads / u such buckets.
-        big = materialize(
-            heads.where(F.col("_r") % 2 == 0)
-            .groupBy(*unit)
-            .agg(F.sum("_h").alias("_cq"))
-            .where(F.col("_cq") > F.lit(u))
-            .select(*unit, F.ceil(F.col("_cq") / F.lit(u)).alias("_mq"))
-        )
-        bj = _renamed(big, unit)
-        heads = (
-            heads.join(broadcast_if_small(bj), _on(heads, bj, [(c, f"_d_{c}") for c in unit]), "left")
-            .withColumn("_r2", F.when(F.col("_mq").isNull(), F.lit(0)).otherwise(_unit_index(F.col("_mq"))))
-            .withColumn("_r", F.col("_r") * F.lit(1 << 32) + F.col("_r2").cast("long"))
-            .drop(*[f"_d_{c}" for c in unit], "_mq", "_r2")
-        )
-    units = materialize(
-        unit_offsets(
-            heads.groupBy(*keys, "date", "_r").agg(F.sum("_h").alias("_c"), F.sum("_m").alias("_sw")),
-            keys,
-            b,
-        )
-    )
-    targets = unit_targets(units, keys, halo, b)
-    # The head rows: the first ``_h`` copies of each run, the last carrying
-    # the weight ``_w`` of the copies after it.
-    t1 = F.col("_h")
-    heads = (
-        heads.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), t1 - F.lit(1))))
-        .withColumn("_w", F.when(F.col("_j") == t1 - 1, F.col("_m") - t1 + 1).otherwise(F.lit(1).cast("long")))
-        .drop("_h")
+def _with_halos(heads: DataFrame, blocks: DataFrame, keys: Sequence[str], halo: int) -> DataFrame:
+    """``heads`` plus ``_halo`` copies of the heads that later blocks look back
+    to. ``_p`` of a block's first row is that row's place in the sequence."""
+    own = heads.withColumns({"_halo": F.lit(False), "_p": F.lit(0).cast("long")})
+    if halo <= 0:
+        return own
+    from_end = Window.partitionBy(*keys, "_t").orderBy(*[c.desc_nulls_last() for c in _order_columns("_j")])
+    tails = heads.withColumn("_k", F.row_number().over(from_end)).where(F.col("_k") <= int(halo))
+    needs = blocks.select(
+        *[F.col(k).alias(f"_b_{k}") for k in keys], F.col("_t").alias("_to"), F.inline("_from")
     )
-    return runs, heads, units, targets
-
-
-def _join_units(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Null-safe join on (keys, date, _r); ``right``'s copies of them dropped."""
-    r = right.select(
-        *[F.col(k).alias(f"_u_{k}") for k in keys],
-        F.col("date").alias("_u_date"),
-        F.col("_r").alias("_u_r"),
-        *[c for c in right.columns if c not in (*keys, "date", "_r")],
+    needs = broadcast_if_small(needs)
+    on = _on(tails, needs, [(k, f"_b_{k}") for k in keys]) & (tails["_t"] == needs["src"])
+    copies = tails.join(needs, on, "inner").withColumns(
+        {"_halo": F.lit(True), "_p": F.col("end") - F.col("_k"), "_t": F.col("_to")}
     )
-    on = _on(left, r, [(k, f"_u_{k}") for k in keys]) & (left["date"] == r["_u_date"]) & (left["_r"] == r["_u_r"])
-    return left.join(r, on, how).drop(*[f"_u_{k}" for k in keys], "_u_date", "_u_r")
+    return own.unionByName(copies.select(*own.columns))
 
 
 def split_window(
@@ -323,29 +172,21 @@ def split_window(
     halo: int,
     compute: Compute,
     block_rows: int,
-    undated: bool = True,
+    n_rows: int,
 ) -> DataFrame:
-    """The split plan for ``rows`` (all rows of the keys to split, tagged by
-    :func:`tag`): returns ``cols`` + added columns, added columns NULL for
-    undated rows (which are left out when ``undated`` is False)."""
+    """The split plan for dated ``rows`` (about ``n_rows``, all dated rows of
+    the keys to split, tagged by :func:`tag`): ``cols`` + added columns."""
     b = max(int(block_rows), int(halo) + 1)
     loose = [f.name for f in rows.schema.fields if f.name in cols and not _groupable(f.dataType)]
     if loose:
         raise ValueError(f"columns that cannot be grouped (maps): {loose}; drop them or pass split='never'")
-    runs, heads, units, targets = plan_units(rows, cols, keys, halo, b)
+    heads, blocks = ranged_heads(rows, cols, keys, halo, b, n_rows)
     # The largest number of rows one block emits once copies are regenerated.
-    widest = units.groupBy(*keys, "_blk").agg(F.sum("_sw").alias("_o")).agg(F.max("_o")).first()[0] or 0
-    # Targets are at most three narrow rows per unit.
-    tj = F.broadcast(targets) if 3 * table_bytes(units) <= BROADCAST_BYTES else targets
-    tagged = _join_units(heads, tj, keys)
-
+    widest = blocks.agg(F.max("_sw")).first()[0] or 0
+    tagged = _with_halos(heads, blocks, keys, halo)
     out = compute(tagged, [*keys, "_t"], _sequence_order("_j")).where(~F.col("_halo"))
-    added = [f for f in out.schema.fields if f.name not in tagged.columns]
-    res_cols = [*cols, *[f.name for f in added]]
-    dated = _expand(out.select(*res_cols, "_w", "_rh"), res_cols, spread=widest > 4 * b)
-    if not undated:
-        return dated
-    return dated.unionByName(_undated_rows(runs.where(F.col("_nd")), cols, added))
+    added = [c for c in out.columns if c not in tagged.columns]
+    return _expand(out.select(*cols, *added, "_w", "_rh"), [*cols, *added], spread=widest > 4 * b)
 
 
 def _undated_rows(runs: DataFrame, cols: Sequence[str], added) -> DataFrame:
@@ -399,33 +240,36 @@ def sequence_window(
 
     if split == "never":
         return plain(tagged)
+    dated = tagged.where(~F.col("_nd"))
     if split == "always":
-        return split_window(tagged, cols, keys, halo, compute, block_rows)
+        n_rows, n_undated = df.agg(F.count("date"), F.count_if(F.col("date").isNull())).first()
+        out = split_window(dated, cols, keys, halo, compute, block_rows, n_rows)
+        return _with_undated(out, tagged, cols) if n_undated else out
 
     # Unless the caller has them: one aggregation over the input (partial in
     # every task, one row per key). Stored, since both decisions read it.
     counts = key_counts(df, keys) if counts is None else counts
-    n_undated, n_hot = counts.agg(
-        F.coalesce(F.sum("_u"), F.lit(0)), F.count_if(F.col("_n") > F.lit(int(hot_rows)))
+    is_hot = F.col("_n") > F.lit(int(hot_rows))
+    n_undated, n_hot, n_rows = counts.agg(
+        F.coalesce(F.sum("_u"), F.lit(0)), F.count_if(is_hot), F.sum(F.when(is_hot, F.col("_n")))
     ).first()
-    dated = tagged.where(~F.col("_nd"))
     if n_hot == 0:
         out = plain(dated)
     else:
-        hot = counts.where(F.col("_n") > F.lit(int(hot_rows)))
-        h = broadcast_if_small(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
+        h = broadcast_if_small(counts.where(is_hot).select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
         on = _on(dated, h, [(k, f"_h_{k}") for k in keys])
         cold = plain(dated.join(h, on, "left_anti"))
-        out = cold.unionByName(
-            split_window(dated.join(h, on, "left_semi"), cols, keys, halo, compute, block_rows, undated=False)
-        )
-    if not n_undated:
-        return out
-    # Undated rows need no window: copies collapse (a partial aggregation)
-    # and are regenerated in spread chunks.
+        hot = dated.join(h, on, "left_semi")
+        out = cold.unionByName(split_window(hot, cols, keys, halo, compute, block_rows, n_rows))
+    return _with_undated(out, tagged, cols) if n_undated else out
+
+
+def _with_undated(out: DataFrame, tagged: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``out`` and the undated rows, which need no window: copies collapse (a
+    partial aggregation) and are regenerated in spread chunks."""
     added = [f for f in out.schema.fields if f.name not in cols]
     lost = tagged.where(F.col("_nd"))
-    if not all(_groupable(f.dataType) for f in df.schema.fields):
+    if not all(_groupable(f.dataType) for f in out.schema.fields):
         nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in added]
         return out.unionByName(lost.select(*cols, *nulls))
     runs = lost.groupBy(*cols, "_rh").agg(F.count(F.lit(1)).alias("_m"))

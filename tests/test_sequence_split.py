@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from navspark import returns, rolling_metrics
 from pyspark.sql import functions as F
 
-from navspark.plans.sequence import plan_units, tag
+from navspark.plans.sequence import _with_halos, ranged_heads, tag
 from navspark.schemas import NAV_SCHEMA
 
 BASE = dt.date(2020, 1, 1)
@@ -52,25 +52,24 @@ cases = st.tuples(
 )
 
 
-@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck),
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck),
           phases=[Phase.explicit, Phase.reuse, Phase.generate])
-@given(cases)
-def test_split_equals_plain(spark, case):
+@given(cases, st.sampled_from([1, 2, 7]))
+def test_split_equals_plain(spark, case, w):
     seed, n, k, days, dup, nul, block = case
     df = spark.createDataFrame(make_rows(seed, n, k, days, dup, nul), NAV_SCHEMA)
     periods = [1, 3, 5]
     plain = canon(returns(df, periods, split="never"))
     assert canon(returns(df, periods, split="always", block_rows=block)) == plain
     assert canon(returns(df, periods, split="auto", hot_rows=n // 3, block_rows=block)) == plain
-    for w in (1, 2, 7):
-        plain_r = canon(rolling_metrics(df, w, key="scheme_code", split="never"))
-        assert canon(rolling_metrics(df, w, key="scheme_code", split="always", block_rows=block)) == plain_r
-        assert canon(
-            rolling_metrics(df, w, key="scheme_code", split="auto", hot_rows=n // 4, block_rows=block)
-        ) == plain_r
+    plain_r = canon(rolling_metrics(df, w, key="scheme_code", split="never"))
+    assert canon(rolling_metrics(df, w, key="scheme_code", split="always", block_rows=block)) == plain_r
+    assert canon(
+        rolling_metrics(df, w, key="scheme_code", split="auto", hot_rows=n // 4, block_rows=block)
+    ) == plain_r
 
 
-@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck),
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck),
           phases=[Phase.explicit, Phase.reuse, Phase.generate])
 @given(cases, st.integers(1, 12))
 def test_rolling_blocks_equal_frame(spark, case, w):
@@ -81,42 +80,47 @@ def test_rolling_blocks_equal_frame(spark, case, w):
     assert canon(rolling_metrics(df, w, split="always", block_rows=block, method="blocks")) == frame
 
 
-def _block_sizes(df, keys, halo, block_rows):
-    """Rows each window block receives (own rows and halo copies), and the
-    unit table."""
-    _, heads, units, targets = plan_units(tag(df), df.columns, keys, halo, block_rows)
-    t = targets.withColumnsRenamed({**{k: f"_t_{k}" for k in keys}, "date": "_tdate", "_r": "_tr"})
-    on = [heads[k].eqNullSafe(t[f"_t_{k}"]) for k in keys] + [heads["date"] == t["_tdate"], heads["_r"] == t["_tr"]]
-    j = heads.join(t, on)
-    return [r["count"] for r in j.groupBy("_t").count().collect()], units
-
-
 def test_blocks_are_bounded(spark):
     # One hot key: 3000 rows over 300 days, then three heavy days of 1000
-    # distinct NAVs each, then a day of 900 rows sharing one NAV (distinct
-    # codes, so not copies). Every block holds about block_rows rows plus the
-    # halo, never a whole day.
+    # distinct NAVs each, a day of 900 rows sharing one NAV (distinct codes,
+    # so not copies) and 400 runs of 3 copies. No block holds much more than
+    # block_rows heads, and the halos are exactly the rows looked back to.
     rows = [(BASE + dt.timedelta(days=i // 10), float(i), "hot", "H") for i in range(3000)]
     for d in range(3):
         rows += [(BASE + dt.timedelta(days=400 + d), float(1000 - i), "hot", "H") for i in range(1000)]
     rows += [(BASE + dt.timedelta(days=500), 7.0, f"c{i}", "H") for i in range(900)]
+    rows += [(BASE + dt.timedelta(days=600), float(i), "hot", "H") for i in range(400) for _ in range(3)]
+    df = spark.createDataFrame(rows, NAV_SCHEMA)
+    keys, halo = ["scheme_name"], 25
+    heads, blocks = ranged_heads(tag(df), df.columns, keys, halo, 200, len(rows))
+    sizes = [r["_c"] for r in blocks.collect()]
+    assert sum(sizes) == len(rows) and sum(r["_sw"] for r in blocks.collect()) == len(rows)
+    assert len(sizes) >= 0.8 * len(rows) / 200 and max(sizes) <= 2 * 200
+    with_halo = _with_halos(heads, blocks, keys, halo).groupBy("_t", "_halo").count().collect()
+    halos = {r["_t"]: r["count"] for r in with_halo if r["_halo"]}
+    first = min(r["_t"] for r in with_halo)
+    assert first not in halos and all(halos[r["_t"]] == halo for r in with_halo if r["_t"] != first)
+    # Ranges are contiguous stretches of the sequence.
+    spans = heads.groupBy("_t").agg(F.min("date").alias("a"), F.max("date").alias("b")).orderBy("_t").collect()
+    assert all(x["b"] <= y["a"] for x, y in zip(spans, spans[1:]))
+
+
+def test_blocks_smaller_than_the_halo(spark):
+    # Several keys end in one range and begin in another, so some blocks are
+    # shorter than the look-back and need rows of more than one block before.
+    rows = [(BASE + dt.timedelta(days=i), float(i * i % 17), f"c{k}", f"S{k}") for k in range(3) for i in range(90)]
     df = spark.createDataFrame(rows, NAV_SCHEMA)
-    sizes, units = _block_sizes(df, ["scheme_name"], halo=25, block_rows=200)
-    assert sum(sizes) >= len(rows)
-    assert len(sizes) >= len(rows) // 200 - 1
-    assert max(sizes) <= 2 * 200 + 25
-    # the heavy days and the one-valued day are cut into several units
-    per_day = {r["date"]: r["count"] for r in units.groupBy("date").count().collect()}
-    assert all(per_day[BASE + dt.timedelta(days=400 + d)] >= 10 for d in range(3))
-    assert per_day[BASE + dt.timedelta(days=500)] >= 900 // 50
+    assert canon(returns(df, [1, 40], split="always", block_rows=1)) == canon(returns(df, [1, 40], split="never"))
+    _, blocks = ranged_heads(tag(df), df.columns, ["scheme_name"], 40, 41, 30 * len(rows))
+    assert max(len(r["_from"]) for r in blocks.collect()) > 1
 
 
 def test_copies_collapse(spark):
     # 5000 copies of one row on one day: a run of halo + 1 heads, not 5000.
     rows = [(BASE, 5.0, "c", "H")] * 5000 + [(BASE + dt.timedelta(days=1), 6.0, "c", "H")]
     df = spark.createDataFrame(rows, NAV_SCHEMA)
-    runs, heads, units, targets = plan_units(tag(df), df.columns, ["scheme_name"], 3, 10)
-    assert heads.count() == 4 + 1
+    heads, blocks = ranged_heads(tag(df), df.columns, ["scheme_name"], 3, 10, 5001)
+    assert heads.count() == 4 + 1 and sum(r["_sw"] for r in blocks.collect()) == 5001
     out = returns(df, [1, 2], split="always", block_rows=10).collect()
     assert len(out) == 5001
     last = [r for r in out if r["date"] == BASE + dt.timedelta(days=1)][0]
@@ -163,42 +167,16 @@ def test_heavy_day_of_few_runs(spark, seed):
     assert canon(rolling_metrics(df, 2000, split="always", block_rows=2000)) == plain
 
 
-def test_sampled_split_points(spark, monkeypatch):
-    # Force sampling (about one run per split point): split points come from
-    # a small sample, buckets are uneven, one-valued buckets are large; the
-    # result must still equal the plain window's.
-    import navspark.plans.sequence as seq
-
-    monkeypatch.setattr(seq, "SAMPLE_PER_SPLIT", 1)
-    rnd = random.Random(3)
-    rows = [(BASE + dt.timedelta(days=rnd.randrange(3)), float(rnd.randrange(60)), f"c{i}", "H") for i in range(2000)]
-    rows += [(BASE + dt.timedelta(days=1), 7.0, f"d{i}", "H") for i in range(300)]
-    df = spark.createDataFrame(rows, NAV_SCHEMA)
-    assert canon(returns(df, [1, 3], split="always", block_rows=40)) == canon(returns(df, [1, 3], split="never"))
-    frame = canon(rolling_metrics(df, 5, split="never"))
-    assert canon(rolling_metrics(df, 5, split="always", block_rows=40)) == frame
-
-
-def test_bucket_numbering(spark):
-    # NULL NAV -> 0; no split points -> one open bucket 1; otherwise odd
-    # buckets between points, even buckets equal to a point (one-valued).
-    from navspark.plans.sequence import _bucket
-
-    rows = [(None, [2.0, 5.0]), (1.0, [2.0, 5.0]), (2.0, [2.0, 5.0]), (3.0, [2.0, 5.0]),
-            (5.0, [2.0, 5.0]), (9.0, [2.0, 5.0]), (4.0, None), (None, None)]
-    df = spark.createDataFrame(rows, "nav double, s array<double>")
-    got = [r[0] for r in df.select(_bucket(F.col("s"))).collect()]
-    assert got == [0, 1, 2, 3, 4, 5, 1, 0]
-
-
-def test_heavy_day_is_cut_until_units_are_small(spark):
-    # More distinct NAVs on one day than one level of split points can part.
-    n, block = 6_000, 40  # u = 10: 600 units from at most 32 points a level
-    nav = spark.range(n).selectExpr("DATE'2020-01-01' AS date", "CAST(hash(id) AS DOUBLE) AS nav", "'c' AS scheme_code", "'S' AS scheme_name")
-    rows = tag(nav)
-    _, _, units, _ = plan_units(rows, nav.columns, ["scheme_name"], 3, block)
-    sizes = sorted(r["_c"] for r in units.select("_c").collect())
-    assert sum(sizes) == n and sizes[-1] <= 30
+def test_heavy_day_is_cut_like_any_other(spark):
+    # All rows on one day, most of them with one NAV: still equal ranges.
+    n, block = 6_000, 100
+    nav = spark.range(n).selectExpr(
+        "DATE'2020-01-01' AS date", "CAST(IF(id % 3 = 0, hash(id), 7) AS DOUBLE) AS nav", "CAST(id AS STRING) AS scheme_code", "'S' AS scheme_name"
+    )
+    _, blocks = ranged_heads(tag(nav), nav.columns, ["scheme_name"], 3, block, n)
+    sizes = [r["_c"] for r in blocks.collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * block
+    assert canon(returns(nav, [1, 3], split="always", block_rows=block)) == canon(returns(nav, [1, 3], split="never"))
 
 
 def test_split_is_bit_equal_without_copies(spark):
