@@ -220,6 +220,22 @@ def q_nav_from_json(spark, sf):
     return attach_names(raw, names, "left")
 
 
+def q_nav_from_json_split(spark, sf):
+    # One document per brand, read by as many tasks as it has file splits.
+    root = landed_payloads(nav_by_brand(spark, sf), period=None)
+    names = table(spark, sf, "part").select(
+        F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).alias("scheme_code"),
+        F.col("p_brand").alias("scheme_name"),
+    )
+    return attach_names(read_nav(spark, root, split_documents=True), names, "left")
+
+
+def q_scan_schemes_split(spark, sf):
+    # The catalogue as large documents, each read by many tasks.
+    root = landed_catalogue(scheme_catalogue(spark, sf), per_document=1_000_000)
+    return read_schemes(spark, root, split_documents=True)
+
+
 def _brand_names(spark, sf):
     # code -> fund-name mapping frame for every brand in ``part``.
     return table(spark, sf, "part").select(
@@ -250,24 +266,15 @@ def q_scan_schemes(spark, sf):
 
 
 def q_scheme_payload(spark, sf):
-    # Raw landed documents of every scheme, summarised per year (a year may
-    # span several bounded documents).
+    # Raw landed documents of every scheme, their points summarised per month.
     docs = scheme_payload(spark, landed_payloads(nav_by_brand(spark, sf)), None)
     dates = F.transform(
         F.from_json("payload", "data ARRAY<STRUCT<date:STRING,nav:STRING>>")["data"],
         lambda p: F.to_date(p["date"], "dd-MM-yyyy"),
     )
-    per_doc = docs.select(
-        "scheme_code",
-        F.year(F.array_min(dates)).cast("string").alias("period"),
-        F.json_array_length(F.get_json_object("payload", "$.data")).cast("bigint").alias("n_points"),
-        F.array_min(dates).alias("first_date"),
-        F.array_max(dates).alias("last_date"),
-    )
-    return per_doc.groupBy("scheme_code", "period").agg(
-        F.sum("n_points").alias("n_points"),
-        F.min("first_date").alias("first_date"),
-        F.max("last_date").alias("last_date"),
+    points = docs.select("scheme_code", F.explode(dates).alias("date"))
+    return points.groupBy("scheme_code", F.date_format("date", "yyyy-MM").alias("period")).agg(
+        F.count("*").alias("n_points"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
     )
 
 
@@ -387,6 +394,10 @@ WITH {NAV_BRAND}
 SELECT date, {', '.join(f"min(nav) FILTER (WHERE scheme_name = '{x}') AS \"{x}\"" for x in _BRANDS)}
 FROM nav GROUP BY date"""
 
+NAV_BRAND_SQL = f"""
+WITH {NAV_BRAND}
+SELECT date, nav, scheme_code, scheme_name FROM nav"""
+
 CATALOGUE_SQL = """SELECT CAST(p_partkey AS VARCHAR) AS schemeCode, p_name AS schemeName, p_type AS schemeType FROM part"""
 
 
@@ -438,10 +449,12 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_schemes_type": q_search_schemes_type,
         "nav_range": q_nav_range,
         "nav_from_json": q_nav_from_json,
+        "nav_from_json_split": q_nav_from_json_split,
         "nav_multi": q_nav_multi,
         "nav_union": q_nav_union,
         "top_nav": q_top_nav,
         "scan_schemes": q_scan_schemes,
+        "scan_schemes_split": q_scan_schemes_split,
         "scheme_payload": q_scheme_payload,
     }
 
@@ -478,9 +491,8 @@ WHERE lower(schemeName) LIKE lower('%{kw}%') AND lower(schemeType) LIKE lower('%
         "nav_range": f"""
 WITH {NAV_BRAND}
 SELECT * FROM nav WHERE date >= {_iso(RANGE[0])} AND date <= {_iso(RANGE[1])}""",
-        "nav_from_json": f"""
-WITH {NAV_BRAND}
-SELECT date, nav, scheme_code, scheme_name FROM nav""",
+        "nav_from_json": NAV_BRAND_SQL,
+        "nav_from_json_split": NAV_BRAND_SQL,
         "nav_multi": f"""
 WITH {NAV_BRAND},
 m AS (SELECT replace(p_brand, 'Brand#', '') AS scheme_code, min('Fund ' || p_brand) AS scheme_name FROM part GROUP BY 1)
@@ -496,10 +508,11 @@ SELECT date, nav, scheme_code, CAST(NULL AS VARCHAR) AS scheme_name FROM navp"""
 WITH {NAV_BRAND}
 SELECT date, nav, scheme_code, scheme_name FROM nav ORDER BY date, scheme_code, nav, scheme_name LIMIT 10""",
         "scan_schemes": CATALOGUE_SQL,
+        "scan_schemes_split": CATALOGUE_SQL,
         "scheme_payload": f"""
 WITH {NAV_BRAND}
-SELECT scheme_code, strftime(date, '%Y') AS period, count(*) AS n_points,
+SELECT scheme_code, strftime(date, '%Y-%m') AS period, count(*) AS n_points,
        min(date) AS first_date, max(date) AS last_date
 FROM nav
-GROUP BY scheme_code, strftime(date, '%Y')""",
+GROUP BY scheme_code, strftime(date, '%Y-%m')""",
     }

@@ -3,16 +3,16 @@
 Every operator is a pure function ``DataFrame -> DataFrame`` (or
 ``SparkSession, path -> DataFrame`` for sources). Operators never run an
 action, never own a session and never sort unless sorting is the feature.
-The only operators that run a (small, bounded) job while building the plan
-are the ones that must size something first: the pivot's column list and the
-hot-key check of the sequence windows.
+The only operators that run a job while building the plan are the ones that
+must know something first: the pivot's column list, the hot-key check of the
+sequence windows and, when asked to split documents, the reader's first pass.
 """
 
 from navspark.schemas import NAV_SCHEMA, PAYLOAD_SCHEMA, SCHEME_SCHEMA
 from navspark.sources.catalogue import read_schemes, schemes_from_json_lines
-from navspark.sources.payload import nav_from_payloads, read_nav, scheme_payload
+from navspark.sources.payload import nav_from_payloads, read_nav, rejected_payloads, scheme_payload
 from navspark.sources.popular import popular_schemes, popular_schemes_mapping
-from navspark.sources.sinks import read_nav_table, write_nav, write_table
+from navspark.sources.sinks import read_nav_bucketed, read_nav_table, write_nav, write_nav_bucketed, write_table
 from navspark.operators.selection import nav_range, top_nav
 from navspark.operators.combine import nav_multi, nav_union, attach_names
 from navspark.operators.catalog import search_schemes
@@ -40,8 +40,10 @@ __all__ = [
     "popular_schemes",
     "popular_schemes_mapping",
     "read_nav",
+    "read_nav_bucketed",
     "read_nav_table",
     "read_schemes",
+    "rejected_payloads",
     "returns",
     "rolling_metrics",
     "run_pipeline",
@@ -52,5 +54,6 @@ __all__ = [
     "start_nav_ingest",
     "top_nav",
     "write_nav",
+    "write_nav_bucketed",
     "write_table",
 ]

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from navspark.schemas import MAPPING_SCHEMA, NAV_COLUMNS
-from navspark.sources.payload import filter_dates, nav_from_payloads, read_payloads
+from navspark.sources.payload import filter_dates, landed_nav
+from navspark.sources.sinks import nav_counts
 
 # A dict mapping of up to this many bytes of text is broadcast to the scan
 # tasks; for a larger one, and for a mapping table, Spark chooses by size.
@@ -57,16 +58,21 @@ def nav_multi(
     end=None,
     with_fetch_time: bool = True,
     multiline: bool = True,
+    split_documents: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """NAV of every scheme in ``mapping`` from the landed payloads, named,
     date-bounded and stamped with ``fetch_timestamp``.
 
     One scan of all the mapped schemes (of a dict only the schemes' own
     folders are listed); schemes with no data contribute no rows. The stamp
-    is fixed per query run (``current_timestamp`` is folded at planning).
+    is fixed per query run (``current_timestamp`` is folded at planning). An
+    ``observation`` gets the counts of the landed points as they are parsed.
     """
     codes = None if isinstance(mapping, DataFrame) else list(mapping.keys())
-    raw = nav_from_payloads(read_payloads(spark, root, codes, multiline))
+    raw = landed_nav(spark, root, codes, multiline, split_documents)
+    if observation is not None:
+        raw = raw.observe(observation, *nav_counts())
     named = filter_dates(attach_names(raw, mapping, "inner"), start, end)
     if with_fetch_time:
         named = named.withColumn("fetch_timestamp", F.current_timestamp())

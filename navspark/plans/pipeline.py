@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from navspark.operators.catalog import search_schemes
 from navspark.operators.combine import nav_multi
@@ -55,6 +55,7 @@ def run_pipeline(
     n_schemes: int | None = None,
     return_periods=(1, 7, 30),
     rolling_rows: int = 252,
+    tier_counts: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, DataFrame]:
     """Run all tiers and return their reread tables by name.
 
@@ -64,6 +65,12 @@ def run_pipeline(
     schemes for a pivot cost none of the other results. Small results are
     written in order: pivot by date, latest by name and code, monthly by
     name, year and month.
+
+    ``tier_counts`` is filled with the row counts of every output by its path
+    under ``out``, and for ``raw/nav`` also with ``parsed_rows``,
+    ``unparsed_dates`` and ``unparsed_navs`` of the landed points before dates
+    and names select any. They are observed while the tiers are written: no
+    job counts them.
     """
     out = out.rstrip("/")
     p = {
@@ -75,26 +82,45 @@ def run_pipeline(
         )
     }
 
+    seen: dict[str, list[Observation]] = {}
+
+    def watch(tier: str) -> Observation | None:
+        if tier_counts is None:
+            return None
+        seen.setdefault(tier, []).append(Observation())
+        return seen[tier][-1]
+
+    def store(df: DataFrame, tier: str) -> None:
+        write_table(df, p[tier], observation=watch(tier))
+
     schemes = read_schemes(spark, catalogue_path)
-    write_table(schemes, p["raw/schemes"])
+    store(schemes, "raw/schemes")
     schemes = spark.read.parquet(p["raw/schemes"])
-    write_table(search_schemes(schemes, keyword, scheme_type), p["raw/search"])
+    store(search_schemes(schemes, keyword, scheme_type), "raw/search")
 
     if mapping is None:
         mapping = popular_schemes_mapping()
     if n_schemes is not None and not isinstance(mapping, DataFrame):
         mapping = first_schemes(mapping, n_schemes)
-    write_nav(nav_multi(spark, payload_root, mapping, start, end), p["raw/nav"])
+    raw = nav_multi(spark, payload_root, mapping, start, end, observation=watch("raw/nav"))
+    write_nav(raw, p["raw/nav"], observation=watch("raw/nav"))
     nav = read_nav_table(spark, p["raw/nav"])
 
     counts = key_counts(nav, ["scheme_name"])
-    write_table(returns(nav, return_periods, counts=counts), p["processed/returns"])
-    write_table(rolling_metrics(nav, rolling_rows, counts=counts), p["processed/rolling"])
-    write_table(performance_metrics(nav), p["analysis/performance"])
-    write_table(scheme_summary(nav), p["analysis/summary"])
-    write_table(latest_nav(nav).orderBy("scheme_name", "scheme_code"), p["analysis/latest"])
-    write_table(monthly_nav(nav).orderBy("scheme_name", "year", "month"), p["analysis/monthly"])
-    write_table(pivot_nav(nav).orderBy("date"), p["processed/pivoted"])
+    store(returns(nav, return_periods, counts=counts), "processed/returns")
+    store(rolling_metrics(nav, rolling_rows, counts=counts), "processed/rolling")
+    store(performance_metrics(nav), "analysis/performance")
+    store(scheme_summary(nav), "analysis/summary")
+    store(latest_nav(nav).orderBy("scheme_name", "scheme_code"), "analysis/latest")
+    store(monthly_nav(nav).orderBy("scheme_name", "year", "month"), "analysis/monthly")
+    store(pivot_nav(nav).orderBy("date"), "processed/pivoted")
+
+    for tier, observed in seen.items():
+        counts = [dict(o.get) for o in observed]
+        if tier == "raw/nav":
+            points, written = counts
+            counts = [{"rows": written["rows"], "parsed_rows": points["rows"]} | {k: v for k, v in points.items() if k != "rows"}]
+        tier_counts[tier] = counts[0]
 
     res = {k.split("/")[1]: spark.read.parquet(v) for k, v in p.items() if k != "raw/nav"}
     res["nav"] = nav

@@ -89,12 +89,13 @@ def _landing_folder(spark: SparkSession, kind: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{kind}-{uuid.uuid4().hex}"
 
 
-def landed_payloads(nav: DataFrame) -> str:
+def landed_payloads(nav: DataFrame, period: str | None = "yyyy") -> str:
     """Write a NAV table as landed payload files, one folder per scheme and one
     document per file, under the session's shared checkpoint folder; returns
-    the root. Whole table, every point."""
+    the root. Whole table, every point; documents hold a ``period`` (None: all
+    dates)."""
     root = _landing_folder(nav.sparkSession, "payloads")
-    docs = payload_documents(nav, period="yyyy").select("scheme_code", "value")
+    docs = payload_documents(nav, period=period).select("scheme_code", "value")
     docs.write.partitionBy("scheme_code").option("maxRecordsPerFile", 1).text(root)
     return root
 
@@ -112,10 +113,10 @@ def landed_catalogue(catalogue: DataFrame, per_document: int = 5_000) -> str:
     return root
 
 
-def payload_documents(nav: DataFrame, max_points: int = MAX_DOC_POINTS, period: str = "yyyy-MM") -> DataFrame:
+def payload_documents(nav: DataFrame, max_points: int = MAX_DOC_POINTS, period: str | None = "yyyy-MM") -> DataFrame:
     """Render a NAV table as payload documents in the service's text format:
     ``scheme_code, period, part, value``, one or more documents per scheme and
-    ``period`` (a date pattern; months unless given), each holding at most about ``max_points`` points.
+    ``period`` (a date pattern; months unless given, None for all dates), each holding at most about ``max_points`` points.
 
     Copies of a point first collapse into one row with a multiplicity (a
     partial aggregation). A (scheme, month) over ``max_points`` points is cut
@@ -126,7 +127,7 @@ def payload_documents(nav: DataFrame, max_points: int = MAX_DOC_POINTS, period:
     d = int(max_points)
     pts = nav.select(
         "scheme_code",
-        F.date_format("date", period).alias("period"),
+        (F.date_format("date", period) if period else F.lit("all")).alias("period"),
         F.struct(
             F.date_format("date", "dd-MM-yyyy").alias("date"),
             F.col("nav").cast("string").alias("nav"),

@@ -23,9 +23,12 @@ from navspark.schemas import NAV_COLUMNS, PAYLOAD_SCHEMA
 from navspark.sources.payload import nav_from_payloads
 
 
-def nav_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of NAV rows from newly landed payload documents."""
-    reader = spark.readStream.schema(PAYLOAD_SCHEMA).option("multiLine", True)
+def nav_stream(
+    spark: SparkSession, root: str, max_files_per_trigger: int | None = None, multiline: bool = True
+) -> DataFrame:
+    """Streaming DataFrame of NAV rows from newly landed payload documents
+    (with ``multiline=False`` every line of a file is a document)."""
+    reader = spark.readStream.schema(PAYLOAD_SCHEMA).option("multiLine", multiline)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return nav_from_payloads(reader.json(root)).select(*NAV_COLUMNS)
@@ -37,6 +40,7 @@ def start_nav_ingest(
     out: str,
     checkpoint: str | None = None,
     available_now: bool = True,
+    multiline: bool = True,
 ) -> StreamingQuery:
     """Append new NAV rows to the parquet table at ``out`` (partitioned by
     ``year``). ``checkpoint`` defaults to a folder of this root and output
@@ -51,7 +55,7 @@ def start_nav_ingest(
         pair = hashlib.sha256(f"{root.rstrip('/')}\n{out.rstrip('/')}".encode()).hexdigest()[:32]
         checkpoint = f"{base.rstrip('/')}/nav_ingest/{pair}"
     w = (
-        nav_stream(spark, root)
+        nav_stream(spark, root, multiline=multiline)
         .withColumn("year", F.year("date"))
         .writeStream.format("parquet")
         .option("path", out)
