@@ -1,9 +1,13 @@
-"""Materialising small intermediate tables that a plan reads several times."""
+"""Materialising intermediate tables that a plan reads several times."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,25 +25,74 @@ def checkpoint_dir(df: DataFrame) -> str | None:
     return d or None
 
 
+#: Spark's switch for removing a query's shuffle files when the query ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries built inside remove their shuffle files at their end: a stored
+    table is read from its files, so nothing asks for the shuffles again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage.
 
     With a checkpoint folder configured (``spark.checkpoint.dir``, shared
     storage on a cluster) this is a reliable ``checkpoint()``: later readers
     and retries after a lost executor read the written files instead of
-    re-running the input scan. Without one (an unconfigured local session)
-    the table is persisted to memory and disk; lost blocks are then
-    recomputed from lineage, which is still correct.
+    re-running the input scan. Shuffle files that the computation made are
+    removed with it. Without a folder (an unconfigured local session) the
+    table is persisted to memory and disk; lost blocks are then recomputed from
+    lineage, which is still correct.
     """
     d = checkpoint_dir(df)
     if d:
         sc = df.sparkSession.sparkContext
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
-        return df.checkpoint(eager=True)
+        with _shuffles_removed(df.sparkSession):
+            return df.select("*").checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+class Stored:
+    """A table written to the checkpoint folder, with :meth:`drop` for when it is consumed.
+
+    For loops whose every round makes a table that the next one consumes. The
+    files are ordinary parquet, so Spark knows their size.
+    """
+
+    def __init__(self, df: DataFrame) -> None:
+        self._plain = None
+        folder = checkpoint_dir(df)
+        if not folder:
+            self._path, self._plain = None, materialize(df)
+            return
+        self._spark = df.sparkSession
+        self._path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+        with _shuffles_removed(self._spark):
+            df.select("*").write.parquet(self._path)
+        self._schema = df.schema
+
+    @property
+    def df(self) -> DataFrame:
+        return self._plain if self._path is None else self._spark.read.schema(self._schema).parquet(self._path)
+
+    def drop(self) -> None:
+        if self._path is None:
+            self._plain.unpersist()
+            return
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._path)
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table_bytes(df: DataFrame) -> int:
     """Bytes of a stored table's values (one small job): text and arrays by
     their lengths, every other value as 16 bytes."""
