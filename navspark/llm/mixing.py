@@ -15,15 +15,15 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navspark.plans.materialize import materialize
+from navspark.llm.packing import packed, quoted, unpacked
+from navspark.plans.materialize import BROADCAST_BYTES, materialize, table_bytes
 
 SEED = 20240229
 #: Without explicit weights a source of n documents weighs n ** TEMPERATURE.
 TEMPERATURE = 0.5
 #: Means above this are drawn as sums of equal parts, so exp(-mean) stays normal.
 PART_MEAN = 400.0
-#: A rate table of more rows than this is joined by shuffle with salted keys.
-BROADCAST_SOURCES = 2_000
+#: Salted keys for a rate table too large to broadcast.
 SALTS = 64
 
 
@@ -58,7 +58,7 @@ def source_rates(
     source by ``count ** TEMPERATURE``. Null is a source like any other.
     ``total`` is the expected number of copies, the input's rows if None.
     """
-    counts = docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").cast("double").alias("n"))
+    counts = docs.groupBy(F.col(quoted(source_col)).alias("source")).agg(F.count("*").cast("double").alias("n"))
     if weights is None:
         weighed = counts.withColumn("weight", F.pow("n", F.lit(TEMPERATURE)))
     else:
@@ -99,21 +99,20 @@ def poisson_mix(
     added = {"copy", "copies", "shuffle_key"}
     columns = [c for c in docs.columns if c not in added] if keep_all_columns else [id_col, text_col, source_col]
     rates = materialize(source_rates(docs, source_col, weights, total))
-    n_sources = rates.count()
-    rates = rates.withColumnRenamed("source", "_source")
-    draw = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null-"), F.md5(F.coalesce(text_col, F.lit("")))))
-    keyed = docs.select(*columns, draw.alias("_draw"))
-    same = F.col(source_col).eqNullSafe(F.col("_source"))
-    if n_sources <= BROADCAST_SOURCES:
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    draw = F.coalesce(F.col(quoted(id_col)).cast("string"), F.concat(F.lit("null-"), F.md5(text)))
+    keyed = docs.select(packed(columns), F.col(quoted(source_col)).alias("of_source"), draw.alias("draw"))
+    same = F.col("of_source").eqNullSafe(F.col("source"))
+    if table_bytes(rates) <= BROADCAST_BYTES:
         joined = keyed.join(F.broadcast(rates), same)
     else:
-        spread = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = keyed.withColumn("_row_salt", F.pmod(F.xxhash64("_draw"), F.lit(SALTS)).cast("int")).join(
-            spread, same & (F.col("_row_salt") == F.col("_salt"))
+        spread = rates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = keyed.withColumn("row_salt", F.pmod(F.xxhash64("draw"), F.lit(SALTS)).cast("int")).join(
+            spread, same & (F.col("row_salt") == F.col("salt"))
         )
 
     def part(j: Column) -> Column:
-        u = hash_uniform(F.lit(str(seed)), j.cast("string"), F.col("_draw"))
+        u = hash_uniform(F.lit(str(seed)), j.cast("string"), F.col("draw"))
         return F.struct(u.alias("u"))
 
     drawn = F.aggregate(
@@ -121,16 +120,13 @@ def poisson_mix(
         F.lit(0),
         lambda n, p: n + F.size(F.filter("cdf", lambda c: c <= p["u"])),
     )
-    counted = joined.select(*columns, "_draw", drawn.alias("copies")).where("copies > 0")
+    counted = joined.select("row", "draw", drawn.alias("copies")).where("copies > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     keyed = copies.withColumn(
-        "shuffle_key", F.md5(F.concat_ws(":", F.lit(f"order-{seed}"), F.col("_draw"), F.col("copy").cast("string")))
-    )
-    return (
-        keyed.select(*columns, "copy", "copies", "shuffle_key")
-        .repartition("shuffle_key")
-        .sortWithinPartitions("shuffle_key")
+        "shuffle_key", F.md5(F.concat_ws(":", F.lit(f"order-{seed}"), F.col("draw"), F.col("copy").cast("string")))
     )
+    mixed = keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return unpacked(mixed, "copy", "copies", "shuffle_key")
 
 
 MIX_SQL = f"""

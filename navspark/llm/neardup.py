@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 from navspark.llm import minhash
 from navspark.llm.blocks import consecutive_groups, list_values
-from navspark.llm.components import connected_components
+from navspark.llm.components import components_table
 from navspark.llm.shipping import ship
 from navspark.llm.textops import NOT_SPACE, shingle_hashes, utf8_slices, word_bounds, word_hashes
-from navspark.plans.materialize import materialize
+from navspark.plans.materialize import Stored
 
 WORDS = 5
 PERCENT = 75
@@ -193,6 +193,25 @@ def _shuffled(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key)
 
 
+class Tables:
+    """Stored tables that one result needs on its way, deleted together."""
+
+    def __init__(self) -> None:
+        self._all: list[Stored] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self._all.append(Stored(df))
+        return self._all[-1].df
+
+    def components(self, edges: DataFrame) -> DataFrame:
+        self._all.append(components_table(edges))
+        return self._all[-1].df
+
+    def drop(self) -> None:
+        for t in self._all:
+            t.drop()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per input row.
 
@@ -205,20 +224,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     ship(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = materialize(base.mapInArrow(_sketch_batches, SKETCH_SCHEMA))
+    signed = Stored(base.mapInArrow(_sketch_batches, SKETCH_SCHEMA)).df
     full = signed.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
 
-    classes = materialize(
+    tables = Tables()
+    classes = tables.keep(
         full.groupBy("digest").agg(
             F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")
         )
     )
-    links = _links(base, classes)
+    links = _links(base, classes, tables)
     member = full.join(classes.select("digest", "node"), "digest")
     copies = member.where(F.col("doc_id") != F.col("node")).select(
         F.col("doc_id").alias("u"), F.col("node").alias("v")
     ).distinct()
-    comps = connected_components(links.union(copies))
+    comps = components_table(links.union(copies)).df
+    tables.drop()
     label = signed.select("doc_id", F.col("n").alias("n_shingles")).join(
         comps.withColumnRenamed("node", "doc_id"), "doc_id", "left"
     )
@@ -231,16 +252,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _links(base: DataFrame, classes: DataFrame) -> DataFrame:
+def _links(base: DataFrame, classes: DataFrame, tables: Tables) -> DataFrame:
     """Exact links ``(u, v)`` between class representatives that connect what is linked."""
     bands = classes.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = bands.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = materialize(bands.join(sizes, ["band", "key"]))
+    buckets = tables.keep(bands.join(sizes, ["band", "key"]))
 
     degree = buckets.groupBy("node").agg(F.sum("size").alias("degree"))
     ranked = buckets.join(degree, "node")
     hubs = ranked.groupBy("band", "key").agg(F.max(F.struct("degree", (-F.col("node")).alias("hub"))).alias("top"))
-    starred = materialize(
+    starred = tables.keep(
         buckets.join(hubs.select("band", "key", (-F.col("top.hub")).alias("hub")), ["band", "key"])
     )
 
@@ -259,22 +280,23 @@ def _links(base: DataFrame, classes: DataFrame) -> DataFrame:
 
     wanted = buckets.select("node").distinct().join(classes.select("node", "digest"), "node")
     text = base.join(wanted, base["doc_id"] == wanted["node"]).select("node", "text", "digest")
-    sets = materialize(text.mapInArrow(_set_batches, SET_SCHEMA))
+    sets = tables.keep(text.mapInArrow(_set_batches, SET_SCHEMA))
 
     both = F.size(F.array_intersect("shingles", "hub_shingles"))
     union = F.size("shingles") + F.size("hub_shingles") - both
-    starlinks = materialize(
+    starlinks = tables.keep(
         likely.join(sets, "node")
         .join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles")), "hub")
         .where(100 * both >= PERCENT * union)
         .select(F.col("node").alias("u"), F.col("hub").alias("v"))
     )
-    return starlinks.union(_residual_links(starred, sketches, sets, connected_components(starlinks)))
+    return starlinks.union(_residual_links(starred, sketches, sets, tables.components(starlinks), tables))
 
 
-def _residual_links(starred: DataFrame, sketches: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
+def _residual_links(
+    starred: DataFrame, sketches: DataFrame, sets: DataFrame, comps: DataFrame, tables: Tables
+) -> DataFrame:
     """Links between components that still share a bucket after the hub comparison."""
-    comps = materialize(comps)
     own = starred.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of_hub = comps.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
     own = own.join(of_hub, "hub", "left").withColumn("major", F.col("component") == F.coalesce("hub_component", "hub"))
@@ -286,7 +308,7 @@ def _residual_links(starred: DataFrame, sketches: DataFrame, sets: DataFrame, co
         )
         .where("n_minor > 0")
     )
-    rest = materialize(
+    rest = tables.keep(
         own.join(open_buckets, ["band", "key"])
         .withColumn("a_blocks", F.ceil(F.col("n_minor") / TILE))
         .withColumn("b_blocks", F.ceil(F.col("n_major") / TILE))
@@ -305,7 +327,7 @@ def _residual_links(starred: DataFrame, sketches: DataFrame, sets: DataFrame, co
     salts = group.select(
         "home", "near", F.greatest(F.ceil(F.col("c") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).alias("salts")
     )
-    nodes = materialize(
+    nodes = tables.keep(
         nodes.join(salts, ["home", "near"]).select(
             "node",
             "n",
@@ -331,7 +353,7 @@ def _residual_links(starred: DataFrame, sketches: DataFrame, sets: DataFrame, co
     tiles = tiles.join(nodes, "node").join(sketches.select("node", "bands"), "node")
     pairs = _shuffled(tiles, "tile").mapInArrow(_block_pairs, "a bigint, b bigint").distinct()
 
-    pairs = materialize(pairs).withColumn("tile", F.xxhash64("a", "b"))
+    pairs = tables.keep(pairs).withColumn("tile", F.xxhash64("a", "b"))
     held = pairs.select("tile", F.col("a").alias("blk")).union(
         pairs.where("a <> b").select("tile", F.col("b").alias("blk"))
     )

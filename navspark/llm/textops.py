@@ -7,6 +7,7 @@ text longer than that is its own slice.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +28,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE_VALUE = mix64(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))
-
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -43,19 +40,6 @@ ALPHANUMERIC = np.zeros(256, dtype=bool)
 ALPHANUMERIC[0x30:0x3A] = ALPHANUMERIC[0x41:0x5B] = ALPHANUMERIC[0x61:0x7B] = True
 ALPHANUMERIC[0x80:] = True
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("p", ())) < n:
-        size = max(n, SLICE_BYTES)
-        for name, base in (("p", _BASE), ("q", _INVERSE)):
-            t = np.full(size, base, dtype=_U)
-            t[0] = 1
-            _powers[name] = np.multiply.accumulate(t)
-    return _powers["p"], _powers["q"]
-
-
 def utf8_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, last row, bytes, offsets)`` slices of a string column.
 
@@ -104,37 +88,39 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray) -
     return starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets)
 
 
-def _hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of byte runs of one slice, as one prefix sum."""
-    low = int(starts[0])
-    piece = data[low : int(ends[-1])]
-    p, q = _power_table(len(piece) + 1)
-    sums = np.empty(len(piece) + 1, dtype=_U)
-    sums[0] = 0
-    np.cumsum(_BYTE_VALUE[LOWER[piece]] * p[: len(piece)], out=sums[1:])
-    h = (sums[ends - low] - sums[starts - low]) * q[starts - low]
-    return mix64(h + (ends - starts).astype(_U) * _U(0xA24BAED4963EE407))
+#: Words of more bytes than this are hashed one by one.
+LONG_WORD = 64
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each lower-cased (A-Z) word, from its bytes alone."""
+    """64-bit hash of each lower-cased (A-Z) word, from its bytes alone.
+
+    Eight bytes at a time go through :func:`mix64` together with the state so
+    far, so no pattern of letters cancels out; words of at most eight bytes
+    never collide with words of their length. Long words get a cryptographic
+    hash. Which of the two is taken depends on the word's own length only.
+    """
+    lengths = ends - starts
+    out = mix64(lengths.astype(_U) * _U(0xA24BAED4963EE407))
     if not len(starts):
-        return np.zeros(0, dtype=_U)
-    if ends[-1] - starts[0] <= 4 * SLICE_BYTES:
-        return _hash_runs(data, starts, ends)
-    out = np.empty(len(starts), dtype=_U)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE_BYTES, side="right")))
-        if j == i + 1 and ends[i] - starts[i] > SLICE_BYTES:  # one enormous word, by pieces
-            h = np.zeros(1, dtype=_U)
-            for a in range(int(starts[i]), int(ends[i]), SLICE_BYTES):
-                b = min(a + SLICE_BYTES, int(ends[i]))
-                h = mix64(h * _U(0x9FB21C651E98DF25) + _hash_runs(data, np.array([a]), np.array([b])))
-            out[i] = h[0]
-        else:
-            out[i:j] = _hash_runs(data, starts[i:j], ends[i:j])
-        i = j
+        return out
+    low = int(starts[0])
+    lowered = np.zeros(int(ends[-1]) - low + 8, dtype=np.uint8)
+    np.take(LOWER, data[low : int(ends[-1])], out=lowered[:-8])
+    # The eight bytes that begin at any place.
+    eight = np.ndarray((len(lowered) - 7,), "<u8", lowered.data, 0, (1,))
+    rows = np.flatnonzero(lengths <= LONG_WORD)
+    at, left = starts[rows] - low, lengths[rows]
+    while len(rows):
+        piece = eight[at]
+        last = left < 8
+        piece[last] &= (_U(1) << (left[last].astype(_U) * _U(8))) - _U(1)
+        out[rows] = mix64(out[rows] ^ piece)
+        more = left > 8
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        word = lowered[starts[i] - low : ends[i] - low]
+        out[i] = int.from_bytes(hashlib.blake2b(word.tobytes(), digest_size=8).digest(), "little")
     return out
 
 

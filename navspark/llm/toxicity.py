@@ -20,9 +20,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from navspark.llm.boosting import BoostedTrees, apply_isotonic, fit_boosting, fit_isotonic
 from navspark.llm.features import below, row_hash
+from navspark.llm.packing import quoted
 from navspark.llm.shipping import ship
 
 #: Labelled rows the model is fitted on (expected number).
@@ -274,17 +276,17 @@ def fit_toxicity(
 def score_toxicity(
     docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None
 ) -> DataFrame:
-    """``(id, score)``, or the columns ``keep`` and ``toxicity``, for every row.
+    """``(id, score)``, or ``row``, a struct of the columns ``keep``, and ``score``, for every row.
 
     Null and empty texts get the score of a text without features; null ids
-    are kept; repeated rows give repeated results; an empty table gives an
-    empty result; columns other than those named are ignored.
+    are kept; repeated rows give repeated results; texts of any length are
+    scored whole; an empty table gives an empty result; columns other than
+    those named are ignored, and those kept may have any names and types.
     """
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    passed = [id_col] if keep is None else keep
-    name = "score" if keep is None else "toxicity"
+    passed = F.col(id_col).alias(id_col) if keep is None else F.struct(*[F.col(quoted(c)) for c in keep]).alias("row")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -294,10 +296,11 @@ def score_toxicity(
             for i, text in enumerate(batch.column(0)):
                 x[i] = text_features(text.as_py(), [m.lexicon], cache)[0]
             score = np.clip(apply_isotonic(m.knots, m.trees.margin(x)), 0.0, 1.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score)], names=[*passed, name])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(score)], names=schema.names)
 
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in passed)
-    return docs.select(F.col(text_col).alias("_text"), *passed).mapInArrow(make, f"{schema}, {name} double")
+    rows = docs.select(F.col(quoted(text_col)).alias("text"), passed)
+    schema = T.StructType([rows.schema.fields[1], T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(make, schema)
 
 
 def learn_ids(id_col: str = "doc_id") -> Column:

@@ -42,7 +42,7 @@ def test_large_means_and_salted_join(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "x", "rare")] + [(i, "y", None) for i in range(2, 40)], "doc_id long, text string, source string")
     out = mixing.poisson_mix(docs, {"rare": 1.0}, total=3_000)
     assert abs(out.count() - 3_000) < 350
-    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(mixing, "BROADCAST_BYTES", -1)
     assert sorted(map(tuple, mixing.poisson_mix(docs, {"rare": 1.0}, total=3_000).collect())) == sorted(map(tuple, out.collect()))
 
 
