@@ -142,10 +142,12 @@ def test_decontamination(spark, corpus):
         assert r.n_near >= 0
 
 
-def test_benchmark_blocks(spark, corpus, monkeypatch):
+def test_large_benchmark_tables_are_joined(spark, corpus, monkeypatch):
     import navspark.llm.decontam as d
+    import navspark.plans.materialize as m
 
-    monkeypatch.setattr(d, "BLOCK_WORDS", 400)
+    monkeypatch.setattr(d, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(d, "broadcast_if_small", lambda df: m.broadcast_if_small(df, -1))
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()}
     docs = corpus[:120]
     got = decontaminate(
@@ -156,6 +158,54 @@ def test_benchmark_blocks(spark, corpus, monkeypatch):
     assert all(tuple(r)[1:6] == decontamination_row(by_id[r.doc_id], items) for r in got)
 
 
+def test_runs_of_equal_words_and_long_texts(spark):
+    from navspark.llm.decontam import adjusted_postings, anchor_runs, build_index, collection_frequencies, identity, item_words
+    from pyspark.sql import functions as F
+
+    items = {1: "a " * 200, 2: "a b " * 40, 3: "b", 4: "c c", 5: "a " * 12 + "z " + "a " * 12, 6: "q " * 5}
+    rows = [(1, "a " * 10_000), (2, "a b " * 30), (3, "x c c y b"), (4, "a " * 12), (5, "a " * 13), (6, None), (7, "w%d " * 5),
+            (8, "a " * 5 + "z " + "a " * 20), (9, " ".join(f"v{i}" for i in range(150_000)) + " b"), (10, "q q q q q q")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").selectExpr("*", "1 AS uid", "2 AS place", "map(1, 2) AS item")
+    bench = spark.createDataFrame(list(items.items()), "item_id int, text string")
+    got = {r.doc_id: tuple(r)[1:6] for r in decontaminate(docs, bench).collect()}
+    assert got == {i: decontamination_row(t, items) for i, t in rows}
+    # One repeated word against another is a row or two, not one for each pair of places.
+    base = docs.where("doc_id = 1").select(identity("doc_id", "text").alias("uid"), "doc_id", "text")
+    table = item_words(bench.where("item_id = 1")).selectExpr("0L AS item_no", "item", "words")
+    terms = table.select(F.explode("words").alias("term")).distinct()
+    anchors = anchor_runs(table, collection_frequencies(base, terms))
+    assert adjusted_postings(build_index(base, terms), anchors).count() == 2
+
+
+def test_document_passes_do_not_grow_with_the_benchmark(spark, corpus):
+    docs = spark.createDataFrame(corpus[:40], "doc_id bigint, text string")
+
+    def reads(n):
+        rows = [(i, " ".join(f"w{(i * 7 + k) % 5000}" for k in range(60))) for i in range(n)]
+        spark.sparkContext.setJobGroup(f"items-{n}", "")
+        decontaminate(docs, spark.createDataFrame(rows, "item_id bigint, text string")).collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"items-{n}"))
+        spark.sparkContext.setJobGroup("", "")
+        return jobs
+
+    assert reads(400) <= reads(3) + 2
+
+
+def test_hashes_do_not_cancel(spark):
+    """Words that are each other's complement, and equal words around a wide gap."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    big = "w" * 2_000_000
+    rows = [(1, word), (2, other), (3, f"{big} a b c d"), (4, f"{big} {' ' * 6_000_000} A b c d"), (5, "12345678"), (6, "12345679")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 6}
+    hit = decontaminate(docs, spark.createDataFrame([(1, other), (2, "12345679")], "item_id int, text string"))
+    assert {r.doc_id: r.n_items for r in hit.collect()} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 0, 6: 1}
+
+
 def test_against_sql(spark):
     from tests.oracle_compare import compare
 
