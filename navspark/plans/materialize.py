@@ -30,7 +30,7 @@ SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """Queries built inside remove their shuffle files at their end: a stored
     table is read from its files, so nothing asks for the shuffles again."""
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
@@ -57,7 +57,7 @@ def materialize(df: DataFrame) -> DataFrame:
         sc = df.sparkSession.sparkContext
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
-        with _shuffles_removed(df.sparkSession):
+        with shuffles_removed(df.sparkSession):
             return df.select("*").checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -77,7 +77,7 @@ class Stored:
             return
         self._spark = df.sparkSession
         self._path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
-        with _shuffles_removed(self._spark):
+        with shuffles_removed(self._spark):
             df.select("*").write.parquet(self._path)
         self._schema = df.schema
 
