@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from navspark.plans.materialize import shuffles_removed
 from navspark.session import ensure_checkpoint_dir
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -96,8 +97,9 @@ def build_payloads(pages: DataFrame) -> DataFrame:
 
 def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> str:
     """Write the two tables of an archive under a new folder ``path``."""
-    build_records(pages, min_bytes).write.parquet(f"{path}/headers")
-    build_payloads(pages).write.parquet(f"{path}/payloads")
+    with shuffles_removed(pages.sparkSession):
+        build_records(pages, min_bytes).write.parquet(f"{path}/headers")
+        build_payloads(pages).write.parquet(f"{path}/payloads")
     return path
 
 
@@ -125,45 +127,82 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def record_text(records: DataFrame) -> DataFrame:
-    """Each record as WARC text less its last line break: header, block, line break."""
-    block = F.when(F.col("record_type") == "response", F.decode("payload", "UTF-8")).otherwise(F.lit(""))
-    return records.select(F.concat("header", block, F.lit(CRLF)).alias("value"))
+def original_records(spark: SparkSession, path: str) -> DataFrame:
+    """``(page_id, payload_sha256, value)``: every record as it was archived, as WARC
+    text less its last line break: header, block, line break.
+
+    Responses get their block from the payload store, one row of it each;
+    revisits have none, so a payload's copies never multiply its bytes.
+    """
+    headers = spark.read.parquet(f"{path}/headers")
+    payloads = read_payloads(spark, path).withColumnRenamed("payload_sha256", "digest")
+    own = (headers["payload_sha256"] == payloads["digest"]) & (headers["record_type"] == "response")
+    block = F.coalesce(F.decode("payload", "UTF-8"), F.lit(""))
+    return headers.join(payloads, own, "left").select(
+        "page_id", "payload_sha256", F.concat("header", block, F.lit(CRLF)).alias("value")
+    )
+
+
+def parsed_records(records: DataFrame) -> DataFrame:
+    """``header`` and ``block`` (UTF-8 bytes) of each record's ``value``, cut where the
+    header's empty line and its Content-Length say; a record they do not fit fails the job."""
+    end = F.locate(CRLF + CRLF, F.col("value")) + 3
+    cut = records.withColumn("header", F.left("value", end)).withColumn(
+        "block", F.encode(F.regexp_replace(F.expr("substr(value, length(header) + 1)"), r"\r\n\z", ""), "UTF-8")
+    )
+    fits = header_field("Content-Length").cast("bigint") == F.octet_length("block")
+    wrong = F.raise_error(F.lit("record is not as long as its header says"))
+    return cut.withColumn("block", F.when(fits, F.col("block")).otherwise(wrong.cast("binary"))).drop("value")
+
+
+def header_field(name: str) -> Column:
+    """A field of the column ``header``, empty if it is not there."""
+    return F.regexp_extract("header", rf"(?:^|\n){name}: ([^\r\n]*)", 1)
 
 
 def export_warc(spark: SparkSession, path: str, out: str) -> None:
     """WARC files of an archive, written by Spark's text sink: valid for UTF-8 payloads."""
-    record_text(read_records(spark, path)).write.option("lineSep", CRLF).text(out)
+    original_records(spark, path).select("value").write.option("lineSep", CRLF).text(out)
 
 
 def archive_digest(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
-    """Write an archive of ``pages``, read it back, and describe every record from what was read.
-
-    ``payload_bytes`` and ``payload_digest`` are computed from the stored
-    payload and must agree with the record's own header. An empty table gives
-    an empty result; columns other than page_id, url and html are ignored.
+    """Write an archive of ``pages``, rebuild its records, and describe every page from them.
+
+    A response's ``payload_bytes`` and ``payload_digest`` are those of the block
+    cut out of its rebuilt record, a revisit's those of the stored payload it
+    refers to; both must agree with the record's own header. Payloads of any
+    length are stored and read whole; of equal page_ids with equal payloads all
+    are responses. An empty table gives an empty result; columns other than
+    page_id, url and html are ignored. The archive stays at ``folder``.
     """
     spark = pages.sparkSession
     folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write_archive(pages, folder, min_bytes)
     stored = read_payloads(spark, folder).select(
         "payload_sha256",
-        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
-        base32_of_hex(F.sha1("payload")).alias("payload_digest"),
+        F.octet_length("payload").cast("bigint").alias("stored_bytes"),
+        base32_of_hex(F.sha1("payload")).alias("stored_digest"),
+    )
+    parsed = parsed_records(original_records(spark, folder)).select(
+        "page_id",
+        "payload_sha256",
+        "header",
+        F.octet_length("block").cast("bigint").alias("block_bytes"),
+        base32_of_hex(F.sha1("block")).alias("block_digest"),
     )
-    r = spark.read.parquet(f"{folder}/headers").join(stored, "payload_sha256")
-    field = lambda name: F.regexp_extract("header", rf"(?:^|\n){name}: ([^\r\n]*)", 1)
-    agrees = (field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("payload_digest"))) & (
-        field("WARC-Payload-Length").cast("bigint") == F.col("payload_bytes")
+    r = parsed.join(stored, "payload_sha256")
+    is_response = header_field("WARC-Type") == "response"
+    digest = F.when(is_response, F.col("block_digest")).otherwise(F.col("stored_digest"))
+    size = F.when(is_response, F.col("block_bytes")).otherwise(F.col("stored_bytes"))
+    agrees = (header_field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), digest)) & (
+        header_field("WARC-Payload-Length").cast("bigint") == size
     )
-    refers = field("WARC-Refers-To-Page")
+    refers = header_field("WARC-Refers-To-Page")
     return r.select(
         "page_id",
-        "payload_bytes",
-        F.when(agrees, F.col("payload_digest"))
-        .otherwise(F.raise_error(F.lit("record header does not match its payload")))
-        .alias("payload_digest"),
-        field("WARC-Type").alias("record_type"),
+        size.alias("payload_bytes"),
+        F.when(agrees, digest).otherwise(F.raise_error(F.lit("record header does not match its payload"))).alias("payload_digest"),
+        header_field("WARC-Type").alias("record_type"),
         F.when(refers != "", refers.cast(pages.schema["page_id"].dataType)).alias("refers_to"),
     )
 

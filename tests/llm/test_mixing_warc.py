@@ -125,5 +125,18 @@ def test_corruption_is_found(spark, pages, tmp_path):
         warc.read_payloads(spark, f"{tmp_path}/d").select("payload_sha256").collect()
 
 
+def test_records_are_rebuilt_from_both_tables(spark, pages, tmp_path):
+    path = warc.write_archive(pages, str(tmp_path / "r"))
+    rebuilt = warc.original_records(spark, path)
+    parsed = warc.parsed_records(rebuilt).collect()
+    heads = {r.header for r in spark.read.parquet(f"{path}/headers").collect()}
+    assert len(parsed) == len(PAGES) and {r.header for r in parsed} == heads
+    full = {r.payload_sha256: bytes(r.payload) for r in spark.read.parquet(f"{path}/payloads").collect()}
+    for r in parsed:
+        assert bytes(r.block) == (full[r.payload_sha256] if "WARC-Type: response" in r.header else b"")
+    with pytest.raises(PySparkException, match="not as long"):
+        warc.parsed_records(rebuilt.selectExpr("page_id", "payload_sha256", "concat(value, 'x') AS value")).collect()
+
+
 def test_empty(pages, tmp_path):
     assert warc.archive_digest(pages.limit(0), str(tmp_path / "e")).count() == 0
