@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from navspark.llm.packing import quoted
 from navspark.llm.textops import code_points
+from navspark.plans.materialize import broadcast_if_small, materialize
 
 PIECE = 1 << 20
 ORDERS = (1, 2, 3)
@@ -18,15 +21,15 @@ _letters: list[np.ndarray] = []
 
 
 def letter_table() -> np.ndarray:
-    """Whether each code point below 0x32000 is a letter."""
+    """Whether each code point is a letter."""
     if not _letters:
-        _letters.append(np.fromiter((chr(i).isalpha() for i in range(0x32000)), dtype=bool, count=0x32000))
+        n = sys.maxunicode + 1
+        _letters.append(np.fromiter((chr(i).isalpha() for i in range(n)), dtype=bool, count=n))
     return _letters[0]
 
 
 def is_letter(points: np.ndarray) -> np.ndarray:
-    t = letter_table()
-    return t[np.minimum(points, len(t) - 1)]
+    return letter_table()[points]
 
 
 def letters_only(text: str) -> np.ndarray:
@@ -91,3 +94,22 @@ def row_hash(*columns: str) -> Column:
 def below(rate: Column | float, h: Column) -> Column:
     """Whether a row's hash falls into a sample of the given rate."""
     return h < (F.lit(rate) if isinstance(rate, float) else rate) * F.lit(float(1 << 62))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, learn: Column, label: Column, label_col: str, size: int, id_col: str, text_col: str
+) -> DataFrame:
+    """``(text, h, label)``: about ``size`` distinct labelled rows, hash-chosen.
+
+    ``label`` aggregates an id's labels; null labels and ids, and ids where
+    ``learn`` does not hold, are left out. The bound is on rows, not on ids: an
+    id with very many texts gives no more of them than their share.
+    """
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(learn)
+    known = materialize(known.groupBy(F.col(id_col).alias("known_id")).agg(label.alias("label")))
+    rows = docs.select(
+        F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"), row_hash(quoted(id_col), quoted(text_col)).alias("h")
+    )
+    labelled = rows.join(broadcast_if_small(known), F.col("id") == F.col("known_id"))
+    n = labelled.agg(F.approx_count_distinct("h")).first()[0]
+    return labelled.where(below(min(1.0, size / max(n, 1)), F.col("h"))).select("text", "h", "label").dropDuplicates(["h"])

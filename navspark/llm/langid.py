@@ -29,12 +29,14 @@ from navspark.llm.features import (
     row_hash,
 )
 from navspark.llm.shipping import ship
+from navspark.plans.materialize import broadcast_if_small, materialize
 
 FEATURES = 8192
 CENTROIDS = 4
 #: Expected texts per language that k-means is fitted on.
 SAMPLE_PER_LANGUAGE = 400
-MAX_LANGUAGES = 2_000
+#: Centroids held as a dense block at once; more of them are unpacked block by block.
+DENSE_CENTROIDS = 8_192
 ITERATIONS = 12
 #: A text is rejected below this share of the centroid's lowest member cosine (0.5 % quantile).
 REJECT_SHARE = 0.8
@@ -45,10 +47,30 @@ _CHUNK = 64
 @dataclass
 class LanguageModel:
     languages: list[str]  # of each centroid
-    centroids: np.ndarray  # (centroids, FEATURES), unit rows
+    centroids: list[tuple[np.ndarray, np.ndarray]]  # places and values of unit rows of FEATURES
     floors: np.ndarray  # lowest cosine each centroid accepts
     idf: np.ndarray
 
+    def block(self, first: int) -> np.ndarray:
+        """Dense rows of the centroids from ``first`` on, ``DENSE_CENTROIDS`` at most."""
+        part = self.centroids[first : first + DENSE_CENTROIDS]
+        out = np.zeros((len(part), FEATURES), np.float32)
+        for row, (at, x) in zip(out, part, strict=True):
+            row[at] = x
+        return out
+
+
+def nearest(v: np.ndarray, model: LanguageModel, dense: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's centroid of highest cosine (ties: the first) and that cosine."""
+    best, top = np.zeros(len(v), np.int64), np.full(len(v), -np.inf, np.float32)
+    for first in range(0, len(model.centroids), DENSE_CENTROIDS):
+        cos = v @ (dense if dense is not None else model.block(first)).T
+        at = np.argmax(cos, axis=1)
+        high = cos[np.arange(len(v)), at]
+        better = high > top
+        best[better], top[better] = first + at[better], high[better]
+    return best, top
+
 
 def _counts(text: str) -> np.ndarray:
     return ngram_counts(letters_only(text), FEATURES)
@@ -92,32 +114,34 @@ def fit_languages(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_c
     ).where("text IS NOT NULL AND lang IS NOT NULL")
     df, n = document_frequencies(rows.select("text"), _counts, FEATURES)
     idf = inverse_frequencies(df, n)
-    counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
-        return LanguageModel([], np.zeros((0, FEATURES), np.float32), np.zeros(0), idf)
-    rate = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, SAMPLE_PER_LANGUAGE / r["count"])))])
-    sample = rows.where(below(rate[F.col("lang")], F.col("h"))).dropDuplicates(["lang", "h"])
+    counts = materialize(rows.groupBy(F.col("lang").alias("of_lang")).agg((F.lit(float(SAMPLE_PER_LANGUAGE)) / F.count("*")).alias("rate")))
+    rated = rows.join(broadcast_if_small(counts), F.col("lang") == F.col("of_lang"))
+    sample = rated.where(below(F.least(F.col("rate"), F.lit(1.0)), F.col("h"))).select("text", "lang", "h").dropDuplicates(["lang", "h"])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["h", "text"])
         v = vectors(list(pdf["text"]), idf)
         v = v[np.linalg.norm(v, axis=1) > 0]
         if not len(v):
-            return pd.DataFrame({"lang": [], "centroid": [], "floor": []})
+            return pd.DataFrame({"lang": [], "at": [], "x": [], "floor": []})
         c, at = spherical_kmeans(v, CENTROIDS)
         used = [j for j in range(len(c)) if (at == j).any()]
         floors = [float(np.quantile((v[at == j] @ c[j]), 0.005)) for j in used]
-        return pd.DataFrame(
-            {"lang": pdf["lang"].iloc[0], "centroid": [c[j].astype(np.float32).tobytes() for j in used], "floor": floors}
-        )
-
-    fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, centroid binary, floor double").collect()
-    fitted.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
+        rows = [c[j].astype(np.float32) for j in used]
+        places = [np.flatnonzero(r).astype(np.int32) for r in rows]
+        return pd.DataFrame({
+            "lang": pdf["lang"].iloc[0],
+            "at": [p.tobytes() for p in places],
+            "x": [r[p].tobytes() for r, p in zip(rows, places, strict=True)],
+            "floor": floors,
+        })
+
+    # Languages are fitted one a task; a rare one has few texts and so short lists.
+    fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, at binary, x binary, floor double").collect()
+    fitted.sort(key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["x"])))
     return LanguageModel(
         [r["lang"] for r in fitted],
-        np.array([np.frombuffer(bytes(r["centroid"]), np.float32) for r in fitted]).reshape(-1, FEATURES),
+        [(np.frombuffer(bytes(r["at"]), np.int32), np.frombuffer(bytes(r["x"]), np.float32)) for r in fitted],
         np.array([r["floor"] for r in fitted]),
         idf,
     )
@@ -129,8 +153,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     ``score`` is the cosine with the nearest centroid. With ``reject`` a text
     beyond its centroid's reach is ``und``; else only null texts and texts
     without a letter are. Equal cosines go to the first language by name. Null
-    ids are kept, repeated rows give repeated results, other columns are
-    ignored, an empty table gives an empty result, and a model without
+    ids are kept, repeated rows give repeated results, texts of any length are
+    read whole, other columns are ignored, an empty table gives an empty result, and a model without
     languages answers ``und``.
     """
     spark = docs.sparkSession
@@ -140,16 +164,15 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        dense = m.block(0) if len(m.centroids) <= DENSE_CENTROIDS else None
         for batch in batches:
             langs, scores, out_of_reach = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
             held: list[tuple[int, str]] = []
 
             def flush() -> None:
                 v = vectors([t for _, t in held], m.idf)
-                cos = v @ m.centroids.T
-                best = np.argmax(cos, axis=1)
-                for (i, _), j, row in zip(held, best, cos, strict=True):
-                    scores[i] = min(1.0, max(0.0, float(row[j])))
+                for (i, _), j, cos in zip(held, *nearest(v, m, dense), strict=True):
+                    scores[i] = min(1.0, max(0.0, float(cos)))
                     out_of_reach[i] = scores[i] < m.floors[j] * REJECT_SHARE
                     langs[i] = UNDETERMINED if reject and out_of_reach[i] else m.languages[j]
                 held.clear()

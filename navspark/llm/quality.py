@@ -3,8 +3,8 @@
 A text's terms are hashed character 1- to 3-grams (case kept) and a few shape
 terms (word repetition, capitals, punctuation, line and text length). TF-IDF
 weights use document frequencies over all documents; a truncated SVD of a
-bounded sample gives the latent space. A bounded sample of labelled vectors is
-broadcast, and each task multiplies blocks of its documents with all of them:
+bounded sample of labelled texts gives the latent space. The sample's vectors
+are broadcast, and each task multiplies blocks of its documents with all of them:
 exact cosines, no index. Each document's nearest labelled vectors vote with
 their similarity.
 """
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navspark.llm.features import below, document_frequencies, inverse_frequencies, ngram_counts, row_hash
+from navspark.llm.features import document_frequencies, inverse_frequencies, labelled_sample, ngram_counts
 from navspark.llm.shipping import ship
 from navspark.llm.textops import code_points
 
@@ -31,8 +31,7 @@ FEATURES = GRAMS + SHAPES * BINS
 #: Weight of a shape term against the whole of a text's n-grams.
 SHAPE_WEIGHT = 0.5
 DIMENSIONS = 64
-#: Texts the latent space is fitted on, and labelled vectors that vote.
-SPACE_SAMPLE = 3_000
+#: Labelled texts that the latent space is fitted on and that vote.
 LABELLED_SAMPLE = 6_000
 NEIGHBOURS = 15
 SHARPNESS = 8
@@ -94,7 +93,10 @@ def weighted(texts: list[str | None], idf: np.ndarray) -> np.ndarray:
 
 
 def latent(texts: list[str | None], idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    v = weighted(texts, idf) @ basis
+    return unit_rows(weighted(texts, idf) @ basis)
+
+
+def unit_rows(v: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(v, axis=1, keepdims=True)
     return (v / np.where(norm > 0, norm, 1)).astype(np.float32)
 
@@ -137,49 +139,25 @@ def fit_quality(
     df, n = document_frequencies(texts, text_counts, FEATURES)
     idf = inverse_frequencies(df, n)
 
-    h = row_hash(id_col, text_col)
-    some = (
-        docs.select(F.col(text_col).alias("text"), h.alias("h"))
-        .where(F.col("text").isNotNull() & below(min(1.0, SPACE_SAMPLE / max(n, 1)), h))
-        .dropDuplicates(["h"])
-    )
-
     def sparse(batch_texts: list[str]) -> list[pa.Array]:
         v = weighted(batch_texts, idf)
         at = [np.flatnonzero(r) for r in v]
-        return [pa.array(at, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(v, at, strict=True)], pa.list_(pa.float32()))]
+        return [
+            pa.array([i.astype(np.int32).tobytes() for i in at], pa.binary()),
+            pa.array([r[i].tobytes() for r, i in zip(v, at, strict=True)], pa.binary()),
+        ]
 
-    rows = _apply(some, sparse, "h bigint, at array<int>, x array<float>", ["h", "at", "x"]).collect()
-    if not rows:
-        return QualityModel(idf, np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
+    sample = labelled_sample(docs, labels, learn, F.avg(label_col), label_col, LABELLED_SAMPLE, id_col, text_col)
+    rows = _apply(sample, sparse, "h bigint, label double, at binary, x binary", ["h", "label", "at", "x"]).collect()
     rows.sort(key=lambda r: r["h"])
     x = np.zeros((len(rows), FEATURES), dtype=np.float32)
     for i, r in enumerate(rows):
-        x[i, r["at"]] = r["x"]
+        x[i, np.frombuffer(bytes(r["at"]), np.int32)] = np.frombuffer(bytes(r["x"]), np.float32)
+    if not x.any():
+        return QualityModel(idf, np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
     basis = truncated_svd(x, DIMENSIONS)
-
-    known = (
-        labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-        .where(learn)
-        .groupBy(F.col(id_col).alias("_id"))
-        .agg(F.avg(label_col).alias("_label"))
-    )
-    n_known = known.count()
-    rate = min(1.0, LABELLED_SAMPLE / max(n_known, 1))
-    chosen = known.where(below(rate, row_hash("_id")))
-    # Bounded by LABELLED_SAMPLE in expectation, so small enough to broadcast.
-    voters = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"]).select(
-        F.col(text_col).alias("text"), row_hash(id_col, text_col).alias("h"), F.col("_label").alias("label")
-    ).dropDuplicates(["h"])
-
-    def project(batch_texts: list[str]) -> list[pa.Array]:
-        return [pa.array(list(latent(batch_texts, idf, basis)), pa.list_(pa.float32()))]
-
-    got = _apply(voters, project, "h bigint, label double, v array<float>", ["h", "label", "v"]).collect()
-    got.sort(key=lambda r: r["h"])
-    v = np.array([r["v"] for r in got], dtype=np.float32).reshape(len(got), basis.shape[1])
-    y = np.array([r["label"] for r in got])
-    return QualityModel(idf, basis, v, y, float(y.mean()) if len(y) else 0.5)
+    y = np.array([r["label"] for r in rows])
+    return QualityModel(idf, basis, unit_rows(x @ basis), y, float(y.mean()))
 
 
 def vote(v: np.ndarray, model: QualityModel) -> np.ndarray:
@@ -201,8 +179,9 @@ def vote(v: np.ndarray, model: QualityModel) -> np.ndarray:
 
 def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, score)`` for every row. Null and empty texts get the labels' mean;
-    null ids are kept; repeated rows give repeated results; other columns are
-    ignored; an empty table gives an empty result."""
+    null ids are kept; repeated rows give repeated results; texts of any length
+    are read whole; other columns are ignored; an empty table gives an empty
+    result."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from navspark.llm.boosting import BoostedTrees, apply_isotonic, fit_boosting, fit_isotonic
-from navspark.llm.features import below, row_hash
+from navspark.llm.features import labelled_sample
 from navspark.llm.packing import quoted
 from navspark.llm.shipping import ship
 
@@ -32,6 +32,8 @@ LABELLED_SAMPLE = 20_000
 #: Most units of a learned lexicon, and the least toxic texts a unit needs.
 LEARNED_UNITS = 4_000
 LEAST_SUPPORT = 4
+#: Words whose facts a task keeps at hand, and units it counts before it hands them on.
+CACHED_WORDS, HELD_UNITS = 100_000, 250_000
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
 
@@ -134,7 +136,7 @@ def text_features(text: str | None, lexicons: list[dict[str, float]], cache: dic
         if known is False:
             continue
         if known is None:
-            if len(cache) > 500_000:
+            if len(cache) > CACHED_WORDS:
                 cache.clear()
             known = cache[w] = _word_facts(w, lexicons)
             if known is False:
@@ -198,7 +200,7 @@ def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, slot in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             total.update((u, slot) for u in {u for w in set(_WORD.findall((text or "").lower())) for u in units(w)})
             total[("", slot)] += 1
-        if len(total) > 1_000_000:
+        if len(total) > HELD_UNITS:
             yield _unit_batch(total)
             total.clear()
     yield _unit_batch(total)
@@ -223,21 +225,9 @@ def fit_toxicity(
     """
     spark = docs.sparkSession
     ship(spark)
-    docs = docs.select(F.col(id_col), F.col(text_col))
-    known = (
-        labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-        .where(learn)
-        .groupBy(F.col(id_col).alias("_id"))
-        .agg((F.avg(label_col) >= 0.5).cast("int").alias("_label"))
-    )
-    rate = min(1.0, LABELLED_SAMPLE / max(known.count(), 1))
-    chosen = known.where(below(rate, row_hash("_id")))
-    # Bounded by LABELLED_SAMPLE in expectation, so small enough to broadcast.
-    sample = (
-        docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])
-        .select(F.col(text_col).alias("text"), row_hash(id_col, text_col).alias("h"), F.col("_label").alias("label"))
-        .dropDuplicates(["h"])
-        .withColumn("slot", F.col("label") + 2 * F.pmod(F.xxhash64(F.lit(3), "h"), F.lit(2)).cast("int"))
+    label = (F.avg(label_col) >= 0.5).cast("int")
+    sample = labelled_sample(docs, labels, learn, label, label_col, LABELLED_SAMPLE, id_col, text_col).withColumn(
+        "slot", F.col("label") + 2 * F.pmod(F.xxhash64(F.lit(3), "h"), F.lit(2)).cast("int")
     )
     sums = sample.select("text", "slot").mapInArrow(_count_units, "unit string, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
     sums = sums.groupBy("unit").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in range(4)])

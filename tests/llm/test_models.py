@@ -8,7 +8,8 @@ from navspark.llm.boosting import apply_isotonic, fit_boosting, fit_isotonic
 from navspark.llm.features import PIECE, letters_only, ngram_counts
 from navspark.llm.langid import UNDETERMINED, fit_languages, identify, language_digest, spherical_kmeans
 from navspark.llm.quality import fit_quality, quality_digest, score_quality, vote, QualityModel
-from navspark.llm.toxicity import LEXICON, hidden_hits, text_features, toxicity_digest
+from navspark.llm.toxicity import LEXICON, fit_toxicity, hidden_hits, learn_ids, score_toxicity, text_features, toxicity_digest
+from tests.conftest import SF_SMALL
 
 SF = "/root/testdata/sf0.01"
 
@@ -142,3 +143,111 @@ def test_boosting_and_calibration():
     assert brute[1] == 0.0
     assert apply_isotonic(fit_isotonic(np.zeros(0), np.zeros(0)), np.array([3.0]))[0] == 0.5
     assert len(fit_boosting(x, np.zeros(1500)).trees) == 0
+
+
+def plain_grams(text):
+    """Hashed 1- to 3-grams of a text's letters, one by one in Python integers."""
+    low = "".join(c if c.isalpha() else " " for c in text.lower())
+    points = [ord(c) for i, c in enumerate(low) if c != " " or (i and low[i - 1] != " ")]
+    out = {}
+    for n in (1, 2, 3):
+        for i in range(len(points) - n + 1):
+            h = n * 0x27D4EB2F & 0xFFFFFFFF
+            for p, prime in zip(points[i : i + n], (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)):
+                h = (h ^ p) * prime & 0xFFFFFFFF
+                h ^= h >> 15
+            f = (h * 0x2C1B3C6D & 0xFFFFFFFF) >> 19
+            out[f] = out.get(f, 0) + 1
+    return out
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return spark.read.parquet(f"{SF_SMALL}/documents.parquet"), spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+
+
+def test_language_against_brute_force(small, monkeypatch):
+    """Every cosine of every text of the table with every centroid, in plain Python."""
+    import math
+
+    import navspark.llm.langid as langid
+
+    model = fit_languages(small[0], F.lit(True))
+    centroids = [dict(zip(at.tolist(), x.tolist())) for at, x in model.centroids]
+    got = {r.doc_id: r for r in identify(small[0], model, reject=False).collect()}
+    for r in small[0].collect():
+        v = {f: math.log1p(c) * float(model.idf[f]) for f, c in plain_grams(r.text or "").items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id].lang_pred == UNDETERMINED
+            continue
+        cos = [sum(x * c.get(f, 0.0) for f, x in v.items()) / norm for c in centroids]
+        assert abs(got[r.doc_id].score - min(1.0, max(cos))) < 1e-4
+        mine = max(c for c, lang in zip(cos, model.languages) if lang == got[r.doc_id].lang_pred)
+        assert mine >= max(cos) - 1e-5
+    # Blocks of centroids give the same answers as all of them at once.
+    monkeypatch.setattr(langid, "DENSE_CENTROIDS", 3)
+    v = langid.vectors([r.text for r in small[0].limit(40).collect() if r.text], model.idf)
+    dense = np.concatenate([model.block(i) for i in range(0, len(model.centroids), 3)])
+    at, top = langid.nearest(v, model, None)
+    assert (at == np.argmax(v @ dense.T, axis=1)).all() and np.allclose(top, (v @ dense.T).max(axis=1))
+
+
+def test_many_languages_and_letterless_texts(spark):
+    rows = [(i, f"text number {chr(97 + i % 26)} {i}", f"l{i % 2500}", "s") for i in range(5_000)]
+    model = fit_languages(spark.createDataFrame(rows, "doc_id int, text string, lang string, source string"), F.lit(True))
+    assert len(set(model.languages)) == 2500
+    odd = [(1, "\U000F0000\U000E0100 12"), (2, "\U00031350"), (3, "\U0010FFFF")]
+    got = {r.doc_id: r.lang_pred for r in identify(spark.createDataFrame(odd, "doc_id int, text string"), model, reject=False).collect()}
+    assert got[1] == got[3] == UNDETERMINED and got[2] != UNDETERMINED
+
+
+def test_quality_against_brute_force(small):
+    """Each text's similarities with all labelled vectors, sorted and voted one by one."""
+    from navspark.llm.quality import NEIGHBOURS, SHARPNESS, weighted
+
+    model = fit_quality(*small, F.lit(True))
+    got = {r.doc_id: r.score for r in score_quality(small[0], model).collect()}
+    vectors = [[float(x) for x in v] for v in model.vectors]
+    for r in small[0].collect():
+        v = [float(x) for x in (weighted([r.text], model.idf) @ model.basis)[0]]
+        norm = sum(x * x for x in v) ** 0.5
+        if norm:
+            sims = sorted(((sum(a * b for a, b in zip(v, u)) / norm, y) for u, y in zip(vectors, model.labels)), reverse=True)
+            last = sims[min(NEIGHBOURS, len(sims)) - 1][0]
+            voters = [(s**SHARPNESS, y) for s, y in sims if s >= last - 1e-6 and s > 0]
+        total = sum(w for w, _ in voters) if norm else 0
+        expected = sum(w * y for w, y in voters) / total if total else model.prior
+        assert abs(got[r.doc_id] - expected) < 2e-3, r.doc_id
+
+
+def test_toxicity_against_brute_force(small):
+    """Each text's way through every tree, node by node, and the calibration between its knots."""
+    model = fit_toxicity(*small, learn_ids())
+    got = {r.doc_id: r.score for r in score_toxicity(small[0], model).collect()}
+    xs, ys = model.knots
+    for r in small[0].collect():
+        x = text_features(r.text, [model.lexicon], {})[0]
+        margin = model.trees.start
+        for t in model.trees.trees:
+            node = 0
+            while node < len(t.feature):
+                node = 2 * node + (2 if x[t.feature[node]] > t.threshold[node] else 1)
+            margin += model.trees.rate * t.value[node - len(t.feature)]
+        k = max((i for i in range(len(xs)) if xs[i] <= margin), default=None)
+        if k is None or k == len(xs) - 1:
+            expected = ys[0] if k is None else ys[-1]
+        else:
+            expected = ys[k] + (ys[k + 1] - ys[k]) * (margin - xs[k]) / (xs[k + 1] - xs[k])
+        assert abs(got[r.doc_id] - min(1.0, max(0.0, expected))) < 1e-9
+
+
+def test_the_sample_is_of_rows_not_of_ids(spark, monkeypatch):
+    from navspark.llm.features import labelled_sample
+
+    rows = [(1, f"text {i}") for i in range(3_000)] + [(i, "other") for i in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").selectExpr("*", "1 AS h", "2 AS label", "3 AS known_id")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 12)], "doc_id int, quality int")
+    n = labelled_sample(docs, labels, F.lit(True), F.avg("quality"), "quality", 200, "doc_id", "text").count()
+    assert 120 < n < 280
+    assert labelled_sample(docs, labels, F.lit(True), F.avg("quality"), "quality", 10**6, "doc_id", "text").count() == 3_010
