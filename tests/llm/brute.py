@@ -69,3 +69,23 @@ def contaminated(text, items):
 def decontamination_row(text, items):
     n, h, found = hits(text, items)
     return n, h, len(found), hashlib.sha256(",".join(found).encode()).hexdigest(), h > 0 and 20 * h >= n
+
+
+def toxicity_score(model, text):
+    """A text's way through every tree, node by node, and the calibration between its knots."""
+    from navspark.llm.toxicity import text_features
+
+    x = text_features(text, [model.lexicon], {})[0]
+    margin = model.trees.start
+    for t in model.trees.trees:
+        node = 0
+        while node < len(t.feature):
+            node = 2 * node + (2 if x[t.feature[node]] > t.threshold[node] else 1)
+        margin += model.trees.rate * t.value[node - len(t.feature)]
+    xs, ys = model.knots
+    k = max((i for i in range(len(xs)) if xs[i] <= margin), default=None)
+    if k is None or k == len(xs) - 1:
+        score = ys[0] if k is None else ys[-1]
+    else:
+        score = ys[k] + (ys[k + 1] - ys[k]) * (margin - xs[k]) / (xs[k + 1] - xs[k])
+    return min(1.0, max(0.0, score))

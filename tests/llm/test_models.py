@@ -10,6 +10,7 @@ from navspark.llm.langid import UNDETERMINED, fit_languages, identify, language_
 from navspark.llm.quality import fit_quality, quality_digest, score_quality, vote, QualityModel
 from navspark.llm.toxicity import LEXICON, fit_toxicity, hidden_hits, learn_ids, score_toxicity, text_features, toxicity_digest
 from tests.conftest import SF_SMALL
+from tests.llm.brute import toxicity_score
 
 SF = "/root/testdata/sf0.01"
 
@@ -225,21 +226,8 @@ def test_toxicity_against_brute_force(small):
     """Each text's way through every tree, node by node, and the calibration between its knots."""
     model = fit_toxicity(*small, learn_ids())
     got = {r.doc_id: r.score for r in score_toxicity(small[0], model).collect()}
-    xs, ys = model.knots
     for r in small[0].collect():
-        x = text_features(r.text, [model.lexicon], {})[0]
-        margin = model.trees.start
-        for t in model.trees.trees:
-            node = 0
-            while node < len(t.feature):
-                node = 2 * node + (2 if x[t.feature[node]] > t.threshold[node] else 1)
-            margin += model.trees.rate * t.value[node - len(t.feature)]
-        k = max((i for i in range(len(xs)) if xs[i] <= margin), default=None)
-        if k is None or k == len(xs) - 1:
-            expected = ys[0] if k is None else ys[-1]
-        else:
-            expected = ys[k] + (ys[k + 1] - ys[k]) * (margin - xs[k]) / (xs[k + 1] - xs[k])
-        assert abs(got[r.doc_id] - min(1.0, max(0.0, expected))) < 1e-9
+        assert abs(got[r.doc_id] - toxicity_score(model, r.text)) < 1e-9
 
 
 def test_the_sample_is_of_rows_not_of_ids(spark, monkeypatch):

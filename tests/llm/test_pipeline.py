@@ -4,9 +4,9 @@ import corpus_pipeline as cp
 import pytest
 from pyspark.sql import functions as F
 
-from navspark.llm.toxicity import THRESHOLD, fit_toxicity, learn_ids, score_toxicity
+from navspark.llm.toxicity import THRESHOLD, fit_toxicity, learn_ids
 from tests.conftest import SF_SMALL
-from tests.llm.brute import components, contaminated, shingles
+from tests.llm.brute import components, contaminated, shingles, toxicity_score
 from tests.llm.test_spans import base_pii
 
 
@@ -33,7 +33,7 @@ def test_names_and_columns(steps):
 def test_toxicity_rejects(spark, steps):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     model = fit_toxicity(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"), learn_ids())
-    bad = {r.doc_id for r in score_toxicity(docs, model).where(F.col("score") >= THRESHOLD).collect()}
+    bad = {r.doc_id for r in docs.collect() if toxicity_score(model, r.text) >= THRESHOLD}
     assert bad and set(ids(steps[1])) == set(ids(steps[0])) - bad
 
 
@@ -93,3 +93,39 @@ def test_rows_with_null_and_repeated_ids_are_judged_by_text(spark):
     rows = [(7, near), (7, clean), (8, near), (None, near), (None, "x y"), (None, "x y"), (None, None), (None, None), (9, None), (9, None)]
     want = [("7", near), ("7", clean), ("9", "None"), ("None", "None"), ("None", "None"), ("None", "x y")]
     assert left(cp.near_dedup, rows) == want
+
+
+#: Names that operators and stages use inside, and one column each of a type that has no order.
+INNER = (
+    "toxicity _text score row uid id text_ _source _draw cdf parts draw of_source source_ rate salt gone number n n_shingles "
+    "component_id keeper kept copy copies shuffle_key label h slot known_id term item_no words postings place lo hi _uid _again a.b `x`"
+).split()
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    """Documents with nulls, repeats and copies beside columns of every inner name."""
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text), (1, text), (2, text + " eleven"), (3, None), (3, None), (None, "x y"), (None, None), (4, ""), (5, "other words here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    extra = [F.map_from_arrays(F.array(F.lit("k")), F.array(F.col("doc_id"))).alias(c) for c in INNER]
+    return docs.select("*", *extra)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in cp.STAGES])
+def test_extra_columns_of_any_name_pass(spark, clashing, name, tmp_path):
+    stage = dict(cp.STAGES)[name]
+    out = stage(spark, clashing, SF_SMALL)
+    plain = stage(spark, clashing.select("doc_id", "text", "lang", "source", "n_chars"), SF_SMALL)
+    added = ["copy", "copies", "shuffle_key"] if name == "mixing" else []
+    assert out.columns == [c for c in clashing.columns if c not in added] + added
+    rows, bare = (sorted((str(r["doc_id"]), str(r["text"])) for r in d.collect()) for d in (out, plain))
+    assert rows == bare
+    out.drop("a.b").write.parquet(str(tmp_path / "out"))
+    assert stage(spark, clashing.limit(0), SF_SMALL).collect() == []
+
+
+def test_near_dedup_keeps_one_of_equal_rows(spark, clashing):
+    kept = [(r.doc_id, r.text) for r in cp.near_dedup(spark, clashing, SF_SMALL).collect()]
+    text = "one two three four five six seven eight nine ten"
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, text), (3, None), (4, ""), (5, "other words here"), (None, "x y"), (None, None)]))
