@@ -38,8 +38,10 @@ from navspark.plans.materialize import Stored
 WORDS = 5
 PERCENT = 75
 MARGIN = 4.5 * math.sqrt(0.75 * 0.25 / minhash.REGISTERS)
-TILE = 128
-BLOCK_DOCS = 192
+#: Members of a bucket that one task compares with one another: up to so many, a
+#: sketch travels once for each of its open buckets.
+TILE = 1024
+BLOCK_DOCS = 1024
 BLOCK_SHINGLES = 200_000
 
 SKETCH_SCHEMA = "doc_id bigint, n bigint, digest binary, bands array<bigint>"
@@ -282,15 +284,20 @@ def _links(base: DataFrame, classes: DataFrame, tables: Tables) -> DataFrame:
     text = base.join(wanted, base["doc_id"] == wanted["node"]).select("node", "text", "digest")
     sets = tables.keep(text.mapInArrow(_set_batches, SET_SCHEMA))
 
+    starlinks = tables.keep(_confirmed(likely, sets))
+    return starlinks.union(_residual_links(starred, sketches, sets, tables.components(starlinks), tables))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``(node, hub)`` that are links on their full sets, as ``(u, v)``."""
     both = F.size(F.array_intersect("shingles", "hub_shingles"))
     union = F.size("shingles") + F.size("hub_shingles") - both
-    starlinks = tables.keep(
-        likely.join(sets, "node")
+    return (
+        pairs.join(sets, "node")
         .join(sets.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles")), "hub")
         .where(100 * both >= PERCENT * union)
         .select(F.col("node").alias("u"), F.col("hub").alias("v"))
     )
-    return starlinks.union(_residual_links(starred, sketches, sets, tables.components(starlinks), tables))
 
 
 def _residual_links(

@@ -191,6 +191,30 @@ def test_document_passes_do_not_grow_with_the_benchmark(spark, corpus):
     assert reads(400) <= reads(3) + 2
 
 
+def test_rows_of_large_groups_grow_linearly(spark, monkeypatch):
+    """Near copies of one text, most pairs below the threshold, so that all must be compared."""
+    import random
+
+    import navspark.llm.neardup as n
+
+    seen = []
+    real = n._shuffled
+    monkeypatch.setattr(n, "_shuffled", lambda df, key: (seen.append(df.count()), real(df, key))[1])
+
+    def rows(count):
+        rng, docs = random.Random(5), []
+        for i in range(count):
+            words = [f"w{k}" for k in range(60)]
+            for _ in range(2):
+                words[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+            docs.append((i, " ".join(words)))
+        seen.clear()
+        near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+        return seen[0]
+
+    assert rows(4_000) <= 4.4 * rows(1_000)
+
+
 def test_hashes_do_not_cancel(spark):
     """Words that are each other's complement, and equal words around a wide gap."""
     word = "a"
