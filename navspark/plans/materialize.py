@@ -66,24 +66,29 @@ class Stored:
     """A table written to the checkpoint folder, with :meth:`drop` for when it is consumed.
 
     For loops whose every round makes a table that the next one consumes. The
-    files are ordinary parquet, so Spark knows their size.
+    files are ordinary parquet, so Spark knows their size; a table of long
+    arrays or texts (``wide``) is a checkpoint instead, which is written row by
+    row and not gathered in the memory of a column writer.
     """
 
-    def __init__(self, df: DataFrame) -> None:
-        self._plain = None
+    def __init__(self, df: DataFrame, wide: bool = False) -> None:
+        self._spark, self._schema = df.sparkSession, df.schema
         folder = checkpoint_dir(df)
-        if not folder:
-            self._path, self._plain = None, materialize(df)
-            return
-        self._spark = df.sparkSession
-        self._path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
-        with shuffles_removed(self._spark):
-            df.select("*").write.parquet(self._path)
-        self._schema = df.schema
+        self._plain = materialize(df) if wide or not folder else None
+        self._path = None
+        if self._plain is None:
+            self._path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+            with shuffles_removed(self._spark):
+                df.select("*").write.parquet(self._path)
+        elif folder:
+            file = self._plain._jdf.logicalPlan().rdd().getCheckpointFile()
+            self._path = file.get() if file.isDefined() else None
 
     @property
     def df(self) -> DataFrame:
-        return self._plain if self._path is None else self._spark.read.schema(self._schema).parquet(self._path)
+        if self._plain is not None:
+            return self._plain
+        return self._spark.read.schema(self._schema).parquet(self._path)
 
     def drop(self) -> None:
         if self._path is None:

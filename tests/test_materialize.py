@@ -33,3 +33,10 @@ def test_a_consumed_table_is_deleted(spark):
     empty = Stored(spark.createDataFrame([], "a long"))
     assert empty.df.collect() == [] and empty.df.columns == ["a"]
     empty.drop()
+
+
+def test_a_wide_table_is_a_checkpoint_that_can_be_deleted(spark):
+    t = Stored(spark.range(50).selectExpr("id", "sequence(0, id) AS many"), wide=True)
+    assert t.df.count() == 50 and os.path.exists(t._path.removeprefix("file:"))
+    t.drop()
+    assert not os.path.exists(t._path.removeprefix("file:"))
