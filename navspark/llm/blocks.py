@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,3 +39,19 @@ def list_values(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndar
     offsets = a.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
     values = a.values.to_numpy(zero_copy_only=False)
     return values[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, giving memory back to the system when its task ends: Python workers
+    are kept for later tasks and would hold what the largest batch took."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from navspark.llm.blocks import frugal
 from navspark.llm.packing import identity, quoted
 from navspark.llm.shipping import ship
 from navspark.llm.textops import ALPHANUMERIC, utf8_slices, word_bounds, word_hashes
@@ -98,7 +99,7 @@ def collection_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     def counts(found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["term", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    rows = docs.select("text").mapInArrow(frugal(run), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     return terms.join(rows, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -170,7 +171,7 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("uid", "doc_id", "text").mapInArrow(
-        run, f"uid string, doc_id {kind}, n_words bigint, postings array<struct<term:bigint,s:bigint,e:bigint>>"
+        frugal(run), f"uid string, doc_id {kind}, n_words bigint, postings array<struct<term:bigint,s:bigint,e:bigint>>"
     )
 
 
@@ -282,7 +283,7 @@ def confirm(docs: DataFrame, candidates: DataFrame, items: DataFrame) -> DataFra
                 )
 
     text = docs.join(broadcast_if_small(materialize(grouped)), "uid").select("uid", "text", "places")
-    return text.mapInArrow(run, "uid string, runs array<struct<s:bigint,e:bigint>>, items array<string>").dropDuplicates(["uid"])
+    return text.mapInArrow(frugal(run), "uid string, runs array<struct<s:bigint,e:bigint>>, items array<string>").dropDuplicates(["uid"])
 
 
 def covered(runs: Column) -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from navspark.llm import minhash
-from navspark.llm.blocks import consecutive_groups, list_values
+from navspark.llm.blocks import consecutive_groups, frugal, list_values
 from navspark.llm.components import components_table
 from navspark.llm.shipping import ship
 from navspark.llm.textops import NOT_SPACE, shingle_hashes, utf8_slices, word_bounds, word_hashes
@@ -201,8 +201,8 @@ class Tables:
     def __init__(self) -> None:
         self._all: list[Stored] = []
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        self._all.append(Stored(df))
+    def keep(self, df: DataFrame, wide: bool = False) -> DataFrame:
+        self._all.append(Stored(df, wide))
         return self._all[-1].df
 
     def components(self, edges: DataFrame) -> DataFrame:
@@ -226,14 +226,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     ship(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = Stored(base.mapInArrow(_sketch_batches, SKETCH_SCHEMA)).df
+    signed = Stored(base.mapInArrow(frugal(_sketch_batches), SKETCH_SCHEMA), wide=True).df
     full = signed.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
 
     tables = Tables()
     classes = tables.keep(
         full.groupBy("digest").agg(
             F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands")
-        )
+        ),
+        wide=True,
     )
     links = _links(base, classes, tables)
     member = full.join(classes.select("digest", "node"), "digest")
@@ -282,7 +283,7 @@ def _links(base: DataFrame, classes: DataFrame, tables: Tables) -> DataFrame:
 
     wanted = buckets.select("node").distinct().join(classes.select("node", "digest"), "node")
     text = base.join(wanted, base["doc_id"] == wanted["node"]).select("node", "text", "digest")
-    sets = tables.keep(text.mapInArrow(_set_batches, SET_SCHEMA))
+    sets = tables.keep(text.mapInArrow(frugal(_set_batches), SET_SCHEMA), wide=True)
 
     starlinks = tables.keep(_confirmed(likely, sets))
     return starlinks.union(_residual_links(starred, sketches, sets, tables.components(starlinks), tables))
@@ -358,11 +359,11 @@ def _residual_links(
         "node", F.explode(F.when(F.col("major"), of_major).otherwise(F.concat(with_minor, with_major))).alias("tile")
     )
     tiles = tiles.join(nodes, "node").join(sketches.select("node", "bands"), "node")
-    pairs = _shuffled(tiles, "tile").mapInArrow(_block_pairs, "a bigint, b bigint").distinct()
+    pairs = _shuffled(tiles, "tile").mapInArrow(frugal(_block_pairs), "a bigint, b bigint").distinct()
 
     pairs = tables.keep(pairs).withColumn("tile", F.xxhash64("a", "b"))
     held = pairs.select("tile", F.col("a").alias("blk")).union(
         pairs.where("a <> b").select("tile", F.col("b").alias("blk"))
     )
     exact = held.join(nodes, "blk").select("tile", "node", "component").join(sets, "node")
-    return _shuffled(exact, "tile").mapInArrow(_block_links, "u bigint, v bigint")
+    return _shuffled(exact, "tile").mapInArrow(frugal(_block_links), "u bigint, v bigint")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from navspark.llm.boosting import BoostedTrees, apply_isotonic, fit_boosting, fit_isotonic
+from navspark.llm.blocks import frugal
 from navspark.llm.features import labelled_sample
 from navspark.llm.packing import quoted
 from navspark.llm.shipping import ship
@@ -229,7 +230,7 @@ def fit_toxicity(
     sample = labelled_sample(docs, labels, learn, label, label_col, LABELLED_SAMPLE, id_col, text_col).withColumn(
         "slot", F.col("label") + 2 * F.pmod(F.xxhash64(F.lit(3), "h"), F.lit(2)).cast("int")
     )
-    sums = sample.select("text", "slot").mapInArrow(_count_units, "unit string, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    sums = sample.select("text", "slot").mapInArrow(frugal(_count_units), "unit string, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
     sums = sums.groupBy("unit").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in range(4)])
     rows = sums.where(f"unit = '' OR s1 + s3 >= {LEAST_SUPPORT}").collect()
     sizes = next((np.array([r["s0"], r["s1"], r["s2"], r["s3"]], float) for r in rows if r["unit"] == ""), np.zeros(4))
@@ -250,7 +251,7 @@ def fit_toxicity(
                 [batch.column(1), batch.column(2), pa.array(out, pa.list_(pa.float64()))], names=["slot", "h", "x"]
             )
 
-    got = sample.select("text", "slot", "h").mapInArrow(featurise, "slot int, h bigint, x array<double>").collect()
+    got = sample.select("text", "slot", "h").mapInArrow(frugal(featurise), "slot int, h bigint, x array<double>").collect()
     got.sort(key=lambda r: r["h"])
     x = np.array([r["x"] for r in got]).reshape(-1, FEATURES)
     y = np.array([r["slot"] % 2 for r in got], float)
@@ -290,7 +291,7 @@ def score_toxicity(
 
     rows = docs.select(F.col(quoted(text_col)).alias("text"), passed)
     schema = T.StructType([rows.schema.fields[1], T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(make, schema)
+    return rows.mapInArrow(frugal(make), schema)
 
 
 def learn_ids(id_col: str = "doc_id") -> Column:
