@@ -37,12 +37,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local runs, tests) is a folder of our own set:
-    ``fallback`` or a fresh temporary folder on this machine.
+    Only when it is unset is a folder of our own set: ``fallback``, or in a
+    local session (tests) a fresh temporary folder on this machine. On a
+    cluster executors would not share that one, so there it is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not fallback and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = fallback or tempfile.mkdtemp(prefix="navspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
