@@ -199,8 +199,9 @@ def near_vectors(
     more. Null, empty, zero and non-finite vectors, null labels and null ids
     link with nothing (a null id: component null, kept). Repeated rows are
     vectors of their own that link with each other; ``kept`` then holds for
-    every row with the component's id. Other columns are ignored, so their
-    names cannot clash. Empty in, empty out.
+    every row with the component's id. Links have no direction, so equal
+    cosines are no ties. Other columns are ignored, so their names cannot
+    clash. Empty in, empty out.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -208,12 +209,15 @@ def near_vectors(
         F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).alias("embedding"), F.col(label_col).alias("label")
     )
     good = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & _valid(F.col("embedding"))
-    base = base.withColumn("cid", F.when(good, F.xxhash64("label", "embedding", F.size("embedding"))))
+    # Rows find their class by 128 bits; within the index a class is a number.
+    key = [F.xxhash64("label", "embedding", F.size("embedding")), F.xxhash64(F.lit(1), F.size("embedding"), "embedding", "label")]
+    base = base.withColumns({"k1": F.when(good, key[0]), "k2": F.when(good, key[1])})
     classes = materialize(
-        base.where("cid IS NOT NULL")
-        .groupBy("cid", "label", "embedding")
+        base.where("k1 IS NOT NULL")
+        .groupBy("k1", "k2", "label", "embedding")
         .agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"))
     )
+    classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()))
     size = classes.agg(F.count("*"), F.countDistinct("label"), F.max(F.size("embedding"))).first()
     index = fit_index(classes, size[0], size[1], max(int(size[2] or 1), 2), threshold, target_recall)
     entries = materialize(index_entries(classes, index))
@@ -250,11 +254,11 @@ def near_vectors(
 
     links = found.groupBy("cid").agg(F.sum("n").alias("others"))
     comps = connected_components(found.select(F.col("cid").alias("u"), F.col("label").alias("v")))
-    named = classes.select("cid", "copies", "first").join(comps.withColumnRenamed("node", "cid"), "cid", "left")
+    named = classes.select("cid", "k1", "k2", "copies", "first").join(comps.withColumnRenamed("node", "cid"), "cid", "left")
     named = named.withColumn("component", F.coalesce("component", "cid"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     result = named.join(smallest, "component").join(links, "cid", "left")
-    r = base.select("vec_id", "cid").join(result.select("cid", "copies", "others", "component_id"), "cid", "left")
+    r = base.select("vec_id", "k1", "k2").join(result.select("k1", "k2", "copies", "others", "component_id"), ["k1", "k2"], "left")
     component = F.coalesce("component_id", "vec_id")
     return r.select(
         "vec_id",

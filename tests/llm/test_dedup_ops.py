@@ -289,6 +289,21 @@ def test_near_vectors(spark):
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == want
 
 
+def test_equal_hashes_are_not_equal_vectors(spark, monkeypatch):
+    """With one half of the identity forced to collide, vectors stay apart."""
+    import navspark.llm.embdup as e
+
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(8).tolist(), 1) for i in range(40)] + [(40, None, 1)]
+    rows += [(50 + i, rows[i][1], 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    real = e.F.xxhash64
+    collide = lambda *c: e.F.lit(7).cast("bigint") if isinstance(c[0], str) and c[0] == "label" else real(*c)
+    monkeypatch.setattr(e.F, "xxhash64", collide)
+    got = {r.vec_id: r.component_id for r in near_vectors(df).collect()}
+    assert got == {i: i for i in range(41)} | {50 + i: i for i in range(5)}
+
+
 def test_multi_index_recall(spark):
     """Recall against brute force on the whole table, above the 0.9 asked for (1 by construction)."""
     df = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
