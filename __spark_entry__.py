@@ -25,12 +25,17 @@ from navspark.operators.pivot import pivot_nav
 from navspark.operators.selection import nav_range, top_nav
 from navspark.operators.windows import returns, rolling_metrics
 from navspark.sources.catalogue import read_schemes
-from navspark.sources.payload import read_nav, scheme_payload
+from navspark.plans.pipeline import run_pipeline
+from navspark.sources.payload import read_nav, rejected_payloads, scheme_payload
+from navspark.sources.sinks import read_nav_table, write_nav
 from navspark.sources.tables import (
+    land_documents,
     landed_catalogue,
     landed_payloads,
+    landing_folder,
     nav_by_brand,
     nav_by_part,
+    payload_documents,
     scheme_catalogue,
     table,
 )
@@ -236,6 +241,53 @@ def q_scan_schemes_split(spark, sf):
     return read_schemes(spark, root, split_documents=True)
 
 
+def _half_truncated(spark, sf):
+    # Documents of every brand; those of even codes lose their end.
+    docs = payload_documents(nav_by_brand(spark, sf), period="yyyy")
+    cut = F.expr("left(value, length(value) - 5)")
+    even = F.col("scheme_code").cast("int") % 2 == 0
+    return land_documents(docs.withColumn("value", F.when(even, cut).otherwise(F.col("value"))))
+
+
+def q_rejected_payloads(spark, sf):
+    # Landed documents that cannot be read, per scheme and year.
+    found = rejected_payloads(spark, _half_truncated(spark, sf))
+    day = F.try_to_date(F.regexp_extract("payload", '"date":"([0-9-]+)"', 1), "dd-MM-yyyy")
+    return found.groupBy("scheme_code", F.date_format(day, "yyyy").alias("period")).agg(F.count("*").alias("n"))
+
+
+def q_nav_beside_rejects(spark, sf):
+    # What is read beside them.
+    return read_nav(spark, _half_truncated(spark, sf), split_documents=True)
+
+
+def q_nav_table(spark, sf):
+    # The stored NAV table, partitioned by year, read back between two dates.
+    path = landing_folder(spark, "nav")
+    write_nav(nav_by_brand(spark, sf), path)
+    return read_nav_table(spark, path, *RANGE)
+
+
+def _tiers(spark, sf):
+    return run_pipeline(
+        spark,
+        landed_catalogue(scheme_catalogue(spark, sf)),
+        landed_payloads(nav_by_brand(spark, sf)),
+        landing_folder(spark, "tiers"),
+        mapping=_brand_names(spark, sf),
+        keyword=SEARCH_KEYWORD,
+        scheme_type=None,
+    )
+
+
+def q_pipeline_performance(spark, sf):
+    # Landed files through every tier; the metrics tier, reread.
+    return _round(
+        _tiers(spark, sf)["performance"],
+        ["avg_nav", "nav_volatility", "total_return_pct", "max_fluctuation_pct", "annualized_return_pct"],
+    )
+
+
 def _brand_names(spark, sf):
     # code -> fund-name mapping frame for every brand in ``part``.
     return table(spark, sf, "part").select(
@@ -451,6 +503,10 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nav_from_json": q_nav_from_json,
         "nav_from_json_split": q_nav_from_json_split,
         "nav_multi": q_nav_multi,
+        "rejected_payloads": q_rejected_payloads,
+        "nav_beside_rejects": q_nav_beside_rejects,
+        "nav_table": q_nav_table,
+        "pipeline_performance": q_pipeline_performance,
         "nav_union": q_nav_union,
         "top_nav": q_top_nav,
         "scan_schemes": q_scan_schemes,
@@ -499,6 +555,17 @@ m AS (SELECT replace(p_brand, 'Brand#', '') AS scheme_code, min('Fund ' || p_bra
 SELECT n.date, n.nav, n.scheme_code, m.scheme_name
 FROM nav n JOIN m ON n.scheme_code = m.scheme_code
 WHERE n.date >= {_iso(MULTI_RANGE[0])} AND n.date <= {_iso(MULTI_RANGE[1])}""",
+        "rejected_payloads": f"""
+WITH {NAV_BRAND}
+SELECT scheme_code, strftime(date, '%Y') AS period, CAST(1 AS BIGINT) AS n
+FROM nav WHERE CAST(scheme_code AS INTEGER) % 2 = 0 GROUP BY scheme_code, strftime(date, '%Y')""",
+        "nav_beside_rejects": f"""
+WITH {NAV_BRAND}
+SELECT date, nav, scheme_code, CAST(NULL AS VARCHAR) AS scheme_name FROM nav WHERE CAST(scheme_code AS INTEGER) % 2 = 1""",
+        "nav_table": f"""
+WITH {NAV_BRAND}
+SELECT date, nav, scheme_code, scheme_name FROM nav WHERE date >= {_iso(RANGE[0])} AND date <= {_iso(RANGE[1])}""",
+        "pipeline_performance": _metrics_sql(NAV_BRAND.replace("p_brand AS scheme_name", "'Fund ' || p_brand AS scheme_name")),
         "nav_union": f"""
 WITH {NAV_BRAND}, {NAV_PART.replace("nav AS (", "navp AS (", 1)}
 SELECT date, nav, scheme_code, scheme_name FROM nav

@@ -85,7 +85,7 @@ def scheme_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landing_folder(spark: SparkSession, kind: str) -> str:
+def landing_folder(spark: SparkSession, kind: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{kind}-{uuid.uuid4().hex}"
 
 
@@ -94,16 +94,20 @@ def landed_payloads(nav: DataFrame, period: str | None = "yyyy") -> str:
     document per file, under the session's shared checkpoint folder; returns
     the root. Whole table, every point; documents hold a ``period`` (None: all
     dates)."""
-    root = _landing_folder(nav.sparkSession, "payloads")
-    docs = payload_documents(nav, period=period).select("scheme_code", "value")
-    docs.write.partitionBy("scheme_code").option("maxRecordsPerFile", 1).text(root)
+    return land_documents(payload_documents(nav, period=period))
+
+
+def land_documents(docs: DataFrame) -> str:
+    """Write documents (``scheme_code, value``) as landed files; returns the root."""
+    root = landing_folder(docs.sparkSession, "payloads")
+    docs.select("scheme_code", "value").write.partitionBy("scheme_code").option("maxRecordsPerFile", 1).text(root)
     return root
 
 
 def landed_catalogue(catalogue: DataFrame, per_document: int = 5_000) -> str:
     """Write a catalogue as landed documents (JSON arrays of about
     ``per_document`` schemes, one per file); returns the folder."""
-    root = _landing_folder(catalogue.sparkSession, "catalogue")
+    root = landing_folder(catalogue.sparkSession, "catalogue")
     n = max(1, -(-catalogue.count() // per_document))
     part = F.pmod(F.xxhash64(*catalogue.columns), F.lit(n)).alias("part")
     docs = catalogue.groupBy(part).agg(
