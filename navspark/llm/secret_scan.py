@@ -60,6 +60,15 @@ _NEAR_WORD = (
     rf"(?:(?={_PART}{{0,{ALLOW_REACH}}}{ALLOW_WORDS})|(?<=(?={ALLOW_WORDS}){_PART}{{1,{ALLOW_REACH + 10}}})){_PART}"
 )
 KINDS = ("assign", "access", "hex", *CLASSES)
+#: The class whose characters hold the other's and those of hex and access spans.
+_WIDEST = "entropy_base64"
+
+# A maximal run shorter than the minimum holds no longer one, so the minimum can
+# stand in the pattern.
+_ACCESS_SPAN = f"{ACCESS[:-1]}{{{ACCESS_MIN - 4},}}+"
+_HEX_RUN = f"(?<![0-9a-f]){HEX[:-1]}{{{HEX_MIN},}}+"
+#: An access span and what a hex span that begins in its last digits has beyond it.
+_ACCESS_RUN = _ACCESS_SPAN + rf"(?:(?<=(?=[0-9a-f]{{{HEX_MIN}}})[0-9]{{1,{HEX_MIN}}})[a-f][0-9a-f]*+)?"
 
 
 def _plogp() -> Column:
@@ -114,50 +123,102 @@ def hot_window(value: Column, threshold: float, window: int = WINDOW) -> Column:
     return F.aggregate(moves, start, step, lambda st: F.struct(st["first"], st["last"], st["best"]))
 
 
-def _blanked(value: Column) -> Column:
-    """``value`` with spaces for what the allow-list names."""
+def _blank_matches(value: Column, pattern: str) -> Column:
+    """``value`` with spaces for the matches of ``pattern``."""
 
     def without(m: Column) -> Column:
-        gaps = F.split(value, ALLOW, -1)
+        gaps = F.split(value, pattern, -1)
         blank = F.zip_with(gaps, m, lambda g, v: F.concat(g, F.repeat(F.lit(" "), F.coalesce(F.length(v), F.lit(0)))))
         return F.when(F.size(m) > 0, F.array_join(blank, "")).otherwise(value)
 
-    left = let(F.regexp_extract_all(value, F.lit(ALLOW), F.lit(0)), without)
+    return let(F.regexp_extract_all(value, F.lit(pattern), F.lit(0)), without)
+
+
+def _blanked(value: Column) -> Column:
+    """``value`` with spaces for what the allow-list names."""
     return let(
-        left, lambda v: F.when(v.rlike(ALLOW_WORDS), F.regexp_replace(v, _NEAR_WORD, " ")).otherwise(v)
+        _blank_matches(value, ALLOW),
+        lambda v: F.when(v.rlike(ALLOW_WORDS), F.regexp_replace(v, _NEAR_WORD, " ")).otherwise(v),
     )
 
 
-def _less_spans(s: Column, spans: Column) -> Column:
-    """The value of ``s`` with spaces where ``spans`` (over the same text) lie."""
+def _less_base(runs: Column, assign: Column) -> Column:
+    """``runs`` of the widest class with spaces in their values where base spans lie.
 
-    def cut(v: Column, b: Column) -> Column:
+    A hex or access span lies inside one run, so the run's own matches are
+    blanked. An assignment may cover several runs: the two sorted lists are
+    merged by position, which gives each run the number of assignments that
+    start before it. Of those only the last can reach into the run, and those that
+    start inside it stand between its number and the next run's. Every step is
+    linear in the text but for the sort.
+    """
+
+    def cut(v: Column, s: Column, b: Column) -> Column:
         start = F.greatest(b["start"], s["start"])
         n = (F.least(b["end"], s["end"]) - start).cast("int")
-        return F.overlay(v, F.repeat(F.lit(" "), n), (start - s["start"] + 1).cast("int"), n)
+        return F.when(n > 0, F.overlay(v, F.repeat(F.lit(" "), n), (start - s["start"] + 1).cast("int"), n)).otherwise(v)
+
+    def numbered(p: Column) -> Column:
+        marks = F.array_sort(
+            F.concat(
+                F.transform(p["r"], lambda s: F.struct(s["start"].alias("at"), F.lit(0).alias("of"))),
+                F.transform(p["a"], lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("of"))),
+            )
+        )
+        places = F.filter(F.transform(marks, lambda m, i: F.when(m["of"] == 0, i)), lambda i: i.isNotNull())
+        return F.struct(p["r"].alias("r"), p["a"].alias("a"), F.transform(places, lambda i, j: i - j).alias("before"))
+
+    def blank(q: Column) -> Column:
+        def one(s: Column, j: Column) -> Column:
+            c = F.get(q["before"], j)
+            upto = F.coalesce(F.get(q["before"], j + 1), F.size(q["a"]))
+            first = F.greatest(c - 1, F.lit(0))
+            inside = let(_blank_matches(s["value"], _ACCESS_RUN), lambda v: _blank_matches(v, _HEX_RUN))
+            left = F.aggregate(F.slice(q["a"], first + 1, upto - first), inside, lambda v, b: cut(v, s, b))
+            return F.struct(s["start"].alias("start"), left.alias("value"))
 
-    over = F.filter(spans, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return F.aggregate(over, s["value"], cut)
+        return F.transform(q["r"], one)
 
+    return let(F.struct(runs.alias("r"), assign.alias("a")), lambda p: let(numbered(p), blank))
 
-def _entropy_spans(text: Column, base: Column, kind: str) -> Column:
-    chars, threshold = CLASSES[kind]
-    run = f"(?<![{chars}])[{chars}]{{{WINDOW},}}+"
 
-    def mixed(spans: Column) -> Column:
-        # Secrets mix letters and digits; words, rulers and numbers don't.
-        return F.filter(spans, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
+def _mixed(spans: Column) -> Column:
+    # Secrets mix letters and digits; words, rulers and numbers don't.
+    return F.filter(spans, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
 
-    def pieces(s: Column) -> Column:
-        left = let(_less_spans(s, base), lambda v: let(_blanked(v), lambda w: regex_spans(w, run)))
+
+def _run(kind: str) -> str:
+    chars = CLASSES[kind][0]
+    return f"(?<![{chars}])[{chars}]{{{WINDOW},}}+"
+
+
+def _own_runs(left: Column, kind: str) -> Column:
+    """A narrower class is judged by its own runs, also where the allow-list looks around."""
+
+    def within(s: Column) -> Column:
+        return F.transform(
+            _mixed(regex_spans(s["value"], _run(kind))),
+            lambda p: F.struct((s["start"] + p["start"]).alias("start"), p["value"].alias("value")),
+        )
+
+    return left if kind == _WIDEST else F.flatten(F.transform(left, within))
+
+
+def _pieces(runs: Column, kind: str) -> Column:
+    """What the allow-list leaves of a class's runs."""
+
+    def within(s: Column) -> Column:
         return F.transform(
-            mixed(left),
-            lambda p: F.struct(
-                (s["start"] + p["start"]).alias("start"), hot_window(p["value"], threshold).alias("w")
-            ),
+            _mixed(let(_blanked(s["value"]), lambda w: regex_spans(w, _run(kind)))),
+            lambda p: F.struct((s["start"] + p["start"]).alias("start"), p["value"].alias("value")),
         )
 
-    scored = F.flatten(F.transform(mixed(regex_spans(text, run)), pieces))
+    return F.flatten(F.transform(runs, within))
+
+
+def _entropy_spans(pieces: Column, kind: str) -> Column:
+    threshold = CLASSES[kind][1]
+    scored = F.transform(pieces, lambda p: F.struct(p["start"], hot_window(p["value"], threshold).alias("w")))
     return F.transform(
         F.filter(scored, lambda s: s["w"]["first"] >= 0),
         lambda s: F.struct(
@@ -198,13 +259,16 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     assign = F.filter(
         regex_spans(text, ASSIGN), lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= ASSIGN_MIN
     )
-    # A maximal run shorter than the minimum holds no longer one, so the
-    # minimum can stand in the pattern.
-    access = regex_spans(text, f"{ACCESS[:-1]}{{{ACCESS_MIN - 4},}}+")
-    hexes = regex_spans(text, f"(?<![0-9a-f]){HEX[:-1]}{{{HEX_MIN},}}+")
+    access, hexes = regex_spans(text, _ACCESS_SPAN), regex_spans(text, _HEX_RUN)
     kinds = (_base_spans(assign, "assign"), _base_spans(access, "access"), _base_spans(hexes, "hex"))
     d = d.select(id_col, "_text", F.array_sort(F.concat(*kinds)).alias("base"))
-    extra = F.concat(*[_entropy_spans(text, F.col("base"), k) for k in CLASSES])
+    # A step a projection: nested in one expression they exceed the analyzer's iterations.
+    assigned = F.filter("base", lambda s: s["kind"] == "assign")
+    d = d.select(id_col, "base", _mixed(regex_spans(text, _run(_WIDEST))).alias("_runs"), assigned.alias("_assigned"))
+    d = d.select(id_col, "base", _less_base(F.col("_runs"), F.col("_assigned")).alias("_left"))
+    d = d.select(id_col, "base", *[_own_runs(F.col("_left"), k).alias(f"_{k}") for k in CLASSES])
+    d = d.select(id_col, "base", *[_pieces(F.col(f"_{k}"), k).alias(f"_{k}") for k in CLASSES])
+    extra = F.concat(*[_entropy_spans(F.col(f"_{k}"), k) for k in CLASSES])
     return d.select(id_col, "base", F.array_sort(F.concat("base", extra)).alias("found"))
 
 
