@@ -35,11 +35,14 @@ from navspark.plans.materialize import materialize
 COSINE = 0.98
 #: Expected vectors the codebooks are fitted on.
 CODEBOOK_SAMPLE = 20_000
-#: Vectors of one label per cell the codebook size aims at, and its bounds.
-PER_CELL = 256
+TILE = 2_048
+#: Vectors of one label per cell the codebook size aims at, and its bounds. A visit
+#: moves one embedding, which costs as much as some thousand comparisons; finer cells
+#: compare less and move more (a vector of 64 unclustered components visits half of
+#: 5 x 5 cells and a tenth of 40 x 40). A cell of one tile balances the two.
+PER_CELL = TILE
 CENTROIDS = (2, 256)
 ITERATIONS = 8
-TILE = 2_048
 _CHUNK = 512
 
 

@@ -250,7 +250,13 @@ def test_proximity(spark):
     assert {r.doc_id: (r.n_hit, r.n_near) for r in got} == {1: (20, 1), 2: (14, 1), 3: (0, 0), 4: (0, 0)}
 
 
-def test_near_vectors(spark):
+@pytest.mark.parametrize("sizes", [(4, 16), (2_048, 2_048)])
+def test_near_vectors(spark, monkeypatch, sizes):
+    """All pairs; with small cells and tiles, so that vectors visit many, and with the usual ones."""
+    import navspark.llm.embdup as e
+
+    monkeypatch.setattr(e, "PER_CELL", sizes[0])
+    monkeypatch.setattr(e, "TILE", sizes[1])
     rng = np.random.default_rng(8)
     rows = []
     for i in range(500):
@@ -304,8 +310,12 @@ def test_equal_hashes_are_not_equal_vectors(spark, monkeypatch):
     assert got == {i: i for i in range(41)} | {50 + i: i for i in range(5)}
 
 
-def test_multi_index_recall(spark):
+@pytest.mark.parametrize("per_cell", [2, 2_048])
+def test_multi_index_recall(spark, monkeypatch, per_cell):
     """Recall against brute force on the whole table, above the 0.9 asked for (1 by construction)."""
+    import navspark.llm.embdup as e
+
+    monkeypatch.setattr(e, "PER_CELL", per_cell)
     df = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     rows = df.where("label IS NOT NULL").collect()
     x = np.array([r.embedding for r in rows], float)
