@@ -75,11 +75,19 @@ def _plogp() -> Column:
     return F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
 
 
-def hot_window(value: Column, threshold: float, window: int = WINDOW) -> Column:
+def _code_range(chars: str) -> tuple[int, int]:
+    """First and last code of a class's characters, given as in a regular expression."""
+    codes = [ord(c) for c in chars if c != "-"]
+    return min(codes), max(codes)
+
+
+def hot_window(value: Column, threshold: float, window: int = WINDOW, codes_of: tuple[int, int] = (0, 127)) -> Column:
     """``struct<first, last, best>`` over an ASCII string: start of the first and end
     of the last window whose entropy reaches ``threshold`` (-1 if none), and
-    the highest entropy seen. Counts change by one symbol in, one symbol out."""
-    codes = F.transform(F.split(value, ""), lambda c: F.ascii(c))
+    the highest entropy seen. Counts change by one symbol in, one symbol out; there
+    is one for each code from the first to the last of ``codes_of``."""
+    low, high = codes_of
+    codes = F.transform(F.split(value, ""), lambda c: F.ascii(c) - low)
     table = _plogp()
     moves = F.arrays_zip(
         codes.alias("i"), F.concat(F.array_repeat(F.lit(-1), window), codes).alias("o")
@@ -111,7 +119,7 @@ def hot_window(value: Column, threshold: float, window: int = WINDOW) -> Column:
         )
 
     start = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"),
+        F.array_repeat(F.lit(0), high - low + 1).alias("counts"),
         F.lit(0.0).alias("total"),
         F.lit(0).alias("pos"),
         F.lit(-1).alias("first"),
@@ -217,8 +225,13 @@ def _pieces(runs: Column, kind: str) -> Column:
 
 
 def _entropy_spans(pieces: Column, kind: str) -> Column:
-    threshold = CLASSES[kind][1]
-    scored = F.transform(pieces, lambda p: F.struct(p["start"], hot_window(p["value"], threshold).alias("w")))
+    chars, threshold = CLASSES[kind]
+    scored = F.transform(
+        pieces,
+        lambda p: F.struct(
+            p["start"], hot_window(p["value"], threshold, codes_of=_code_range(chars)).alias("w")
+        ),
+    )
     return F.transform(
         F.filter(scored, lambda s: s["w"]["first"] >= 0),
         lambda s: F.struct(
