@@ -19,12 +19,15 @@ about 10^8 rows per day of a 30-year history), so the split goes below days:
    gives every copy after the first ``halo + 1`` of a run the same result as
    copy ``halo``, so each run is expanded to at most ``halo + 1`` *head* rows
    and the last head carries the weight of the remaining copies.
-2. **Sampled ranges.** The heads are range-partitioned by (key, date, NAV,
-   row hash, copy number): Spark samples them, takes as many ranges as give
-   about ``block_rows`` heads each and sends every head to its range. No two
-   heads are equal in all of these, so a day, a NAV or a pile of copies of
-   any size is cut like everything else, in one step. The part of a key in one
-   range is a *block*.
+2. **Sampled ranges, counted pieces.** The heads are range-partitioned by (key,
+   date, NAV, row hash, copy number): Spark samples them and sends every head
+   to its range. No two heads are equal in all of these, so a day, a NAV or a
+   pile of copies of any size is cut like everything else, in one step. The
+   sample goes through the driver and every range is a task, so their number
+   does not follow the number of blocks: up to ``FEW_RANGES`` a range is one
+   block, beyond that ranges hold up to ``RANGE_ROWS`` heads, and each, sorted
+   in its task, is cut by counting into pieces of ``block_rows`` heads. The
+   part of a key in one piece is a *block*.
 3. **Prefix counts and halos.** One aggregation counts the heads of every block;
    a running count over that small table gives each block its place in the
    sequence, and shows which earlier blocks hold the ``halo`` heads before its
@@ -63,8 +66,12 @@ HOT_ROWS = 2_000_000
 BLOCK_ROWS = 500_000
 # Copies are regenerated in pieces of at most this many rows.
 CHUNK_ROWS = 1_000_000
-# Ranges of a split at most: beyond BLOCK_ROWS times as many rows the ranges
-# grow (a window pass over a larger range sorts and spills, it holds no range).
+# Up to this many blocks each is a sampled range of its own. More blocks share
+# ranges, of RANGE_ROWS rows once that takes more ranges than FEW_RANGES.
+FEW_RANGES = 256
+RANGE_ROWS = 1_000_000
+# Ranges of a split at most: beyond RANGE_ROWS times as many rows the ranges
+# grow (cutting a larger range sorts and spills, it holds no range).
 MAX_RANGES = 20_000
 
 # compute(frame, parts, order) adds columns using windows partitioned by
@@ -122,23 +129,31 @@ def tag(df: DataFrame) -> DataFrame:
 def ranged_heads(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], halo: int, block_rows: int, n_rows: int):
     """Steps 1-3 for dated ``rows`` (tagged by :func:`tag`, about ``n_rows`` of
     them): ``(heads, blocks)``, both stored. A head has its copy number ``_j``,
-    its weight ``_w`` and its range ``_t``; a block (key, ``_t``) has its heads
-    ``_c``, emitted rows ``_sw`` and ``_from``, the earlier ranges ``src`` that
+    its weight ``_w`` and its piece ``_t``; a block (key, ``_t``) has its heads
+    ``_c``, emitted rows ``_sw`` and ``_from``, the earlier pieces ``src`` that
     hold heads within ``halo`` before it, with the place ``end`` where they end."""
-    n = int(min(MAX_RANGES, max(1, -(-int(n_rows) // max(int(block_rows), int(halo) + 1)))))
+    b = max(int(block_rows), int(halo) + 1)
+    n_blocks = max(1, -(-int(n_rows) // b))
+    n = min(MAX_RANGES, n_blocks, max(FEW_RANGES, -(-int(n_rows) // RANGE_ROWS)))
+    # A range sampled for one block may hold somewhat more than b heads.
+    piece = b if n < n_blocks else 2 * b
     runs = rows.groupBy(*cols, "_rh").agg(F.count(F.lit(1)).alias("_m"))
     last = F.least(F.col("_m"), F.lit(int(halo) + 1)) - 1
     heads = runs.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     heads = heads.withColumn("_w", F.when(F.col("_j") == last, F.col("_m") - last).otherwise(F.lit(1).cast("long")))
-    heads = heads.drop("_m").repartitionByRange(n, *keys, *_sequence_order("_j"))
-    heads = materialize(heads.withColumn("_t", F.spark_partition_id()))
+    order = [*keys, *_sequence_order("_j")]
+    heads = heads.drop("_m").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # The ids count a range's rows, from 2^33 times its number: they ascend in
+    # the sequence. A piece is named by the id of its first row.
+    heads = heads.withColumn("_t", F.monotonically_increasing_id())
+    heads = materialize(heads.withColumn("_t", F.expr(f"_t - _t % {1 << 33} % {piece}")))
 
     blocks = heads.groupBy(*keys, "_t").agg(F.count(F.lit(1)).alias("_c"), F.sum("_w").alias("_sw"))
-    ranges = Window.partitionBy(*keys).orderBy("_t")
-    start = F.coalesce(F.sum("_c").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = Window.partitionBy(*keys).orderBy("_t")
+    start = F.coalesce(F.sum("_c").over(pieces.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     blocks = blocks.withColumn("_s", start)
     blocks = blocks.withColumn(
-        "_prev", F.lag(F.struct(F.col("_t").alias("src"), (F.col("_s") + F.col("_c")).alias("end"))).over(ranges)
+        "_prev", F.lag(F.struct(F.col("_t").alias("src"), (F.col("_s") + F.col("_c")).alias("end"))).over(pieces)
     )
     # Block q needs p's heads if p ends within halo before q: if the block
     # after p starts there.

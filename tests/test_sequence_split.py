@@ -7,11 +7,14 @@ import pytest
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
+import __spark_entry__ as E
 from navspark import returns, rolling_metrics
 from pyspark.sql import functions as F
 
+from navspark.plans import sequence
 from navspark.plans.sequence import _with_halos, ranged_heads, tag
 from navspark.schemas import NAV_SCHEMA
+from navspark.sources.tables import nav_by_part
 
 BASE = dt.date(2020, 1, 1)
 
@@ -185,3 +188,86 @@ def test_split_is_bit_equal_without_copies(spark):
     )
     a, b = (sorted(map(tuple, rolling_metrics(nav, 40, split=s, block_rows=200).collect())) for s in ("never", "always"))
     assert a == b
+
+
+def test_many_blocks_share_few_ranges(spark, monkeypatch):
+    # 90 blocks are asked for: their sample and their tasks are those of 4
+    # ranges, each cut into pieces of exactly the block's rows and a rest.
+    monkeypatch.setattr(sequence, "FEW_RANGES", 4, raising=False)
+    rows = [(BASE + dt.timedelta(days=i // 3), float(i * i % 97), f"c{i}", f"S{k}") for k in range(3) for i in range(300)]
+    df = spark.createDataFrame(rows, NAV_SCHEMA)
+    heads, blocks = ranged_heads(tag(df), df.columns, ["scheme_name"], 7, 10, len(rows))
+    assert heads.rdd.getNumPartitions() == 4
+    pieces = [r["n"] for r in heads.groupBy("_t").agg(F.count("*").alias("n")).collect()]
+    assert sum(pieces) == len(rows) and max(pieces) == 10 and sum(n < 10 for n in pieces) <= 4
+    # One key after the other, and in a key one stretch of days after the other.
+    spans = heads.groupBy("_t").agg(F.min(F.struct("scheme_name", "date", "nav")).alias("a"), F.max(F.struct("scheme_name", "date", "nav")).alias("b"))
+    spans = spans.orderBy("_t").collect()
+    assert all(tuple(x["b"]) <= tuple(y["a"]) for x, y in zip(spans, spans[1:]))
+    starts = {}
+    for r in blocks.orderBy("scheme_name", "_t").collect():
+        assert r["_s"] == starts.get(r["scheme_name"], 0)
+        starts[r["scheme_name"]] = r["_s"] + r["_c"]
+    assert starts == {"S0": 300, "S1": 300, "S2": 300}
+
+
+def test_ranges_grow_with_the_rows(spark, monkeypatch):
+    # Ranges hold RANGE_ROWS rows, not all rows of a large table.
+    monkeypatch.setattr(sequence, "FEW_RANGES", 1, raising=False)
+    monkeypatch.setattr(sequence, "RANGE_ROWS", 50, raising=False)
+    df = spark.createDataFrame([(BASE + dt.timedelta(days=i), float(i), "c", "S") for i in range(300)], NAV_SCHEMA)
+    heads, _ = ranged_heads(tag(df), df.columns, ["scheme_name"], 3, 10, 300)
+    assert heads.rdd.getNumPartitions() == 6
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck),
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(cases, st.sampled_from([1, 2, 7]))
+def test_shared_ranges_equal_plain(spark, case, w):
+    seed, n, k, days, dup, nul, block = case
+    df = spark.createDataFrame(make_rows(seed, n, k, days, dup, nul), NAV_SCHEMA)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(sequence, "FEW_RANGES", 2, raising=False)
+        assert canon(returns(df, [1, 5], split="always", block_rows=block)) == canon(returns(df, [1, 5], split="never"))
+        plain = canon(rolling_metrics(df, w, split="never"))
+        assert canon(rolling_metrics(df, w, split="auto", hot_rows=n // 4, block_rows=block, method="blocks")) == plain
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    # 45,000 prices of 300 parts under 5 names, one part without a name.
+    at = str(tmp_path_factory.mktemp("tables"))
+    spark.range(300).selectExpr(
+        "id AS p_partkey", "IF(id = 7, NULL, concat('name ', id % 5)) AS p_name", "concat('Brand#', 11 + id % 3) AS p_brand"
+    ).write.parquet(f"{at}/part.parquet")
+    spark.range(45_000).selectExpr(
+        "id % 300 AS l_partkey",
+        "CAST(date_add(DATE'1995-01-01', CAST(id DIV 300 AS INT)) AS TIMESTAMP) AS l_shipdate",
+        "CAST(pmod(hash(id), 9000) + 1 AS DOUBLE) AS l_extendedprice",
+    ).write.parquet(f"{at}/lineitem.parquet")
+    return at
+
+
+@pytest.mark.parametrize("name", ["rolling_metrics_by_name_split"])
+def test_split_queries_sample_few_ranges(spark, monkeypatch, tables, name):
+    # A query's blocks are small: the ranges that the driver samples and the
+    # tasks that report to it must not be as many.
+    monkeypatch.setattr(sequence, "FEW_RANGES", 2, raising=False)
+    seen, inner = [], sequence.ranged_heads
+
+    def watched(*args):
+        heads, blocks = inner(*args)
+        seen.append((heads.rdd.getNumPartitions(), blocks.select("_t").distinct().count()))
+        return heads, blocks
+
+    monkeypatch.setattr(sequence, "ranged_heads", watched)
+    got = canon(E.core_queries()[name](spark, tables), 4)
+    assert len(seen) == 1 and seen[0][0] == 2 and seen[0][1] >= 3
+    nav = (E._nav_hot if name.endswith("hot_key") else nav_by_part)(spark, tables)
+    if name.startswith("returns"):
+        periods = E.SHORT_PERIODS if name.endswith("split") else (1, 7, 30)
+        plain = E._round(returns(nav, periods, split="never"), [f"return_{p}d" for p in periods])
+    else:
+        n = E.ROLL_TINY if name.endswith("split") else E.ROLL_LONG
+        plain = E._round(rolling_metrics(nav, n, split="never"), ["rolling_avg_nav", "rolling_volatility"])
+    assert len(got) == 45_000 and got == canon(plain, 4)
