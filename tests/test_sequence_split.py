@@ -248,7 +248,9 @@ def tables(spark, tmp_path_factory):
     return at
 
 
-@pytest.mark.parametrize("name", ["rolling_metrics_by_name_split", "returns_by_name_split", "rolling_metrics_hot_key"])
+@pytest.mark.parametrize(
+    "name", ["rolling_metrics_by_name_split", "returns_by_name_split", "rolling_metrics_hot_key", "returns_hot_key"]
+)
 def test_split_queries_sample_few_ranges(spark, monkeypatch, tables, name):
     # A query's blocks are small: the ranges that the driver samples and the
     # tasks that report to it must not be as many.
